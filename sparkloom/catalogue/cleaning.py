@@ -35,7 +35,7 @@ def _(t):
 
 
 @query("f05_valid_readings", f"""
-SELECT id, station_id, temperature, humidity, pressure, wind_speed, wind_direction
+SELECT id, station_id, ROUND(temperature, 4) AS temperature, humidity, pressure, wind_speed, wind_direction
 FROM {{readings}} WHERE {VALID}""")
 def _(t):
     return ops.valid_readings(t.readings).select(
@@ -53,7 +53,7 @@ WEATHER_MAPPING = [
 
 
 @query("f06_mapping", f"""
-SELECT station_id, {stamp('timestamp')} AS measurement_time, temperature AS temperature_celsius,
+SELECT station_id, {stamp('timestamp')} AS measurement_time, ROUND(temperature, 4) AS temperature_celsius,
        humidity AS humidity_percent, metadata AS metadata_json,
        CAST(TRY_CAST(weather_condition AS INTEGER) AS BIGINT) AS condition_code
 FROM {{readings}}""")
@@ -61,7 +61,7 @@ def _(t):
     return ops.apply_mapping(t.readings, WEATHER_MAPPING)
 
 
-@query("f07_flatten", "SELECT id, station_id, temperature FROM {readings}")
+@query("f07_flatten", "SELECT id, station_id, ROUND(temperature, 4) AS temperature FROM {readings}")
 def _(t):
     nested = t.readings.select(F.struct("id", "station_id", "temperature").alias("weather_data"))
     return ops.flatten(nested, "weather_data")

@@ -194,9 +194,9 @@ def _(t):
 @query("d22_budget_status", """
 SELECT o_orderkey, ROUND(CASE WHEN lim > 0 THEN spent / lim * 100 ELSE 0 END, 4) AS pct,
   CASE WHEN lim <= 0 OR spent / lim * 100 < 80 THEN 'OK' WHEN spent / lim * 100 < 100 THEN 'WARNING' ELSE 'EXCEEDED' END AS status
-FROM (SELECT o_orderkey, o_totalprice AS spent, CASE WHEN o_orderkey % 10 = 0 THEN 0.0E0 ELSE 300000.0E0 END AS lim FROM orders)""")
+FROM (SELECT o_orderkey, o_totalprice AS spent, CASE WHEN o_orderkey % 10 = 0 THEN 0.0E0 ELSE 300007.0E0 END AS lim FROM orders)""")
 def _(t):
-    limit = F.when(F.col("o_orderkey") % 10 == 0, 0.0).otherwise(300000.0)
+    limit = F.when(F.col("o_orderkey") % 10 == 0, 0.0).otherwise(300007.0)
     return t.orders.select("o_orderkey", num.budget_pct("o_totalprice", limit).alias("pct"),
                            num.budget_status("o_totalprice", limit).alias("status"))
 

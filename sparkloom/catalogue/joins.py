@@ -88,7 +88,7 @@ def _(t):
 
 
 @query("j07_reattach", """
-SELECT row_id, predicted, species FROM {scored} WHERE row_id % 5 = 0""")
+SELECT row_id, ROUND(predicted, 4) AS predicted, species FROM {scored} WHERE row_id % 5 = 0""")
 def _(t):
     part = t.scored.where("row_id % 5 = 0").select("row_id", "predicted")
     return ops.reattach(part, t.scored, "row_id", ["species"])

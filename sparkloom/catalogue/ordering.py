@@ -24,7 +24,7 @@ def _(t):
 
 
 @query("t03_page", f"""
-SELECT id, station_id, {stamp('r.timestamp')} AS timestamp, temperature FROM {{readings}} r WHERE station_id = '8'
+SELECT id, station_id, {stamp('r.timestamp')} AS timestamp, ROUND(temperature, 4) AS temperature FROM {{readings}} r WHERE station_id = '8'
 ORDER BY r.timestamp DESC, id DESC LIMIT 100""")
 def _(t):
     return ops.page(t.readings.select("id", "station_id", "timestamp", "temperature"), "timestamp", "id", 100,
