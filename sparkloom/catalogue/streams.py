@@ -126,7 +126,7 @@ REQUEST_SQL = _chain_sql(HOURS_6) + " SELECT id, path AS endpoint, ms AS event_m
 @query("x06_request_monitor", REQUEST_SQL)
 def _(t):
     stream = monitored(stream_of(t, "http"))
-    out = run.run_available(stateful.request_monitor(stream, window_ms=HOURS_6, ttl_ms=10 ** 12), "requests", partitions(t))
+    out = run.run_available(stateful.request_monitor(stream, window_ms=HOURS_6, ttl_ms=10 ** 12), "requests", partitions(t), idle_batches=False)
     return out.where("record = 'metrics'").select("id", "endpoint", "event_ms", "request_count")
 
 
@@ -148,7 +148,7 @@ SELECT o.id, o.path AS endpoint, o.ms AS event_ms, o.n AS request_count FROM ove
 def _(t):
     monitor = stateful.request_monitor(monitored(stream_of(t, "http")), threshold=2, window_ms=HOURS_6,
                                        suppress_ms=4 * HOURS_6, ttl_ms=10 ** 12)
-    out = run.run_available(monitor, "rate-alerts", partitions(t))
+    out = run.run_available(monitor, "rate-alerts", partitions(t), idle_batches=False)
     return out.where("record = 'HIGH_REQUEST_RATE'").select("id", "endpoint", "event_ms", "request_count")
 
 
@@ -167,7 +167,7 @@ SELECT id, path AS endpoint, n AS total_requests, errors AS error_requests, ROUN
 @query("x08_error_rate_monitor", ERROR_SQL)
 def _(t):
     monitor = stateful.error_rate_monitor(monitored(stream_of(t, "http")), window_ms=4 * HOURS_6, ttl_ms=10 ** 12)
-    out = run.run_available(monitor, "error-rates", partitions(t))
+    out = run.run_available(monitor, "error-rates", partitions(t), idle_batches=False)
     return out.groupBy("id", "endpoint", "total_requests", "error_requests", "error_rate_percent").agg(
         F.bool_or(F.col("record") == "HIGH_ERROR_RATE").alias("is_alert"))
 
@@ -212,7 +212,7 @@ SELECT path AS endpoint, COUNT(*) AS windows FROM (SELECT DISTINCT path, time_bu
   SELECT MAX(event_timestamp) - INTERVAL 5 SECOND FROM {http} WHERE event_type = 'http_response') GROUP BY path""")
 def _(t):
     path, checkpoint = scratch_path(t.spark, "messages"), scratch_path(t.spark, "messages-checkpoint")
-    with run.state_partitions(t.spark, partitions(t)):
+    with run.started_with(t.spark, partitions(t)):
         run.to_messages(win.http_window_metrics(stream_of(t, "http")), path, checkpoint, trigger=None).awaitTermination()
     read = t.spark.read.text(path).select(F.get_json_object("value", "$.endpoint").alias("endpoint"))
     return read.groupBy("endpoint").agg(F.count("*").alias("windows"))

@@ -58,23 +58,31 @@ def await_all(spark: SparkSession, queries: Sequence[StreamingQuery]) -> None:
 
 
 @contextmanager
-def state_partitions(spark: SparkSession, n: int | None):
-    """State is split over this many partitions for queries started inside (fixed for a query's life)."""
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    if n:
-        spark.conf.set(key, str(n))
+def started_with(spark: SparkSession, partitions: int | None = None, idle_batches: bool = True):
+    """Settings taken over by queries started inside.
+
+    ``partitions`` is the number of state partitions (fixed for a query's life).
+    Processing-time state asks for batches without data for ever, so a query that
+    is to end when its input is used up needs ``idle_batches=False``.
+    """
+    wanted = {"spark.sql.streaming.noDataMicroBatches.enabled": str(idle_batches).lower()}
+    if partitions:
+        wanted["spark.sql.shuffle.partitions"] = str(partitions)
+    before = {key: spark.conf.get(key) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
-def run_available(stream: DataFrame, label: str, partitions: int | None = None) -> DataFrame:
+def run_available(stream: DataFrame, label: str, partitions: int | None = None, idle_batches: bool = True) -> DataFrame:
     """Process what is there with checkpointing and read the sink back as a batch frame."""
     spark = stream.sparkSession
     path, checkpoint = scratch_path(spark, label), scratch_path(spark, f"{label}-checkpoint")
-    with state_partitions(spark, partitions):
+    with started_with(spark, partitions, idle_batches):
         write_stream(stream, path, checkpoint, trigger=None).awaitTermination()
     return spark.read.schema(stream.schema).parquet(path)
 
