@@ -57,11 +57,14 @@ def _is_json(text: Column) -> Column:
     return F.try_parse_json(text).isNotNull()
 
 
-def _object_call(json_text: Column) -> Column:
-    return F.struct(
-        F.get_json_object(json_text, "$.name").alias("name"),
-        F.get_json_object(json_text, "$.arguments").alias("arguments"),
-    )
+def _bind(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is mentioned."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _call(fields: Column) -> Column:
+    return F.struct(F.try_element_at(fields, F.lit("name")).alias("name"),
+                    F.try_element_at(fields, F.lit("arguments")).alias("arguments"))
 
 
 def parse_tool_calls(text) -> Column:
@@ -75,21 +78,23 @@ def parse_tool_calls(text) -> Column:
     text = as_col(text)
     nothing = F.array().cast(TOOL_CALL)
     has_list = (F.instr(text, "[") > 0) & (F.instr(text, "]") > 0)
-    listed = _between_brackets(text, "[", "]")
-    single = _between_brackets(text, "{", "}")
-
-    elements = F.from_json(listed, "array<string>")
-    calls = F.transform(elements, _object_call)
-    # an element that is no object parses to no map at all
-    fields = F.transform(elements, lambda e: F.from_json(e, "map<string,string>"))
-    nameless = F.exists(fields, lambda f: f.isNull() | ~F.map_contains_key(f, "name"))
-    sound = _is_json(listed) & elements.isNotNull() & ~nameless
-    one = F.array(_object_call(single)).cast(TOOL_CALL)
-    return (
-        F.when(has_list, F.when(F.coalesce(sound, F.lit(False)), calls.cast(TOOL_CALL)).otherwise(nothing))
-        .when(F.coalesce(_is_json(single), F.lit(False)), one)
-        .otherwise(nothing)
-    )
+
+    def listed_calls(listed: Column) -> Column:
+        # nested values stay JSON text; an element that is no object comes out as NULL
+        elements = F.when(_is_json(listed), F.from_json(listed, "array<map<string,string>>"))
+
+        def checked(items: Column) -> Column:
+            nameless = F.exists(items, lambda f: f.isNull() | ~F.map_contains_key(f, "name"))
+            return F.when(F.coalesce(~nameless, F.lit(False)), F.transform(items, _call).cast(TOOL_CALL)).otherwise(nothing)
+
+        return _bind(elements, checked)
+
+    def single_call(single: Column) -> Column:
+        fields = F.when(_is_json(single), F.from_json(single, "map<string,string>"))
+        return _bind(fields, lambda f: F.when(f.isNotNull(), F.array(_call(f)).cast(TOOL_CALL)).otherwise(nothing))
+
+    return F.when(has_list, _bind(_between_brackets(text, "[", "]"), listed_calls)).otherwise(
+        _bind(_between_brackets(text, "{", "}"), single_call))
 
 
 def call_names(calls) -> Column:

@@ -6,19 +6,26 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..session import materialise
 
-def attach(df: DataFrame, stats: DataFrame, key: Sequence[str], name: str) -> DataFrame:
+
+def attach(df: DataFrame, stats: DataFrame, key: Sequence[str], name: str, stored: bool = True) -> DataFrame:
     """Add the non-key columns of ``stats`` (one row per key) to ``df`` as the struct ``name``.
 
     Without a key ``stats`` is a single row and comes in as a scalar subquery, so
-    no join happens at all. With a key it is a NULL-safe equi-join whose strategy
-    (broadcast, sort-merge, skew split) is left to the optimiser's size checks.
+    no join happens at all. With a key the figures are first written to the
+    shared folder: they are computed once, and their real size is known, so the
+    optimiser broadcasts them when they are small and shuffles both sides (with
+    skew splitting) when they are not. ``stored=False`` keeps everything in one
+    plan, for frames that are themselves small.
     """
     key = list(key)
     figures = F.struct(*[F.col(c) for c in stats.columns if c not in key])
     if not key:
         return df.withColumn(name, stats.select(figures).scalar())
     renamed = stats.select(*[F.col(k).alias(f"_{name}_{k}") for k in key], figures.alias(name))
+    if stored:
+        renamed = materialise(renamed, "figures")
     condition = None
     for k in key:
         same = F.col(k).eqNullSafe(F.col(f"_{name}_{k}"))

@@ -1,116 +1,139 @@
 """Exact order statistics that never sort or hold a whole group in one task.
 
-A mergeable sketch brackets every wanted rank between two values; one more
-aggregate counts what lies below the bracket; only the rows inside the bracket
-(a ten-thousandth of the group) are then collapsed to (value, count) and put in
-order. A bracket that fails its check is widened to the whole group, so the
-answer is exact in every case.
+Three light passes, each a map-side combined count:
+
+1. values fall into logarithmic bins; the running count over a key's bins tells
+   which bin holds each wanted rank;
+2. that bin's own value range is cut into equal parts and counted again;
+3. only the rows of the one part that holds the rank, a sliver of the group,
+   are collapsed to (value, count) and put in order.
+
+What one pass finds is a few rows per key. It is written to the shared folder,
+so the next pass joins it by its real size and no pass is ever run twice.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from ..session import materialise
 from .attach import attach
 
-SKETCH_ACCURACY = 20_000
-_SLACK = 2.0 / SKETCH_ACCURACY
+SKETCH_ACCURACY = 10_000
+BINS_PER_DOUBLING = 256
+PARTS = 65_536
+
+#: maps the row count of a key to the wanted 0-based rank
+Rank = Callable[[Column], Column]
+
+
+def below_position(p: float) -> Rank:
+    return lambda n: F.floor((n - 1) * F.lit(float(p)))
+
 
+def above_position(p: float) -> Rank:
+    return lambda n: F.ceil((n - 1) * F.lit(float(p)))
 
-def percentile_rank(p: float):
-    """Ranks (0-based) around the linear-interpolation position of percentile ``p``."""
 
-    def ranks(n: Column) -> tuple[Column, Column]:
-        position = (n - 1) * F.lit(float(p))
-        return F.floor(position), F.ceil(position)
+def last_of_fraction(fraction: float) -> Rank:
+    """Rank of the last of the first ``floor(fraction * n)`` rows, -1 when there is none."""
+    return lambda n: F.floor(n * F.lit(float(fraction))) - 1
 
-    return ranks
 
+def _log_bin(value: Column) -> Column:
+    """Never falls when the value rises, whatever its size or sign."""
+    size = F.log2(1 + F.abs(value)) * BINS_PER_DOUBLING
+    return (F.signum(value) * F.floor(size)).cast("bigint")
 
-def cut_rank(fraction: float):
-    """Rank of the last row belonging to the first ``floor(fraction * n)`` rows (-1 when there is none)."""
 
-    def ranks(n: Column) -> tuple[Column, Column]:
-        last = F.floor(n * F.lit(float(fraction))) - 1
-        return last, last
+def _part(value: Column, lo: Column, hi: Column) -> Column:
+    place = F.when(hi > lo, (value - lo) / (hi - lo) * PARTS).otherwise(F.lit(0.0))
+    return F.floor(place).cast("bigint")
 
-    return ranks
 
+def _running(df: DataFrame, by: Sequence[str], order: str) -> DataFrame:
+    """Add ``_before`` and ``_end``: rows of the group ahead of this bin, and up to its end."""
+    ordered = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    return df.withColumn("_end", F.sum("_n").over(ordered)).withColumn("_before", F.col("_end") - F.col("_n"))
 
-def order_statistics(df: DataFrame, value: str, wanted: Sequence[tuple[float, object]],
-                     key: Sequence[str] = ()) -> DataFrame:
-    """One row per key: ``n`` and, per wanted ``(fraction, rank function)``, ``lo_i``/``hi_i`` values."""
+
+def order_statistics(df: DataFrame, value: str, ranks: Sequence[Rank], key: Sequence[str] = ()) -> DataFrame:
+    """One row per key: ``n`` and per rank its ``value_i`` and ``before_i``, the number of smaller values.
+
+    Missing values (and not-a-number) are left out of the count.
+    """
     key = list(key)
     base = df.select(*key, F.col(value).alias("_v")).where(F.col("_v").isNotNull())
-    edges = [edge for p, _ in wanted for edge in (max(p - _SLACK, 0.0), min(p + _SLACK, 1.0))]
-    sketch = base.groupBy(*key).agg(
-        F.count("*").alias("n"),
-        F.percentile_approx("_v", edges, SKETCH_ACCURACY).alias("edges"),
-    )
-
-    located = attach(base, sketch, key, "_s")
-    counters = []
-    for i in range(len(wanted)):
-        counters.append(F.count_if(F.col("_v") < F.col("_s.edges")[2 * i]).alias(f"below_{i}"))
-        counters.append(F.count_if(F.col("_v") <= F.col("_s.edges")[2 * i + 1]).alias(f"upto_{i}"))
-    checked = located.groupBy(*key).agg(
-        F.max("_s.n").alias("n"), F.any_value("_s.edges").alias("edges"), *counters)
-
-    def bracket(i: int) -> Column:
-        lo_rank, hi_rank = wanted[i][1](F.col("n"))
-        holds = (F.col(f"below_{i}") <= lo_rank) & (hi_rank < F.col(f"upto_{i}"))
-        return F.struct(
-            F.lit(i).alias("i"),
-            F.when(holds, F.col("edges")[2 * i]).alias("from"),
-            F.when(holds, F.col("edges")[2 * i + 1]).alias("to"),
-            F.when(holds, F.col(f"below_{i}")).otherwise(F.lit(0)).alias("below"),
-            lo_rank.alias("lo"),
-            hi_rank.alias("hi"),
-        )
-
-    brackets = checked.select(*key, F.array(*[bracket(i) for i in range(len(wanted))]).alias("brackets"))
-    inside = attach(base, brackets, key, "_b").select(
-        *key, "_v",
-        F.inline(F.filter(F.col("_b.brackets"), lambda b:
-                          (b["from"].isNull() | (F.col("_v") >= b["from"]))
-                          & (b["to"].isNull() | (F.col("_v") <= b["to"])))),
-    )
-    counted = inside.groupBy(*key, "i", "lo", "hi", "below", "_v").agg(F.count("*").alias("_c"))
-    ordered = Window.partitionBy(*key, "i").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    placed = counted.withColumn("_end", F.col("below") + F.sum("_c").over(ordered))
-
-    def at(rank: str) -> Column:
-        holds = (F.col("_end") > F.col(rank)) & (F.col("_end") - F.col("_c") <= F.col(rank))
-        return F.when(holds, F.col("_v"))
-
+    if isinstance(base.schema["_v"].dataType, (T.DoubleType, T.FloatType)):
+        base = base.where(~F.isnan("_v"))
+    base = base.withColumn("_x", F.col("_v").cast("double"))
+
+    # pass 1: which logarithmic bin holds each rank
+    bins = base.groupBy(*key, _log_bin(F.col("_x")).alias("_bin")).agg(
+        F.count("*").alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
+    placed = _running(bins, key, "_bin").withColumn("_total", F.sum("_n").over(Window.partitionBy(*key)))
+
+    def bin_of(i: int, rank: Rank) -> Column:
+        wanted = rank(F.col("_total"))
+        here = (F.col("_before") <= wanted) & (wanted < F.col("_end"))
+        return F.max(F.when(here, F.struct(
+            F.lit(i).alias("i"), wanted.alias("rank"), F.col("_bin").alias("bin"), F.col("_lo").alias("lo"),
+            F.col("_hi").alias("hi"), F.col("_before").alias("before"))))
+
+    first = materialise(placed.groupBy(*key).agg(
+        F.max("_total").alias("n"),
+        F.array(*[bin_of(i, r) for i, r in enumerate(ranks)]).alias("targets")), "ranks-bin")
+
+    # pass 2: which part of that bin
+    def matching(found: DataFrame, condition) -> DataFrame:
+        here = F.filter(F.col("_t.targets"), lambda t: t.isNotNull() & condition(t))
+        return attach(base, found, key, "_t", stored=False).select(*key, "_v", "_x", F.inline(here))
+
+    in_bin = matching(first.select(*key, "targets"), lambda t: t["bin"] == _log_bin(F.col("_x")))
+    fields = ["i", "rank", "bin", "lo", "hi", "before"]
+    parts = in_bin.groupBy(*key, *fields, _part(F.col("_x"), F.col("lo"), F.col("hi")).alias("part")).agg(
+        F.count("*").alias("_n"))
+    part_end = _running(parts, [*key, "i"], "part")
+    here = (F.col("before") + F.col("_before") <= F.col("rank")) & (F.col("rank") < F.col("before") + F.col("_end"))
+    second = materialise(part_end.where(here).groupBy(*key).agg(F.collect_list(F.struct(
+        "i", "rank", "bin", "lo", "hi", (F.col("before") + F.col("_before")).alias("before"), "part")).alias("targets")),
+        "ranks-part")
+
+    # pass 3: order the values of that part
+    in_part = matching(second, lambda t: (t["bin"] == _log_bin(F.col("_x"))) & (
+        t["part"] == _part(F.col("_x"), t["lo"], t["hi"])))
+    values = in_part.groupBy(*key, "i", "rank", "before", "_v").agg(F.count("*").alias("_n"))
+    ordered = _running(values, [*key, "i"], "_v")
+    holds = (F.col("before") + F.col("_before") <= F.col("rank")) & (F.col("rank") < F.col("before") + F.col("_end"))
     picked = []
-    for i in range(len(wanted)):
+    for i in range(len(ranks)):
         mine = F.col("i") == i
-        picked.append(F.max(F.when(mine, at("lo"))).alias(f"lo_{i}"))
-        picked.append(F.max(F.when(mine, at("hi"))).alias(f"hi_{i}"))
-    values = placed.groupBy(*key).agg(*picked)
-    sizes = attach(values, sketch.select(*key, "n"), key, "_n")
-    return sizes.select(*key, F.col("_n.n").alias("n"), *[c for c in values.columns if c not in key])
+        picked.append(F.max(F.when(mine, F.col("_v"))).alias(f"value_{i}"))
+        picked.append(F.max(F.when(mine, F.col("before") + F.col("_before"))).alias(f"before_{i}"))
+    found = ordered.where(holds).groupBy(*key).agg(*picked)
+    sized = attach(first.select(*key, "n"), found, key, "_f", stored=False)
+    return sized.select(*key, "n", *[F.col(f"_f.{c}").alias(c) for c in found.columns if c not in key])
 
 
 def percentiles(df: DataFrame, value: str, probs: Sequence[float], key: Sequence[str] = (),
                 exact: bool = True) -> DataFrame:
-    """Percentiles ``p_0, p_1, ...`` per key, NULLs ignored, with linear interpolation.
+    """Percentiles ``p_0, p_1, ...`` per key, missing values ignored, with linear interpolation.
 
-    ``exact=False`` answers from one mergeable sketch instead.
+    ``exact=False`` answers from one mergeable sketch in a single pass instead.
     """
     key = list(key)
     if not exact:
         base = df.where(F.col(value).isNotNull()).groupBy(*key).agg(
             F.count("*").alias("n"), F.percentile_approx(value, list(probs), SKETCH_ACCURACY).alias("_q"))
         return base.select(*key, "n", *[F.col("_q")[i].cast("double").alias(f"p_{i}") for i in range(len(probs))])
-    stats = order_statistics(df, value, [(p, percentile_rank(p)) for p in probs], key)
+    ranks = [rank for p in probs for rank in (below_position(p), above_position(p))]
+    stats = order_statistics(df, value, ranks, key)
 
     def interpolate(i: int, p: float) -> Column:
         position = (F.col("n") - 1) * F.lit(float(p))
-        lo, hi = F.col(f"lo_{i}").cast("double"), F.col(f"hi_{i}").cast("double")
+        lo, hi = F.col(f"value_{2 * i}").cast("double"), F.col(f"value_{2 * i + 1}").cast("double")
         return lo + (hi - lo) * (position - F.floor(position))
 
     return stats.select(*key, "n", *[interpolate(i, p).alias(f"p_{i}") for i, p in enumerate(probs)])
@@ -121,20 +144,14 @@ def first_fraction(df: DataFrame, order: str, tie: str, fraction: float, key: Se
     """Mark the first ``floor(fraction * n)`` rows per key in ``(order, tie)`` order.
 
     The cut value comes from ``order_statistics``; only the rows that share it
-    are numbered, so ``order`` should be close to unique.
+    are numbered, so ``order`` should be close to unique and without gaps.
     """
     key = list(key)
-    cut = order_statistics(df, order, [(fraction, cut_rank(fraction))], key)
-    marked = attach(df, cut.select(*key, "n", F.col("lo_0").alias("cut")), key, "_cut")
-    below = marked.groupBy(*key).agg(F.count_if(F.col(order) < F.col("_cut.cut")).alias("below"))
-    marked = attach(marked, below, key, "_below")
-    spare = F.floor(F.col("_cut.n") * F.lit(float(fraction))) - F.col("_below.below")
-    tied = F.col(order) == F.col("_cut.cut")
-    numbered = marked.where(tied).withColumn(
-        "_rn", F.row_number().over(Window.partitionBy(*key, order).orderBy(tie)))
-    on_cut = numbered.withColumn(flag, F.coalesce(F.col("_rn") <= spare, F.lit(False))).drop("_rn")
-    off_cut = marked.where(~F.coalesce(tied, F.lit(False))).withColumn(
-        flag, F.coalesce(F.col(order) < F.col("_cut.cut"), F.lit(False)))
-    return off_cut.unionByName(on_cut).drop("_cut", "_below")
-
-
+    cut = order_statistics(df, order, [last_of_fraction(fraction)], key)
+    marked = attach(df, cut, key, "_cut")
+    tied = F.coalesce(F.col(order) == F.col("_cut.value_0"), F.lit(False))
+    spare = F.floor(F.col("_cut.n") * F.lit(float(fraction))) - F.col("_cut.before_0")
+    off_cut = marked.where(~tied).withColumn(flag, F.coalesce(F.col(order) < F.col("_cut.value_0"), F.lit(False)))
+    number = F.row_number().over(Window.partitionBy(*key, order).orderBy(tie))
+    on_cut = marked.where(tied).withColumn("_rn", number).withColumn(flag, F.col("_rn") <= spare).drop("_rn")
+    return off_cut.unionByName(on_cut).drop("_cut")

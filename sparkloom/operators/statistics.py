@@ -32,7 +32,7 @@ def describe(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFram
         F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"), F.max("value").alias("max"))
     quartiles = percentiles(long, "value", QUARTILES, ["column_name"], exact)
-    return attach(moments, quartiles, ["column_name"], "_q").select(
+    return attach(moments, quartiles, ["column_name"], "_q", stored=False).select(
         "column_name", "count", "mean", "std", "min", F.col("_q.p_0").alias("q1"),
         F.col("_q.p_1").alias("median"), F.col("_q.p_2").alias("q3"), "max")
 
@@ -41,7 +41,7 @@ def box_stats(df: DataFrame, key: str, column: str, exact: bool = True) -> DataF
     """Five-number summary per group."""
     extremes = df.groupBy(key).agg(F.min(column).alias("min"), F.max(column).alias("max"))
     quartiles = percentiles(df, column, QUARTILES, [key], exact)
-    return attach(extremes, quartiles, [key], "_q").select(
+    return attach(extremes, quartiles, [key], "_q", stored=False).select(
         key, "min", F.col("_q.p_0").alias("q1"), F.col("_q.p_1").alias("median"), F.col("_q.p_2").alias("q3"), "max")
 
 
@@ -213,16 +213,15 @@ def classification_metrics(df: DataFrame, actual: str, predicted: str, confidenc
 
 def score_tool_calls(df: DataFrame, truth: str, predicted: str) -> DataFrame:
     """Share of rows calling the same tools and share with identical calls; unreadable rows are left out."""
-    texts = {"_t": F.col(truth), "_p": F.col(predicted)}
-    read = df.select(*[F.try_parse_json(c).alias(n) for n, c in texts.items()],
-                     *[parse_tool_calls(c).alias(f"{n}_calls") for n, c in texts.items()])
-    is_list = F.schema_of_variant("_t").startswith("ARRAY") & F.schema_of_variant("_p").startswith("ARRAY")
-    readable = read.where(F.col("_t").isNotNull() & F.col("_p").isNotNull()).where(is_list)
-    same_tools = call_names("_t_calls") == call_names("_p_calls")
-    # a variant prints its object keys in one fixed order, so equal calls print alike
-    same_calls = F.to_json("_t") == F.to_json("_p")
-    return readable.agg(
-        F.avg(same_tools.cast("double")).alias("tool_accuracy"),
-        F.avg((same_tools & same_calls).cast("double")).alias("exact_match"),
-        F.count("*").alias("total_samples"),
+    sides = {"_t": F.col(truth), "_p": F.col(predicted)}
+    # each text is parsed once: a variant prints its object keys in one fixed order, so equal calls print alike
+    read = df.select(*[F.to_json(F.try_parse_json(c)).alias(n) for n, c in sides.items()],
+                     *[call_names(parse_tool_calls(c)).alias(f"{n}_names") for n, c in sides.items()])
+    readable = F.coalesce(F.col("_t").startswith("[") & F.col("_p").startswith("["), F.lit(False))
+    same_tools = F.col("_t_names") == F.col("_p_names")
+    same_calls = same_tools & (F.col("_t") == F.col("_p"))
+    return read.agg(
+        F.avg(F.when(readable, same_tools.cast("double"))).alias("tool_accuracy"),
+        F.avg(F.when(readable, same_calls.cast("double"))).alias("exact_match"),
+        F.count_if(readable).alias("total_samples"),
     )

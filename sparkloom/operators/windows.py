@@ -13,6 +13,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
+from ..session import materialise
 from .attach import attach
 from .cleaning import last_hours
 
@@ -38,13 +39,14 @@ def with_lookback(df: DataFrame, key: Sequence[str], ts: str, depth: int, tie: s
     # a run opening at row s needs rows [s - depth, s): all slots that end in (s - depth, s]
     reach = Window.partitionBy(*key).orderBy("_end").rangeBetween(0, max(depth - 1, 0))
     slots = slots.withColumn("_feeds", F.array_distinct(F.collect_list("_opens").over(reach)))
+    slots = materialise(slots.select(*key, "_slot", "_run", "_feeds"), "slots")
 
-    own = attach(slotted, slots.select(*key, "_slot", "_run"), [*key, "_slot"], "_s")
+    own = attach(slotted, slots.select(*key, "_slot", "_run"), [*key, "_slot"], "_s", stored=False)
     own = own.withColumns({"_run": F.col("_s._run"), "_halo": F.lit(False)}).drop("_s", "_slot")
 
     feeding = slots.where(F.size("_feeds") > 0).select(*key, "_slot", "_feeds")
     newest_first = Window.partitionBy(*key, "_slot").orderBy(F.desc(ts), F.desc(tie))
-    lent = attach(slotted, feeding, [*key, "_slot"], "_s").where(F.col("_s._feeds").isNotNull())
+    lent = attach(slotted, feeding, [*key, "_slot"], "_s", stored=False).where(F.col("_s._feeds").isNotNull())
     lent = (lent.withColumn("_rn", F.row_number().over(newest_first)).where(F.col("_rn") <= depth)
             .withColumn("_run", F.explode("_s._feeds")).withColumn("_halo", F.lit(True))
             .drop("_s", "_slot", "_rn"))
