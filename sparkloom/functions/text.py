@@ -53,8 +53,15 @@ def _between_brackets(text: Column, opening: str, closing: str) -> Column:
     return F.when(found, F.substring(text, start, end - start + 1))
 
 
-def _is_json(text: Column) -> Column:
-    return F.try_parse_json(text).isNotNull()
+def is_json(text: Column) -> Column:
+    """Whether the whole text is one JSON value.
+
+    The parser stops after the first value, so the text is read as an object's
+    field and as a list's element: nothing can follow a value in both.
+    """
+    as_field = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
+    as_element = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    return as_field.isNotNull() & as_element.isNotNull()
 
 
 def _bind(value: Column, use) -> Column:
@@ -81,7 +88,7 @@ def parse_tool_calls(text) -> Column:
 
     def listed_calls(listed: Column) -> Column:
         # nested values stay JSON text; an element that is no object comes out as NULL
-        elements = F.when(_is_json(listed), F.from_json(listed, "array<map<string,string>>"))
+        elements = F.when(is_json(listed), F.from_json(listed, "array<map<string,string>>"))
 
         def checked(items: Column) -> Column:
             nameless = F.exists(items, lambda f: f.isNull() | ~F.map_contains_key(f, "name"))
@@ -90,7 +97,7 @@ def parse_tool_calls(text) -> Column:
         return _bind(elements, checked)
 
     def single_call(single: Column) -> Column:
-        fields = F.when(_is_json(single), F.from_json(single, "map<string,string>"))
+        fields = F.when(is_json(single), F.from_json(single, "map<string,string>"))
         return _bind(fields, lambda f: F.when(f.isNotNull(), F.array(_call(f)).cast(TOOL_CALL)).otherwise(nothing))
 
     return F.when(has_list, _bind(_between_brackets(text, "[", "]"), listed_calls)).otherwise(
@@ -111,7 +118,7 @@ def valid_dataset_row(query, tools) -> Column:
     """Query and tools present and not empty, tools readable as JSON."""
     query, tools = as_col(query), as_col(tools)
     present = query.isNotNull() & (F.length(query) > 0) & tools.isNotNull() & (F.length(tools) > 0)
-    return F.coalesce(present & _is_json(tools), F.lit(False))
+    return F.coalesce(present & is_json(tools), F.lit(False))
 
 
 def _json_layout(indent: int | None):

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.text import attention, pad, parse_tool_calls, tokens, tool_prompt, valid_dataset_row
+from ..functions.text import attention, is_json, pad, parse_tool_calls, tokens, tool_prompt, valid_dataset_row
 from ..operators.order_stats import first_fraction
 
 PAD_ID, UNKNOWN_ID, FIRST_WORD_ID = 0, 1, 2
@@ -61,7 +61,7 @@ def tool_training_set(df: DataFrame, order: str, tie: str, eval_fraction: float
                       columns: Sequence[str] = ("query", "tools", "answers")) -> DataFrame:
     """Formatted training texts of the valid rows; the last part in order is for evaluation."""
     query, tools, answers = columns
-    readable = valid_dataset_row(query, tools) & F.try_parse_json(F.col(answers)).isNotNull()
+    readable = valid_dataset_row(query, tools) & F.coalesce(is_json(F.col(answers)), F.lit(False))
     # texts are formatted after the split, which looks at the order only
     marked = first_fraction(df.where(readable), order, tie, 1 - eval_fraction)
     return marked.withColumn("text", tool_prompt(query, tools, answers)).where(F.length("text") > 0)

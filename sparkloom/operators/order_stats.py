@@ -59,62 +59,56 @@ def _running(df: DataFrame, by: Sequence[str], order: str) -> DataFrame:
     return df.withColumn("_end", F.sum("_n").over(ordered)).withColumn("_before", F.col("_end") - F.col("_n"))
 
 
+def _same_key(key: Sequence[str]) -> list[Column]:
+    return [F.col(f"b.{k}").eqNullSafe(F.col(f"t.{k}")) for k in key]
+
+
 def order_statistics(df: DataFrame, value: str, ranks: Sequence[Rank], key: Sequence[str] = ()) -> DataFrame:
     """One row per key: ``n`` and per rank its ``value_i`` and ``before_i``, the number of smaller values.
 
-    Missing values (and not-a-number) are left out of the count.
+    Missing values (and not-a-number) are left out of the count. A key none of
+    whose ranks exists has no row.
     """
     key = list(key)
     base = df.select(*key, F.col(value).alias("_v")).where(F.col("_v").isNotNull())
     if isinstance(base.schema["_v"].dataType, (T.DoubleType, T.FloatType)):
         base = base.where(~F.isnan("_v"))
-    base = base.withColumn("_x", F.col("_v").cast("double"))
+    base = base.withColumn("_x", F.col("_v").cast("double")).withColumn("_bin", _log_bin(F.col("_x")))
 
     # pass 1: which logarithmic bin holds each rank
-    bins = base.groupBy(*key, _log_bin(F.col("_x")).alias("_bin")).agg(
-        F.count("*").alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
-    placed = _running(bins, key, "_bin").withColumn("_total", F.sum("_n").over(Window.partitionBy(*key)))
-
-    def bin_of(i: int, rank: Rank) -> Column:
-        wanted = rank(F.col("_total"))
-        here = (F.col("_before") <= wanted) & (wanted < F.col("_end"))
-        return F.max(F.when(here, F.struct(
-            F.lit(i).alias("i"), wanted.alias("rank"), F.col("_bin").alias("bin"), F.col("_lo").alias("lo"),
-            F.col("_hi").alias("hi"), F.col("_before").alias("before"))))
-
-    first = materialise(placed.groupBy(*key).agg(
-        F.max("_total").alias("n"),
-        F.array(*[bin_of(i, r) for i, r in enumerate(ranks)]).alias("targets")), "ranks-bin")
+    bins = base.groupBy(*key, "_bin").agg(F.count("*").alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
+    placed = _running(bins, key, "_bin").withColumn("n", F.sum("_n").over(Window.partitionBy(*key)))
+    asked = placed.select("*", F.posexplode(F.array(*[r(F.col("n")) for r in ranks])).alias("i", "rank"))
+    targets = materialise(asked.where((F.col("_before") <= F.col("rank")) & (F.col("rank") < F.col("_end"))).select(
+        *key, "n", "i", "rank", F.col("_bin").alias("bin"), F.col("_lo").alias("lo"), F.col("_hi").alias("hi"),
+        F.col("_before").alias("before")), "ranks-bin")
+
+    def rows_in(found: DataFrame) -> DataFrame:
+        """Rows that fall into a target's bin, with the part of the bin they are in."""
+        condition = F.col("b._bin") == F.col("t.bin")
+        for same in _same_key(key):
+            condition = condition & same
+        rest = [F.col(f"t.{c}") for c in found.columns]
+        return base.alias("b").join(found.alias("t"), condition).select("b._v", "b._x", *rest).withColumn(
+            "_part", _part(F.col("_x"), F.col("lo"), F.col("hi")))
 
     # pass 2: which part of that bin
-    def matching(found: DataFrame, condition) -> DataFrame:
-        here = F.filter(F.col("_t.targets"), lambda t: t.isNotNull() & condition(t))
-        return attach(base, found, key, "_t", stored=False).select(*key, "_v", "_x", F.inline(here))
-
-    in_bin = matching(first.select(*key, "targets"), lambda t: t["bin"] == _log_bin(F.col("_x")))
-    fields = ["i", "rank", "bin", "lo", "hi", "before"]
-    parts = in_bin.groupBy(*key, *fields, _part(F.col("_x"), F.col("lo"), F.col("hi")).alias("part")).agg(
-        F.count("*").alias("_n"))
-    part_end = _running(parts, [*key, "i"], "part")
-    here = (F.col("before") + F.col("_before") <= F.col("rank")) & (F.col("rank") < F.col("before") + F.col("_end"))
-    second = materialise(part_end.where(here).groupBy(*key).agg(F.collect_list(F.struct(
-        "i", "rank", "bin", "lo", "hi", (F.col("before") + F.col("_before")).alias("before"), "part")).alias("targets")),
-        "ranks-part")
+    group = [*key, "n", "i", "rank", "bin", "lo", "hi", "before"]
+    parts = rows_in(targets).groupBy(*group, "_part").agg(F.count("*").alias("_n"))
+    begin, end = F.col("before") + F.col("_before"), F.col("before") + F.col("_end")
+    hit = (begin <= F.col("rank")) & (F.col("rank") < end)
+    narrowed = materialise(_running(parts, [*key, "i"], "_part").where(hit).select(
+        *key, "n", "i", "rank", "bin", "lo", "hi", begin.alias("before"), F.col("_part").alias("part")), "ranks-part")
 
     # pass 3: order the values of that part
-    in_part = matching(second, lambda t: (t["bin"] == _log_bin(F.col("_x"))) & (
-        t["part"] == _part(F.col("_x"), t["lo"], t["hi"])))
-    values = in_part.groupBy(*key, "i", "rank", "before", "_v").agg(F.count("*").alias("_n"))
-    ordered = _running(values, [*key, "i"], "_v")
-    holds = (F.col("before") + F.col("_before") <= F.col("rank")) & (F.col("rank") < F.col("before") + F.col("_end"))
+    sliver = rows_in(narrowed).where(F.col("_part") == F.col("part"))
+    values = sliver.groupBy(*key, "n", "i", "rank", "before", "_v").agg(F.count("*").alias("_n"))
     picked = []
     for i in range(len(ranks)):
         mine = F.col("i") == i
         picked.append(F.max(F.when(mine, F.col("_v"))).alias(f"value_{i}"))
-        picked.append(F.max(F.when(mine, F.col("before") + F.col("_before"))).alias(f"before_{i}"))
-    found = ordered.where(holds).groupBy(*key).agg(*picked)
-    sized = attach(first.select(*key, "n"), found, key, "_f", stored=False)
-    return sized.select(*key, "n", *[F.col(f"_f.{c}").alias(c) for c in found.columns if c not in key])
+        picked.append(F.max(F.when(mine, begin)).alias(f"before_{i}"))
+    return _running(values, [*key, "i"], "_v").where(hit).groupBy(*key, "n").agg(*picked)
 
 
 def percentiles(df: DataFrame, value: str, probs: Sequence[float], key: Sequence[str] = (),

@@ -8,7 +8,7 @@ from itertools import combinations_with_replacement
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.numbers import absolute_error, percent_error
-from ..functions.text import call_names, parse_tool_calls
+from ..functions.text import call_names, is_json, parse_tool_calls
 from .attach import attach
 from .order_stats import percentiles
 
@@ -215,7 +215,7 @@ def score_tool_calls(df: DataFrame, truth: str, predicted: str) -> DataFrame:
     """Share of rows calling the same tools and share with identical calls; unreadable rows are left out."""
     sides = {"_t": F.col(truth), "_p": F.col(predicted)}
     # each text is parsed once: a variant prints its object keys in one fixed order, so equal calls print alike
-    read = df.select(*[F.to_json(F.try_parse_json(c)).alias(n) for n, c in sides.items()],
+    read = df.select(*[F.when(is_json(c), F.to_json(F.try_parse_json(c))).alias(n) for n, c in sides.items()],
                      *[call_names(parse_tool_calls(c)).alias(f"{n}_names") for n, c in sides.items()])
     readable = F.coalesce(F.col("_t").startswith("[") & F.col("_p").startswith("["), F.lit(False))
     same_tools = F.col("_t_names") == F.col("_p_names")

@@ -23,7 +23,7 @@ BASE_CONF = {
 
 
 def build_session(app_name: str = "sparkloom", master: str | None = None, **extra: str) -> SparkSession:
-    """Create (or fetch) a session with the settings above; ``extra`` uses ``_`` for ``.``."""
+    """Create (or fetch) a session with the settings above; ``extra`` names use ``_`` for ``.``."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
