@@ -112,7 +112,7 @@ def _(t):
 def _(t):
     train, test = parts(feat.mark_stratified(vectors(t), "row_id", 0.8, ["species"]))
     return mod.compare_models(train, test, {
-        "linear": mod.linear("linear"), "ridge": mod.linear("ridge", 1.0, train.count()), "lasso": mod.linear("lasso", 0.1)})
+        "linear": mod.linear("linear"), "ridge": mod.linear("ridge", 1.0, mod.ridge_unit(train)), "lasso": mod.linear("lasso", 0.1)})
 
 
 @query("m11_tree_models")

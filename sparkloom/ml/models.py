@@ -36,20 +36,30 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def linear(kind: str = "linear", alpha: float = 1.0, rows: int | None = None, intercept: bool = True,
+def ridge_unit(train: DataFrame, label: str = "label") -> float:
+    """Spark's regularisation for a ridge ``alpha`` of 1 on this frame.
+
+    Spark averages the squared loss over the rows and applies the quadratic
+    penalty to a label scaled by its deviation.
+    """
+    row = train.agg(F.count(label).alias("n"), F.stddev_pop(label).alias("s")).first()
+    return row.s / row.n if row.n else 0.0
+
+
+def linear(kind: str = "linear", alpha: float = 1.0, unit: float | None = None, intercept: bool = True,
            features: str = "features", label: str = "label") -> LinearRegression:
     """Ordinary, ridge or lasso regression with the usual single-machine meaning of ``alpha``.
 
-    Spark divides the squared loss by the row count, so a ridge ``alpha`` needs
-    ``rows``; inputs are expected to be scaled already.
+    Ridge needs the ``ridge_unit`` of its training rows; inputs are expected to
+    be scaled already.
     """
     model = LinearRegression(featuresCol=features, labelCol=label, fitIntercept=intercept, standardization=False)
     if kind == "linear":
         return model.setRegParam(0.0)
     if kind == "ridge":
-        if rows is None:
-            raise ValueError("ridge needs the number of training rows")
-        return model.setRegParam(alpha / rows).setElasticNetParam(0.0)
+        if unit is None:
+            raise ValueError("ridge needs the ridge_unit of its training rows")
+        return model.setRegParam(alpha * unit).setElasticNetParam(0.0)
     if kind == "lasso":
         return model.setRegParam(alpha).setElasticNetParam(1.0)
     raise ValueError(f"unknown linear model {kind!r}")

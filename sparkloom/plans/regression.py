@@ -44,12 +44,12 @@ def prepare(df: DataFrame, numeric: Sequence[str], category: str, target: str, r
 
 
 def default_grids(train: DataFrame) -> dict:
-    rows = train.count()
-    plain, ridge, lasso = mod.linear("linear"), mod.linear("ridge", 1.0, rows), mod.linear("lasso", 1.0)
+    unit = mod.ridge_unit(train)
+    plain, ridge, lasso = mod.linear("linear"), mod.linear("ridge", 1.0, unit), mod.linear("lasso", 1.0)
     wood = mod.forest(50, 5)
     return {
         "linear": (plain, ParamGridBuilder().addGrid(plain.fitIntercept, [True, False]).build()),
-        "ridge": (ridge, ParamGridBuilder().addGrid(ridge.regParam, [a / rows for a in ALPHAS]).build()),
+        "ridge": (ridge, ParamGridBuilder().addGrid(ridge.regParam, [a * unit for a in ALPHAS]).build()),
         "lasso": (lasso, ParamGridBuilder().addGrid(lasso.regParam, ALPHAS).build()),
         "forest": (wood, ParamGridBuilder().addGrid(wood.numTrees, [50, 100]).addGrid(wood.maxDepth, [5, 10]).build()),
     }
