@@ -211,7 +211,15 @@ def _(t):
                              txt.completion(code).alias("completion"))
 
 
-@query("d24_tool_prompt")
+@query("d24_tool_prompt", r"""
+WITH v AS (SELECT event_id AS id, event_type AS kind, props FROM events WHERE event_id % 17 <> 0 AND event_id % 13 <> 0),
+p AS (SELECT id, concat('You are an AI assistant with access to the following tools:', chr(10), chr(10), '[', chr(10), '  {', chr(10),
+    '    "name": "', kind, '",', chr(10), '    "description": "d"', chr(10), '  }', chr(10), ']', chr(10), chr(10),
+    'Based on the user''s query, determine which tool(s) to call and with what arguments.', chr(10),
+    'Your response should be a JSON array of tool calls in the format:', chr(10),
+    '[{"name": "tool_name", "arguments": {"param": "value"}}]', chr(10), chr(10), 'User Query: find ', kind, chr(10), chr(10), 'Tool Calls:') AS prompt,
+  concat('[{"name": "', kind, '", "arguments": ', props, '}]') AS answers FROM v)
+SELECT id, md5(prompt) AS prompt_hash, CAST(length(prompt) + 1 + length(answers) AS BIGINT) AS training_chars FROM p""")
 def _(t):
     valid = t.calls.where(txt.valid_dataset_row("query", "tools"))
     return valid.select("id", F.md5(txt.tool_prompt("query", "tools")).alias("prompt_hash"),

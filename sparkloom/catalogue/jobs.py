@@ -106,7 +106,37 @@ def _(t):
     return forecast
 
 
-@query("z06_profile")
+def _profile_sql() -> str:
+    numeric, frame = ["Weight", "Length1", "Height", "Width"], "{fish}"
+    cells = []
+
+    def add(section, item, statistic, value, source=frame):
+        cells.append(f"SELECT '{section}' AS section, {item} AS item, '{statistic}' AS statistic, ROUND(CAST({value} AS DOUBLE), 4) + 0.0 AS value FROM {source}")
+
+    for c in numeric:
+        figures = {"count": f"COUNT({c})", "mean": f"AVG({c})", "std": f"stddev_samp({c})", "min": f"MIN({c})", "max": f"MAX({c})",
+                   "q1": f"quantile_cont({c}, 0.25)", "median": f"quantile_cont({c}, 0.5)", "q3": f"quantile_cont({c}, 0.75)"}
+        for name, value in figures.items():
+            add("summary", f"'{c}'", name, value)
+        for other in numeric:
+            add("correlation", f"'{c} ~ {other}'", "corr", f"corr({c}, {other})")
+    for c in ["Species", *numeric]:
+        add("missing", f"'{c}'", "missing", f"COUNT(*) - COUNT({c})")
+        add("missing", f"'{c}'", "missing_pct", f"(COUNT(*) - COUNT({c})) * 100.0E0 / COUNT(*)")
+    by_species = frame + " GROUP BY Species"
+    add("category", "Species", "count", "COUNT(*)", by_species)
+    add("category", "Species", "percentage", f"COUNT(*) * 100.0E0 / (SELECT COUNT(*) FROM {frame})", by_species)
+    for name, value in {"min": "MIN(Weight)", "q1": "quantile_cont(Weight, 0.25)", "median": "quantile_cont(Weight, 0.5)",
+                        "q3": "quantile_cont(Weight, 0.75)", "max": "MAX(Weight)"}.items():
+        add("box", "Species", name, value, by_species)
+    edges = f"(SELECT MIN(Weight) AS lo, (MAX(Weight) - MIN(Weight)) / 20 AS w FROM {frame}) e, range(20) r(b)"
+    add("histogram", "CAST(b AS VARCHAR)", "bin_start", "lo + b * w", edges)
+    add("histogram", "CAST(b AS VARCHAR)", "bin_end", "lo + (b + 1) * w", edges)
+    add("histogram", "CAST(b AS VARCHAR)", "count", f"(SELECT COUNT(*) FROM {frame} f WHERE least(19, floor((f.Weight - lo) / w)) = b)", edges)
+    return " UNION ALL ".join(cells)
+
+
+@query("z06_profile", _profile_sql())
 def _(t):
     return prof.profile(t.fish, ["Weight", "Length1", "Height", "Width"], "Species", "Weight")
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import fixed_values as fx
 from ..functions.numbers import as_col, haversine_km
@@ -38,12 +38,22 @@ def count_by_dimension(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key:
 
 def mean_of_two_sides(df: DataFrame, left_key: str, left_value: str, right_key: str, right_value: str,
                       key: str = "airport", out: str = "taxi") -> DataFrame:
-    """Mean of two per-key averages, for keys that occur on both sides, ascending."""
-    left = df.where(F.col(left_key).isNotNull()).groupBy(F.col(left_key).alias(key)).agg(
-        F.avg(left_value).alias("_l"))
-    right = df.where(F.col(right_key).isNotNull()).groupBy(F.col(right_key).alias(key)).agg(
-        F.avg(right_value).alias("_r"))
-    return (left.join(right, key)
+    """Mean of two per-key averages, for keys that occur on both sides, ascending.
+
+    Both sides come out of one scan: each row counts once under either key, and
+    a key needs rows of both kinds, which is what joining the averages asks for.
+    """
+    def side(k: str, left, right) -> Column:
+        return F.struct(F.col(k).alias(key), left.cast("double").alias("_l"), right.cast("double").alias("_r"),
+                        F.lit(k == left_key).alias("_is_left"))
+
+    nothing = F.lit(None)
+    both = df.select(F.inline(F.array(side(left_key, F.col(left_value), nothing),
+                                      side(right_key, nothing, F.col(right_value)))))
+    averaged = both.where(F.col(key).isNotNull()).groupBy(key).agg(
+        F.avg("_l").alias("_l"), F.avg("_r").alias("_r"),
+        F.bool_or("_is_left").alias("_left"), F.bool_or(~F.col("_is_left")).alias("_right"))
+    return (averaged.where("_left AND _right")
             .select(key, ((F.col("_l") + F.col("_r")) / 2).alias(out))
             .orderBy(out, key))
 

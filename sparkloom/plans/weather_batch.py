@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, functions as F
 
 from .. import fixed_values as fx
@@ -10,7 +12,7 @@ from ..functions.weather import dew_point, heat_index, wind_chill
 from ..operators.aggregates import rollup_readings
 from ..operators.cleaning import apply_mapping, within_bounds
 from ..sinks.lake import AGGREGATE_KEYS, FACT_KEYS, write_lake
-from ..sinks.tables import observed, record_metrics
+from ..sinks.tables import record_metrics
 
 #: raw column, its type, processed column, its type
 MAPPING = [
@@ -54,16 +56,21 @@ def aggregated(facts: DataFrame, now=None) -> DataFrame:
     return rollup_readings(facts).withColumn("created_at", stamp)
 
 
-def weather_batch(raw: DataFrame, out: str, now=None, mode: str = "append") -> dict[str, float]:
+def weather_batch(raw: DataFrame, out: str, now: str | None = None, mode: str = "append") -> dict[str, float]:
     """Write both layers under ``out`` and record the run.
 
-    Counts are taken while the first layer is written. The second layer is
-    planned from the source again, which reads only its own few columns.
+    The second layer is planned from the source again, which reads only its own
+    few columns. Counts cost no pass over the data: the total is a row count of
+    the source and the valid rows are summed up from this run's daily figures.
     """
-    counted, watch = observed(with_time(raw), "weather_batch", is_plausible())
-    write_lake(processed(counted, now), f"{out}/processed", FACT_KEYS, mode=mode)
-    write_lake(aggregated(processed(raw, now), now), f"{out}/aggregated", AGGREGATE_KEYS, mode=mode)
-    total, valid = watch.get["total"], watch.get["valid"]
+    spark = raw.sparkSession
+    now = now or datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
+    facts = processed(raw, now)
+    write_lake(facts, f"{out}/processed", FACT_KEYS, mode=mode)
+    write_lake(aggregated(facts, now), f"{out}/aggregated", AGGREGATE_KEYS, mode=mode, rebalance=True)
+    this_run = (F.col("aggregation_level") == "daily") & (F.col("created_at") == F.lit(now).cast("timestamp"))
+    counted = spark.read.parquet(f"{out}/aggregated").where(this_run).agg(F.sum("measurement_count").alias("n")).first()
+    total, valid = raw.count(), counted.n or 0
     metrics = {"records": total, "valid_records": valid, "quality_score": valid * 100.0 / total if total else 0.0}
-    record_metrics(raw.sparkSession, f"{out}/metrics", "weather_batch", metrics, now)
+    record_metrics(spark, f"{out}/metrics", "weather_batch", metrics, now)
     return metrics

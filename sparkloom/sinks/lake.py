@@ -14,12 +14,16 @@ AGGREGATE_KEYS = ("aggregation_level", "year", "month")
 
 
 def write_lake(df: DataFrame, path: str, partition_keys: Sequence[str] = FACT_KEYS, compression: str = "gzip",
-               mode: str = "append", rows_per_file: int = 5_000_000) -> None:
+               mode: str = "append", rows_per_file: int = 5_000_000, rebalance: bool = False) -> None:
     """Parquet, one folder per key value.
 
-    Rows stay in the task that made them, so a hot folder is written by many
-    tasks; the record limit keeps single files readable.
+    Rows stay in the task that made them, which suits input that already comes
+    day by day. ``rebalance`` brings the rows of a folder together first, so
+    scattered input does not leave a file per task and folder; adaptive
+    execution splits a folder that is too large for one task.
     """
+    if rebalance:
+        df = df.hint("rebalance", *[F.col(k) for k in partition_keys])
     (df.write.mode(mode).partitionBy(*partition_keys).option("compression", compression)
      .option("maxRecordsPerFile", rows_per_file).parquet(path))
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sparkloom import schemas
 from sparkloom.ml import models as mod
 from sparkloom.ml.features import assemble
-from sparkloom.plans import bi
+from sparkloom.plans import bi, weather_batch
 from sparkloom.session import scratch_path
 from sparkloom.sinks import lake, tables
 from sparkloom.sources import files, streams
@@ -142,15 +142,24 @@ def test_bi_export_counts(spark, folder):
     assert {r.n for r in back} == {"0.0", "2.0"} and back[0].data_source == "test"
 
 
-def test_observed_counts_and_metrics_table(spark, folder):
-    df, watch = tables.observed(spark.range(10), f"w{uuid.uuid4().hex}", F.col("id") < 7)
-    df.write.format("noop").mode("overwrite").save()
-    assert watch.get == {"total": 10, "valid": 7}
+def test_metrics_table_grows_by_run(spark, folder):
     for _ in range(2):
-        table = tables.record_metrics(spark, f"{folder}/metrics", "job", watch.get)
+        table = tables.record_metrics(spark, f"{folder}/metrics", "job", {"total": 10, "valid": 7})
     assert table.count() == 4
 
 
+def test_weather_batch_counts_each_run_on_its_own(spark, folder):
+    rows = [("s1", "2024-01-01T05:00:00Z", 20.0, 50.0, 1000.0, 5.0, 10.0, "fine", "{}"),
+            ("s1", "2024-01-01T06:00:00Z", 99.0, 50.0, 1000.0, 5.0, 10.0, "odd", "{}"), ("s1", "never", 20.0, 50.0, 1000.0, 5.0, 10.0, "odd", "{}")]
+    raw = spark.createDataFrame(rows, schemas.RAW_WEATHER)
+    for _ in range(2):
+        metrics = weather_batch.weather_batch(raw, folder)
+    assert metrics["records"] == 3 and metrics["valid_records"] == 1 and metrics["quality_score"] == pytest.approx(100 / 3)
+    fact = spark.read.parquet(f"{folder}/processed").first()
+    assert (fact.month, fact.day, fact.hour, fact.data_quality_score) == (1, 1, 5, 100.0)
+    assert spark.read.parquet(f"{folder}/aggregated").count() == 4
+
+
 def test_model_round_trip(spark, folder):
     df = assemble(spark.createDataFrame([(float(i), 2.0 * i + 1) for i in range(20)], "x double, label double"), ["x"])
     stages = mod.fit_stages(df, [mod.linear()])
