@@ -271,7 +271,7 @@ SELECT ROUND(AVG(CASE WHEN event_id % 7 = 0 OR event_id % 5 <> 0 THEN 1.0E0 ELSE
   ROUND(AVG(CASE WHEN event_id % 7 <> 0 AND event_id % 5 <> 0 THEN 1.0E0 ELSE 0.0E0 END), 4) AS exact_match, COUNT(*) AS total_samples
 FROM events WHERE event_id % 11 <> 0""")
 def _(t):
-    return st.score_tool_calls(t.calls, "answers", "predicted")
+    return st.score_tool_calls(t.wide("calls"), "answers", "predicted")
 
 
 @query("a30_usage_per_day", """

@@ -234,7 +234,7 @@ SELECT id, row_number() OVER (ORDER BY id) <= floor(0.8 * COUNT(*) OVER ()) AS i
   position('find ' || kind IN 'find ' || kind) = 1 AS has_query
 FROM (SELECT event_id AS id, event_type AS kind FROM events WHERE event_id % 17 <> 0 AND event_id % 13 <> 0)""")
 def _(t):
-    texts = prep.tool_training_set(t.calls.withColumn("order_id", F.col("id")), "order_id", "id")
+    texts = prep.tool_training_set(t.wide("calls").withColumn("order_id", F.col("id")), "order_id", "id")
     return texts.select("id", "is_train", F.contains("text", F.concat(F.lit("User Query: "), "query")).alias("has_query"))
 
 
@@ -244,8 +244,9 @@ SELECT id, CASE WHEN id % 17 = 0 OR id % 13 = 0 OR id % 3 = 0 OR id % 11 = 0 THE
     || CASE WHEN id % 7 = 0 THEN '{}' ELSE replace(props, ' ', '') END || '}]' END AS my_answers
 FROM (SELECT event_id AS id, event_type AS kind, props FROM events)""")
 def _(t):
-    answers = prep.answer_calls(t.calls.where("id % 3 <> 0"), "id", "predicted")
-    return prep.fill_answers(t.calls, answers, "id").select("id", "my_answers")
+    calls = t.wide("calls")
+    answers = prep.answer_calls(calls.where("id % 3 <> 0"), "id", "predicted")
+    return prep.fill_answers(calls, answers, "id").select("id", "my_answers")
 
 
 @query("d27_encode_tokens", """
@@ -257,8 +258,9 @@ SELECT d.doc_id, COALESCE(SUM(COALESCE(token_id, 1)) FILTER (WHERE c.token IS NO
   CAST(128 AS BIGINT) AS width
 FROM documents d LEFT JOIN cut c ON c.doc_id = d.doc_id LEFT JOIN vocabulary v ON v.token = c.token GROUP BY d.doc_id""")
 def _(t):
-    vocabulary = prep.fit_vocabulary(t.documents, "text", 2000)
-    encoded = prep.encode_tokens(t.documents, "doc_id", "text", vocabulary, 128)
+    documents = t.wide("documents").select("doc_id", "text")
+    vocabulary = prep.fit_vocabulary(documents, "text", 2000)
+    encoded = prep.encode_tokens(documents, "doc_id", "text", vocabulary, 128)
 
     def total(name):
         return F.aggregate(name, F.lit(0).cast("bigint"), lambda a, x: a + x)

@@ -8,7 +8,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..session import pin_runtime_conf
+from ..session import pin_runtime_conf, spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -139,6 +139,13 @@ class Tables:
         setattr(self, name, frame)
         return frame
 
+    def wide(self, name: str) -> DataFrame:
+        """A driver table or view for work that is expensive per row."""
+        if name in VIEWS:
+            table, columns = VIEWS[name]
+            return spread(getattr(self, table)).selectExpr(*columns)
+        return spread(getattr(self, name))
+
     @cached_property
     def labelled(self) -> DataFrame:
         """Texts with a 0/1 label."""

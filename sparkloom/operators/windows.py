@@ -152,41 +152,31 @@ def latest_state(df: DataFrame, key: str, ts: str, tie: str, column: str, second
     history is too short.
     """
     kept = latest_n(df.select(key, ts, tie, column, *([second] if second else [])), [key], ts, tie, n, rank="_rn")
-    fields = [F.col("_rn"), F.col(column).alias("v"), F.col(ts).alias("ts")]
-    if second:
-        fields.append(F.col(second).alias("h"))
-    # at most n rows per key are collected
-    packed = kept.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("_h"))
-    history = F.col("_h")
-    values = F.transform(history, lambda r: r["v"])
-
-    def newest(i: int) -> Column:
-        return F.coalesce(F.try_element_at(values, F.lit(i)), F.element_at(values, 1))
+    rank, value = F.col("_rn"), F.col(column)
 
-    def mean(xs: Column) -> Column:
-        return F.aggregate(xs, F.lit(0.0), lambda a, x: a + x) / F.size(xs)
+    def back(i: int) -> Column:
+        """The value i rows back from the end (1 = newest), NULL when there is none."""
+        return F.max(F.when(rank == i, value))
 
-    def population_std(xs: Column) -> Column:
-        centre = mean(xs)
-        return F.sqrt(mean(F.transform(xs, lambda x: (x - centre) * (x - centre))))
+    def recent(width: int) -> Column:
+        return F.when(rank <= width, value)
 
-    out = {"last_ts": F.element_at(history, 1)["ts"], "rows": F.size(history).cast("bigint")}
+    out = {"last_ts": F.max(ts), "rows": F.count("*")}
     for step in lag_steps:
-        out[f"temp_lag_{step}"] = newest(step)
+        out[f"temp_lag_{step}"] = F.coalesce(back(step), back(1))
     for width in widths:
-        recent = F.slice(values, 1, width)
-        out[f"temp_rolling_mean_{width}"] = mean(recent)
-        out[f"temp_rolling_std_{width}"] = population_std(recent)
-    out["temp_diff_1"] = F.when(F.size(values) >= 2, newest(1) - newest(2)).otherwise(F.lit(0.0))
-    out["temp_diff_24"] = F.when(F.size(values) >= 24, newest(1) - newest(24)).otherwise(F.lit(0.0))
+        out[f"temp_rolling_mean_{width}"] = F.avg(recent(width))
+        out[f"temp_rolling_std_{width}"] = F.stddev_pop(recent(width))
+    out["temp_diff_1"] = F.coalesce(back(1) - back(2), F.lit(0.0))
+    out["temp_diff_24"] = F.coalesce(back(1) - back(24), F.lit(0.0))
     if second:
-        humidity = F.element_at(history, 1)["h"]
+        humidity = F.max(F.when(rank == 1, F.col(second)))
         out["humidity_lag_1"] = humidity
-        out["temp_humidity_ratio"] = newest(1) / (humidity + epsilon)
+        out["temp_humidity_ratio"] = back(1) / (humidity + epsilon)
     else:
         out["humidity_lag_1"] = F.lit(default_second)
-        out["temp_humidity_ratio"] = newest(1) / default_second
-    return packed.select(key, *[c.alias(n_) for n_, c in out.items()])
+        out["temp_humidity_ratio"] = back(1) / default_second
+    return kept.groupBy(key).agg(*[c.alias(name) for name, c in out.items()])
 
 
 def trend(df: DataFrame, station: str, value, ts: str, as_of, hours: int, columns: Sequence[str]) -> DataFrame:
