@@ -5,8 +5,10 @@ from pyspark.sql import functions as F
 from ..functions.documents import json_to_map
 from ..functions.text import completion, prompt
 from ..session import scratch_path
-from ..sinks import lake
+from ..schemas import LABELLED_TEXT
+from ..sinks import lake, tables
 from ..sources import envelope, files
+from ..sources.streams import read_stream
 from .registry import query, stamp, table_path
 
 
@@ -94,3 +96,52 @@ WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-13' GROUP BY 1"""
 def _(t):
     ranged = lake.process_range(t.readings, "timestamp", "2024-01-10", "2024-01-12")
     return ranged.groupBy(F.date_format("timestamp", "yyyy-MM-dd").alias("day")).agg(F.count("*").alias("n"))
+
+
+@query("s01_csv_scan", """
+SELECT UniqueCarrier, COUNT(*) AS n, COUNT(TailNum) AS tails, SUM(ArrDelay)::BIGINT AS delay FROM {flights} GROUP BY UniqueCarrier""")
+def _(t):
+    path = scratch_path(t.spark, "csv")
+    columns = ["UniqueCarrier", "TailNum", "ArrDelay"]
+    t.flights.select(*columns).write.option("header", True).option("nullValue", "NA").csv(path)
+    scan = files.read_csv(t.spark, path, "UniqueCarrier STRING, TailNum STRING, ArrDelay INT")
+    return scan.groupBy("UniqueCarrier").agg(F.count("*").alias("n"), F.count("TailNum").alias("tails"), F.sum("ArrDelay").alias("delay"))
+
+
+@query("s04_json_lines", "SELECT CAST(quality AS BIGINT) AS label, COUNT(*) AS n, SUM(length(text))::BIGINT AS chars FROM documents d JOIN labels l ON d.doc_id = l.doc_id GROUP BY quality")
+def _(t):
+    path = scratch_path(t.spark, "json-lines")
+    lake.export_jsonl(t.labelled.select("text", "label"), path)
+    back = files.read_jsonl(t.spark, path, LABELLED_TEXT)
+    return back.groupBy("label").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars"))
+
+
+@query("s07_partitioned_csv", """
+SELECT strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month, COUNT(*) AS n, COUNT(DISTINCT strftime(ts, '%d')) AS days FROM events
+WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-20' GROUP BY ALL""")
+def _(t):
+    path = scratch_path(t.spark, "partitioned-csv")
+    frame = t.events.select("event_id", F.col("ts").cast("timestamp").alias("ts"), json_to_map("props").alias("metadata"))
+    lake.land_raw_csv(frame, path, "ts")
+    scan = files.read_partitioned_csv(t.spark, path, "event_id BIGINT, ts TIMESTAMP, metadata STRING")
+    return scan.where("day BETWEEN '10' AND '19'").groupBy("year", "month").agg(F.count("*").alias("n"), F.count_distinct("day").alias("days"))
+
+
+@query("k05_append_records", """
+SELECT COUNT(*) AS n, COUNT(*) AS ids, COUNT(*) FILTER (WHERE event_id % 4 <> 0) AS with_metadata, '2024-02-01 00:00:00.000000' AS created_at FROM events""")
+def _(t):
+    path = scratch_path(t.spark, "appended")
+    kept = F.map_filter(json_to_map("props"), lambda k, v: F.col("event_id") % 4 != 0)
+    tables.append_records(t.events.select("event_id", kept.alias("metadata")), path, now="2024-02-01 00:00:00")
+    return t.spark.read.parquet(path).agg(F.count("*").alias("n"), F.count_distinct("id").alias("ids"),
+                                          F.count("metadata").alias("with_metadata"), F.max("created_at").alias("created_at"))
+
+
+@query("k12_incremental_read", "SELECT event_type, COUNT(*) AS n FROM events WHERE value > 10 GROUP BY event_type")
+def _(t):
+    path, checkpoint = scratch_path(t.spark, "incremental"), scratch_path(t.spark, "incremental-checkpoint")
+    source = table_path(t.sf_dir, "events")
+    for _run in range(2):  # the second run finds no new files
+        stream = read_stream(t.spark, "file", path=f"{source[:-1]}[{source[-1]}]", schema=t.events.schema)
+        lake.process_new(t.spark, stream, path, checkpoint, lambda df: df.where("value > 10"))
+    return t.spark.read.parquet(path).groupBy("event_type").agg(F.count("*").alias("n"))

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from ..functions.documents import to_message
 from ..operators import resetting as rs
 from ..session import scratch_path
-from ..sources.streams import only_event_type, parse_data_column, read_stream
+from ..sources.streams import only_event_type, parse_data_column, read_stream, with_ingest_meta
 from ..streaming import run, stateful, windows as win
 from .registry import VIEWS, query, stamp, table_path
 
@@ -216,3 +216,55 @@ def _(t):
         run.to_messages(win.http_window_metrics(stream_of(t, "http")), path, checkpoint, trigger=None).awaitTermination()
     read = t.spark.read.text(path).select(F.get_json_object("value", "$.endpoint").alias("endpoint"))
     return read.groupBy("endpoint").agg(F.count("*").alias("windows"))
+
+
+@query("x10_event_time_monitor", REQUEST_SQL)
+def _(t):
+    stream = monitored(stream_of(t, "http").withWatermark("event_timestamp", "1 minute"))
+    monitor = stateful.request_monitor(stream, time_mode="EventTime", window_ms=HOURS_6)
+    out = run.run_available(monitor, "event-time", partitions(t))
+    return out.where("record = 'metrics'").select("id", "endpoint", "event_ms", "request_count")
+
+
+@query("x12_fan_out", f"""
+SELECT 'raw' AS sink, COUNT(*) AS n FROM {{readings}} UNION ALL SELECT 'plausible', COUNT(*) FROM {{readings}} WHERE {PLAUSIBLE}""")
+def _(t):
+    stream, root = stream_of(t, "readings"), scratch_path(t.spark, "fan-out")
+    sinks = {"raw": (stream, ["weather_condition"]), "plausible": (win.enrich_stream(stream), ())}
+    run.await_all(t.spark, run.fan_out(sinks, root, scratch_path(t.spark, "fan-out-checkpoint"), trigger=None))
+    counts = [t.spark.read.parquet(f"{root}/{name}").agg(F.lit(name).alias("sink"), F.count("*").alias("n")) for name in sinks]
+    return counts[0].unionByName(counts[1])
+
+
+@query("x13_two_stateful_jobs", _chain_sql(HOURS_6) + """
+SELECT path AS endpoint, COUNT(*) AS metrics, SUM(CASE WHEN n >= 3 AND errors * 100.0E0 / n > 10 THEN 1 ELSE 0 END)::BIGINT AS error_alerts FROM w GROUP BY path""")
+def _(t):
+    root = scratch_path(t.spark, "two-jobs")
+    settings = {"window_ms": HOURS_6, "ttl_ms": 10 ** 12}
+    jobs = {"requests": lambda s: stateful.request_monitor(s, **settings),
+            "errors": lambda s: stateful.error_rate_monitor(s, min_requests=3, **settings)}
+    with run.started_with(t.spark, partitions(t), idle_batches=False):
+        run.await_all(t.spark, run.fan_out_state(monitored(stream_of(t, "http")), jobs, root,
+                                                 scratch_path(t.spark, "two-jobs-checkpoint"), trigger=None))
+    metrics = t.spark.read.parquet(f"{root}/requests").where("record = 'metrics'").groupBy("endpoint").agg(F.count("*").alias("metrics"))
+    alerts = t.spark.read.parquet(f"{root}/errors").groupBy("endpoint").agg(
+        F.count_if(F.col("record") == "HIGH_ERROR_RATE").alias("error_alerts"))
+    return metrics.join(alerts, "endpoint")
+
+
+@query("x16_micro_batches", "SELECT event_type, COUNT(*) AS n FROM events GROUP BY event_type")
+def _(t):
+    path = scratch_path(t.spark, "micro")
+
+    def keep(batch, batch_id):  # by batch id, so that a replayed batch replaces itself
+        batch.groupBy("event_type").agg(F.count("*").alias("n")).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    run.micro_batch(events_stream(t), keep, scratch_path(t.spark, "micro-checkpoint"), trigger=None).awaitTermination()
+    return t.spark.read.parquet(path).groupBy("event_type").agg(F.sum("n").alias("n"))
+
+
+@query("d28_ingest_metadata", "SELECT COUNT(*) AS n, COUNT(*) AS dated, CAST(1 AS BIGINT) AS sources FROM events")
+def _(t):
+    rows = run.run_available(with_ingest_meta(events_stream(t)), "ingest")
+    suffix = F.regexp_extract("source_file", r"\.(\w+)$", 1)
+    return rows.agg(F.count("*").alias("n"), F.count("arrival_time").alias("dated"), F.count_distinct(suffix).alias("sources"))
