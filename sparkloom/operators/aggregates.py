@@ -35,17 +35,24 @@ def ratio_where(df: DataFrame, key: str, condition: Column, name: str = "ratio",
     return df.groupBy(key).agg((F.count_if(condition) * scale / F.count("*")).alias(name))
 
 
-#: measures of the station rollup: result name -> (function, processed column)
-ROLLUP_MEASURES = {
-    "avg_temperature": (F.avg, "temperature_celsius"),
-    "min_temperature": (F.min, "temperature_celsius"),
-    "max_temperature": (F.max, "temperature_celsius"),
-    "avg_humidity": (F.avg, "humidity_percent"),
-    "avg_pressure": (F.avg, "pressure_hpa"),
-    "avg_wind_speed": (F.avg, "wind_speed_kmh"),
-    "max_wind_speed": (F.max, "wind_speed_kmh"),
-    "avg_data_quality": (F.avg, "data_quality_score"),
+#: figures reported per station; each comes out as ``<function>_<measure>``
+STATION_FIGURES = {
+    "temperature": ("avg", "min", "max"),
+    "humidity": ("avg",),
+    "pressure": ("avg",),
+    "wind_speed": ("avg", "max"),
 }
+#: the measures as the processed layer calls them
+PROCESSED_NAMES = {"temperature": "temperature_celsius", "humidity": "humidity_percent", "pressure": "pressure_hpa",
+                   "wind_speed": "wind_speed_kmh"}
+
+
+def station_figures(names: Mapping[str, str] | None = None) -> list[Column]:
+    """Aggregates of ``STATION_FIGURES`` and the number of readings; ``names`` maps measures to columns."""
+    names = names or {}
+    figures = [getattr(F, function)(names.get(measure, measure)).alias(f"{function}_{measure}")
+               for measure, functions in STATION_FIGURES.items() for function in functions]
+    return [*figures, F.count("*").alias("measurement_count")]
 
 
 def rollup_readings(df: DataFrame, station: str = "station_id") -> DataFrame:
@@ -55,9 +62,9 @@ def rollup_readings(df: DataFrame, station: str = "station_id") -> DataFrame:
     """
     daily = [F.col(c) for c in (station, "year", "month", "day")]
     hourly = [*daily, F.col("hour")]
-    measures = [fn(column).alias(name) for name, (fn, column) in ROLLUP_MEASURES.items()]
     return (df.groupingSets([hourly, daily], *hourly)
-            .agg(*measures, F.count("*").alias("measurement_count"), F.grouping("hour").alias("_daily"))
+            .agg(*station_figures(PROCESSED_NAMES), F.avg("data_quality_score").alias("avg_data_quality"),
+                 F.grouping("hour").alias("_daily"))
             .withColumn("aggregation_level", F.when(F.col("_daily") == 1, "daily").otherwise("hourly"))
             .drop("_daily"))
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .. import fixed_values as fx
 from ..functions.weather import alert_level, heat_index
-from ..operators.aggregates import window_request_metrics
+from ..operators.aggregates import station_figures, window_request_metrics
 from ..operators.cleaning import valid_readings
 
 
@@ -37,17 +37,9 @@ def window_stats(df: DataFrame, ts: str = "timestamp", key: str = "station_id",
     window = F.window(ts, width, slide) if slide else F.window(ts, width)
     counts = F.array(*[F.struct(F.lit(level).alias("level"), F.count_if(F.col("alert_level") == level).alias("n"))
                        for level in levels])
-    return df.groupBy(window.alias("_w"), key).agg(
-        F.avg("temperature").alias("avg_temperature"),
-        F.min("temperature").alias("min_temperature"),
-        F.max("temperature").alias("max_temperature"),
-        F.avg("humidity").alias("avg_humidity"),
-        F.avg("pressure").alias("avg_pressure"),
-        F.avg("wind_speed").alias("avg_wind_speed"),
-        F.max("wind_speed").alias("max_wind_speed"),
-        F.count("*").alias("measurement_count"),
-        F.filter(counts, lambda a: a["n"] > 0).alias("alerts"),
-    ).withColumns({"window_start": F.col("_w.start"), "window_end": F.col("_w.end")}).drop("_w")
+    figures = [*station_figures(), F.filter(counts, lambda a: a["n"] > 0).alias("alerts")]
+    return df.groupBy(window.alias("_w"), key).agg(*figures).withColumns(
+        {"window_start": F.col("_w.start"), "window_end": F.col("_w.end")}).drop("_w")
 
 
 def http_window_metrics(df: DataFrame, ts: str = "event_timestamp", width: str = "5 minutes",
