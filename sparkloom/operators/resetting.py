@@ -60,10 +60,13 @@ def _exit_table(times: np.ndarray, window: int, horizon: int) -> pd.DataFrame:
         ends_from=("ends_from", "first"), ends_before=("ends_before", "last"), leaves=("leaves", "first"))
 
 
-def window_starts(df: DataFrame, key: str, ms: str, window_ms: int, slot_windows: int = 12) -> DataFrame:
-    """``key``, event time and window start for every distinct event time (epoch milliseconds)."""
+def window_starts(df: DataFrame, key: str, ms: str, window_ms: int, slot_windows: int = 12,
+                  counters: Mapping[str, Column] | None = None) -> DataFrame:
+    """Key ``_k``, event time ``_ms`` (epoch milliseconds), ``window_start`` and counters per distinct event time."""
     slot_ms = window_ms * slot_windows
-    times = (df.select(F.col(key).alias("_k"), F.col(ms).cast("bigint").alias("_ms")).distinct()
+    counters = {"_rows": F.count("*")} if counters is None else counters
+    times = (df.groupBy(F.col(key).alias("_k"), F.col(ms).cast("bigint").alias("_ms"))
+             .agg(*[c.cast("bigint").alias(name) for name, c in counters.items()])
              .withColumn("_slot", F.floor(F.col("_ms") / slot_ms).cast("bigint")))
 
     def leave(ids, pdf: pd.DataFrame) -> pd.DataFrame:
@@ -73,7 +76,7 @@ def window_starts(df: DataFrame, key: str, ms: str, window_ms: int, slot_windows
         return table.assign(_k=k, _slot=slot)[["_k", "_slot", "ends_from", "ends_before", "leaves"]]
 
     kind = dict(times.dtypes)["_k"]
-    exits = times.groupBy("_k", "_slot").applyInPandas(
+    exits = times.select("_k", "_slot", "_ms").groupBy("_k", "_slot").applyInPandas(
         leave, f"_k {kind}, _slot bigint, ends_from bigint, ends_before bigint, leaves bigint")
 
     def enter(ids, pdf: pd.DataFrame) -> pd.DataFrame:
@@ -90,32 +93,46 @@ def window_starts(df: DataFrame, key: str, ms: str, window_ms: int, slot_windows
 
     entered = exits.groupBy("_k").applyInPandas(enter, f"_k {kind}, _slot bigint, _open bigint")
 
+    names = list(counters)
+
     def assign(ids, pdf: pd.DataFrame) -> pd.DataFrame:
-        t = np.sort(pdf["_ms"].to_numpy())
+        pdf = pdf.sort_values("_ms")
         opened = pdf["_open"].iloc[0]
-        starts = chain_starts(t, window_ms, None if pd.isna(opened) else int(opened))
-        return pd.DataFrame({"_k": [ids[0]] * len(t), "_ms": t, "window_start": starts})
+        starts = chain_starts(pdf["_ms"].to_numpy(), window_ms, None if pd.isna(opened) else int(opened))
+        return pdf.assign(window_start=starts)[["_k", "_ms", *names, "window_start"]]
 
     joined = times.join(entered.withColumnRenamed("_k", "_k2").withColumnRenamed("_slot", "_slot2"),
                         F.col("_k").eqNullSafe(F.col("_k2")) & (F.col("_slot") == F.col("_slot2")))
-    return joined.select("_k", "_slot", "_ms", "_open").groupBy("_k", "_slot").applyInPandas(
-        assign, f"_k {kind}, _ms bigint, window_start bigint")
+    counted = ", ".join(f"{name} bigint" for name in names)
+    return joined.select("_k", "_slot", "_ms", *names, "_open").groupBy("_k", "_slot").applyInPandas(
+        assign, f"_k {kind}, _ms bigint, {counted}, window_start bigint")
 
 
-def with_reset_window(df: DataFrame, key: str, ms: str, window_ms: int) -> DataFrame:
-    """Add the ``window_start`` (epoch milliseconds) of each row."""
-    starts = window_starts(df, key, ms, window_ms).withColumnRenamed("_k", "_wk").withColumnRenamed("_ms", "_wms")
-    return df.join(starts, F.col(key).eqNullSafe(F.col("_wk")) & (F.col(ms) == F.col("_wms"))).drop("_wk", "_wms")
+def with_reset_window(df: DataFrame, key: str, ms: str, window_ms: int,
+                      counters: Mapping[str, Column] | None = None) -> DataFrame:
+    """Add the ``window_start`` of each row and, per counter, its total over the window's *earlier* event times.
+
+    Totals run over distinct event times, of which a window has a bounded
+    number, so a window crowded with rows is never numbered in one task.
+    """
+    starts = window_starts(df, key, ms, window_ms, counters=counters)
+    earlier = Window.partitionBy("_k", "window_start").orderBy("_ms").rowsBetween(Window.unboundedPreceding, -1)
+    table = starts.select(
+        F.col("_k").alias("_wk"), F.col("_ms").alias("_wms"), "window_start",
+        *[F.coalesce(F.sum(name).over(earlier), F.lit(0)).alias(name) for name in counters or {}])
+    return df.join(table, F.col(key).eqNullSafe(F.col("_wk")) & (F.col(ms) == F.col("_wms"))).drop("_wk", "_wms")
 
 
-def _running(key: str, ms: str, tie: str):
-    return Window.partitionBy(key, "window_start").orderBy(ms, tie).rowsBetween(Window.unboundedPreceding, 0)
+def _same_time(key: str, ms: str, tie: str):
+    """Rows of one event time in tie order, up to the current one."""
+    return Window.partitionBy(key, ms).orderBy(tie).rowsBetween(Window.unboundedPreceding, 0)
 
 
 def request_counts(df: DataFrame, key: str, ms: str, tie: str, window_ms: int = fx.REQUEST_WINDOW_MS) -> DataFrame:
     """Each event with the number of events so far in its key's reset window."""
-    return with_reset_window(df, key, ms, window_ms).withColumn(
-        "request_count", F.count("*").over(_running(key, ms, tie)))
+    windowed = with_reset_window(df, key, ms, window_ms, {"_earlier": F.count("*")})
+    here = F.count("*").over(_same_time(key, ms, tie))
+    return windowed.withColumn("request_count", F.col("_earlier") + here).drop("_earlier")
 
 
 def suppressed(df: DataFrame, key: str, ms: str, tie: str, suppress_ms: int) -> DataFrame:
@@ -136,10 +153,12 @@ def error_rates(df: DataFrame, key: str, ms: str, tie: str, status: str | Column
                 window_ms: int = fx.ERROR_WINDOW_MS, min_requests: int = fx.ERROR_MIN_REQUESTS,
                 pct_above: float = fx.ERROR_PCT_ABOVE) -> DataFrame:
     """Each event with its window's requests, errors and error rate so far, and the alert flag."""
-    running = _running(key, ms, tie)
     failed = F.when(is_error(status), 1).otherwise(0)
-    counted = with_reset_window(df, key, ms, window_ms).withColumns({
-        "total_requests": F.count("*").over(running), "error_requests": F.sum(failed).over(running)})
+    here = _same_time(key, ms, tie)
+    windowed = with_reset_window(df, key, ms, window_ms, {"_all": F.count("*"), "_failed": F.sum(failed)})
+    counted = windowed.withColumns({
+        "total_requests": F.col("_all") + F.count("*").over(here),
+        "error_requests": F.col("_failed") + F.sum(failed).over(here)}).drop("_all", "_failed")
     rate = F.col("error_requests") * 100.0 / F.col("total_requests")
     return counted.withColumns({
         "error_rate_percent": F.round(rate, 2),
