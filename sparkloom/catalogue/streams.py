@@ -10,10 +10,15 @@ from ..streaming import run, stateful, windows as win
 from .registry import VIEWS, query, stamp, table_path
 
 
+#: files one batch may take in, which bounds what a busy key can bring at once
+FILES_PER_BATCH = 256
+
+
 def events_stream(t):
     """The events table as a stream; as a pattern the path may be one file or a folder of files."""
     path = table_path(t.sf_dir, "events")
-    return read_stream(t.spark, "file", path=f"{path[:-1]}[{path[-1]}]", schema=t.events.schema)
+    return read_stream(t.spark, "file", path=f"{path[:-1]}[{path[-1]}]", schema=t.events.schema,
+                       max_files=FILES_PER_BATCH)
 
 
 def stream_of(t, view: str):

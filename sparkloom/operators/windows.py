@@ -19,6 +19,7 @@ from .cleaning import last_hours
 
 SLOT_SECONDS = 3600
 RUN_ROWS = 1_000_000
+MAX_PIECES = 1 << 20
 
 
 def with_lookback(df: DataFrame, key: Sequence[str], ts: str, depth: int, tie: str,
@@ -27,11 +28,22 @@ def with_lookback(df: DataFrame, key: Sequence[str], ts: str, depth: int, tie: s
     if run_rows < depth:
         raise ValueError("a run must be able to hold the rows it hands on")
     key = list(key)
-    slot = F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / (slot_seconds * 1_000_000)).cast("bigint")
-    slotted = df.withColumn("_slot", slot)
+    micros, slot_micros = F.unix_micros(F.col(ts).cast("timestamp")), slot_seconds * 1_000_000
+    slotted = df.withColumn("_slot", F.floor(micros / slot_micros).cast("bigint"))
     # one row per key and slot: bounded by the time span, whatever the row count
+    sizes = materialise(slotted.groupBy(*key, "_slot").agg(
+        F.count("*").alias("_n"), F.min(micros).alias("first"), F.max(micros).alias("last")), "slot-sizes")
+    crowded = sizes.where(F.col("_n") > run_rows).select(
+        *key, "_slot", "first", "last", F.ceil(F.col("_n") / run_rows).alias("pieces"))
+    if not crowded.isEmpty():
+        # a slot that is too much for one run is cut into shorter ones, over the time its rows really span
+        place = (micros - F.col("_c.first")) / (F.col("_c.last") - F.col("_c.first") + 1)
+        piece = F.coalesce(F.floor(place * F.col("_c.pieces")), F.lit(0)).cast("bigint")
+        slotted = attach(slotted, crowded, [*key, "_slot"], "_c", stored=False).withColumn(
+            "_slot", F.col("_slot") * MAX_PIECES + F.least(piece, F.lit(MAX_PIECES - 1))).drop("_c")
+        sizes = slotted.groupBy(*key, "_slot").agg(F.count("*").alias("_n"))
     in_time = Window.partitionBy(*key).orderBy("_slot")
-    slots = (slotted.groupBy(*key, "_slot").agg(F.count("*").alias("_n"))
+    slots = (sizes.select(*key, "_slot", "_n")
              .withColumn("_end", F.sum("_n").over(in_time.rowsBetween(Window.unboundedPreceding, 0)))
              .withColumn("_run", F.floor((F.col("_end") - F.col("_n")) / run_rows))
              .withColumn("_next", F.lead("_run").over(in_time))

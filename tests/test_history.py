@@ -31,7 +31,7 @@ def expected(readings, make):
 
 
 @pytest.mark.parametrize("run_rows", [24, 60, 10_000])
-@pytest.mark.parametrize("slot_seconds", [60, 1800])
+@pytest.mark.parametrize("slot_seconds", [60, 1800, 10 * 86400])
 def test_lag_over_runs(readings, run_rows, slot_seconds):
     got = windows.lags(readings, ["sensor"], "at", "id", "t", [1, 24], slot_seconds=slot_seconds, run_rows=run_rows)
     rows = got.select("id", "temp_lag_24").collect()
@@ -52,6 +52,12 @@ def test_a_hot_key_is_spread_over_runs(readings):
     assert len(sizes) >= 6 and max(sizes) < 120
 
 
+def test_a_crowded_slot_is_cut(readings):
+    runs = windows.with_lookback(readings, ["sensor"], "at", 6, "id", slot_seconds=10 * 86400, run_rows=50)
+    sizes = [r["count"] for r in runs.where("sensor = 'hot'").groupBy("_run").count().collect()]
+    assert len(sizes) >= 4 and max(sizes) < 200
+
+
 def test_lookback_refuses_runs_smaller_than_the_frame(readings):
     with pytest.raises(ValueError):
         windows.with_lookback(readings, ["sensor"], "at", 24, "id", run_rows=10)
