@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from ..session import materialise
+from ..session import scratch_path
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -48,6 +48,29 @@ def filter_texts(df: DataFrame, text_col: str, keep: Callable[[list], list[bool]
     return df.mapInArrow(run, df.schema)
 
 
+def store(df: DataFrame, label: str) -> DataFrame:
+    """Write a frame to the shared folder and read it back, which cuts its lineage.
+
+    The plan that made it is garbage afterwards; a collection lets Spark's cleaner
+    remove its shuffle files before the next step writes its own.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    spark.sparkContext._jvm.System.gc()
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete stored frames that no later step reads."""
+    for frame in frames:
+        jvm, context = frame.sparkSession.sparkContext._jvm, frame.sparkSession.sparkContext._jsc
+        path = jvm.org.apache.hadoop.fs.Path(frame._stored_at)
+        path.getFileSystem(context.hadoopConfiguration()).delete(path, True)
+
+
 def components(edges: DataFrame, label: str, rounds: int = 60) -> DataFrame:
     """Connected components of ``edges(a, b)`` (longs, a != b): rows (node, root), root the smallest node.
 
@@ -56,7 +79,7 @@ def components(edges: DataFrame, label: str, rounds: int = 60) -> DataFrame:
     one round at most. A node with many neighbours is pre-aggregated by the
     group-by and split by the skew join. Nodes without an edge do not occur.
     """
-    now = materialise(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    now = store(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                       .where("a <> b").distinct(), label)
     before = None
     for _ in range(rounds):
@@ -68,7 +91,8 @@ def components(edges: DataFrame, label: str, rounds: int = 60) -> DataFrame:
         joined = large.join(small, "a")
         step = (joined.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
                 .union(small.select("a", F.col("m").alias("b"))).distinct())
-        now = materialise(step, label)
+        last, now = now, store(step, label)
+        discard(last)
         seen = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if seen == before:
             break

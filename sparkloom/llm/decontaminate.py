@@ -21,8 +21,7 @@ import ahocorasick
 import numpy as np
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from ..session import materialise
-from .common import filter_texts, map_texts
+from .common import filter_texts, map_texts, store
 
 WINDOW = 10
 #: Bytes of benchmark text up to which the automaton is used.
@@ -171,7 +170,7 @@ def _window_rows(df: DataFrame, key: str, text: str, width: int, widths: list[in
 def _joined(docs: DataFrame, held: DataFrame, id_col: str, text_col: str, width: int,
             schema: T.StructType) -> DataFrame:
     """The same by a join on window digests; a document is known by a digest of its text."""
-    owned = materialise(_window_rows(held, "i", "t", width, None).groupBy("w", "width").agg(
+    owned = store(_window_rows(held, "i", "t", width, None).groupBy("w", "width").agg(
         F.collect_set("k").alias("ids")), "windows")
     widths = sorted(r["width"] for r in owned.select("width").distinct().collect())  # as many as a window has words
     keyed = docs.select(docs[id_col].alias("d"), docs[text_col].alias("x")).withColumn(

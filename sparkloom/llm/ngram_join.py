@@ -24,8 +24,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from ..session import materialise
-from .common import components, map_texts
+from .common import components, map_texts, store
 
 N_WORDS = 5
 THRESHOLD = 0.8
@@ -177,17 +176,17 @@ def jaccard_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     columns are ignored. An empty table gives no rows.
     """
     bands, rows = choose_bands(threshold, recall, hashes)
-    prints = materialise(_fingerprints(df, id_col, text_col, n, bands, rows), "shingles")
+    prints = store(_fingerprints(df, id_col, text_col, n, bands, rows), "shingles")
     held = prints.where("size > 0")
     # a set is known by its fingerprint; its number among the sets is the first half, unless that is taken twice
     copies = held.groupBy("f1", "f2").agg(F.min("doc").alias("first"), F.count("*").alias("copies"),
                                           F.min("size").alias("size"), F.first("bands").alias("bands"))
-    sets = materialise(copies.select(F.col("f1").alias("rep"), "f2", "first", "copies", "size", "bands"), "sets")
+    sets = store(copies.select(F.col("f1").alias("rep"), "f2", "first", "copies", "size", "bands"), "sets")
 
     keyed = sets.select("rep", F.posexplode("bands").alias("band", "key"))
     least = keyed.groupBy("band", "key").agg(F.min("rep").alias("b"), F.max("rep").alias("top")).where("b <> top")
     ties = keyed.join(least, ["band", "key"]).where("rep <> b").select(F.col("rep").alias("a"), "b").distinct()
-    groups = materialise(components(ties, "ties"), "groups")
+    groups = store(components(ties, "ties"), "groups")
 
     member = groups.join(sets.select("rep", "f2", "copies", "size"), groups["node"] == sets["rep"]).drop("node")
     sizes = member.groupBy("root").agg(F.count("*").alias("m"), F.sum("size").alias("grams_held"))
@@ -199,7 +198,7 @@ def jaccard_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
                .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
                .select("root", F.least("piece", "other").alias("i"), F.greatest("piece", "other").alias("j"),
                        "piece", "rep", "copies", "grams"))
-    compared = materialise(shipped.groupBy("root", "i", "j").applyInPandas(
+    compared = store(shipped.groupBy("root", "i", "j").applyInPandas(
         _compare(threshold), "rep bigint, links bigint, texts bigint, top bigint"), "links")
     linked = compared.groupBy("rep").agg(F.sum("links").alias("links"), F.sum("texts").alias("texts"))
     roots = components(compared.where("rep <> top").select(F.col("rep").alias("a"), F.col("top").alias("b")), "classes")
@@ -207,7 +206,7 @@ def jaccard_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     known = (sets.join(linked, "rep", "left").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
              .select("rep", "f2", "first", "copies", F.coalesce("links", F.lit(0)).alias("links"),
                      F.coalesce("texts", F.lit(0)).alias("texts"), F.coalesce("root", "rep").alias("root")))
-    known = materialise(known, "known")
+    known = store(known, "known")
     named = known.groupBy("root").agg(F.min("first").alias("class_id"))
     known = known.join(named, "root").withColumnRenamed("rep", "f1")
     out = prints.select("doc", "f1", "f2", "size").join(
@@ -230,7 +229,7 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **se
     together.
     """
     classes = jaccard_classes(df, id_col, text_col, **settings)
-    gone = materialise(classes.where("NOT is_kept").select(id_col).where(F.col(id_col).isNotNull()).distinct(), "gone")
+    gone = store(classes.where("NOT is_kept").select(id_col).where(F.col(id_col).isNotNull()).distinct(), "gone")
     kept = classes.where("is_kept").select(id_col).distinct()
     gone = gone.join(kept, id_col, "left_anti")
     return df.join(gone.select(F.col(id_col).alias("__gone")), df[id_col] == F.col("__gone"), "left_anti")

@@ -15,7 +15,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..session import materialise
+from .common import store
+
 
 #: kind -> (pattern, group of the value, characters it needs). Base kinds are reported always.
 BASE = {
@@ -108,7 +109,7 @@ def _digest(text: Column) -> Column:
 def _found(df: DataFrame, id_col: str, text_col: str, owner_col: str, repo_cols: list[str],
            max_owners: int) -> DataFrame:
     """Figures of each (id, text digest) that has a span to report."""
-    held = materialise(_candidates(df, id_col, text_col, owner_col, repo_cols), "candidates")
+    held = store(_candidates(df, id_col, text_col, owner_col, repo_cols), "candidates")
     judged = _judged(held, max_owners)
     n_base = len(BASE)
     names = F.array(*[F.lit(k) for k in KINDS])

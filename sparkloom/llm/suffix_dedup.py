@@ -8,8 +8,8 @@ place form a run; a run's key is a digest of all its bytes.
 
 1. Runs of anchors that occur once are done. 2. A run whose key occurs again is
 covered whole. 3. Of anchors with several different runs (the edges of repeated
-passages) one run of each key is spelled out in window digests, and those found
-twice are covered. Lengths of common intervals thus come from counted digests,
+passages) one run of each key is cut into chunks, whose cores and envelopes
+decide most windows; the rest are spelled out, and those found twice are covered. Lengths of common intervals thus come from counted digests,
 and no suffix is sorted: see the README for why the merge of shard transforms by
 interleave refinement is not used.
 """
@@ -23,11 +23,12 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from ..session import materialise
-from .common import map_texts
+from .common import discard, map_texts, store
 
 LENGTH = 200
 GRAM = 40
+#: Window places of a chunk at the edge of a repeated passage.
+STEP = 16
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _LOW = np.uint64(0xBF58476D1CE4E5B9)
 
@@ -116,7 +117,7 @@ def _run_rows(df: DataFrame, length: int, gram: int) -> DataFrame:
     """anchor, key, d (document), start, n of all runs; ``df`` has d and x."""
 
     def made(kept: list, texts: list) -> list:
-        anchors, keys, owner, starts, counts = [], [], [], [], []
+        anchors, keys, owner, starts, counts, offsets = [], [], [], [], [], []
         for row, text in enumerate(texts):
             raw = (text or "").encode("utf-8", "surrogatepass")
             a, offset, start, n = runs(raw, length, gram)
@@ -126,13 +127,14 @@ def _run_rows(df: DataFrame, length: int, gram: int) -> DataFrame:
             owner.append(np.full(len(a), row))
             starts.append(start)
             counts.append(n)
+            offsets.append(offset)
         return [pa.array(_signed(np.concatenate(anchors))), pa.array(_signed(np.array(keys, np.uint64))),
                 kept[0].take(pa.array(np.concatenate(owner))), pa.array(np.concatenate(starts).astype(np.int32)),
-                pa.array(np.concatenate(counts).astype(np.int16 if length < 30000 else np.int32))]
+                pa.array(np.concatenate(counts).astype(np.int32)), pa.array(np.concatenate(offsets).astype(np.int32))]
 
     schema = T.StructType([*T.StructType.fromDDL("anchor bigint, key bigint").fields,
                            T.StructField("d", df.schema["d"].dataType),
-                           *T.StructType.fromDDL("start int, n int").fields])
+                           *T.StructType.fromDDL("start int, n int, offset int").fields])
     return map_texts(df, ["d", "x"], schema, made)
 
 
@@ -146,42 +148,86 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                    gram: int = GRAM) -> DataFrame:
     """(d, spans): the covered byte ranges [start, end) of each document that has one, unmerged, in no order."""
     docs = _document(df, id_col, text_col)
-    found = materialise(_run_rows(docs, length, gram), "runs")
+    found = store(_run_rows(docs, length, gram), "runs")
     twice = found.groupBy("anchor").agg(F.count("*").alias("c")).where("c > 1").select("anchor")
     # rows that repeat id and text stand for as many places: they are counted, not made distinct
-    met = materialise(found.join(twice, "anchor"), "met")
-    keys = materialise(met.groupBy("anchor", "key").agg(
-        F.count("*").alias("c"), F.min(F.struct("d", "start", "n")).alias("rep")), "keys")
+    met = store(found.join(twice, "anchor"), "met")
+    discard(found)
+    keys = store(met.groupBy("anchor", "key").agg(
+        F.count("*").alias("c"), F.min(F.struct("d", "start", "n", "offset")).alias("rep")), "keys")
+    edge = store(_edges(docs, keys, length), "edges")
+    whole = (met.join(keys.where("c > 1").select("anchor", "key"), ["anchor", "key"])
+             .select("d", F.struct(F.col("start").alias("s"), (F.col("start") + F.col("n") + length - 1).alias("e")).alias("r")))
+    single = keys.where("c = 1").select("anchor", "key")
+    partial = (met.join(edge.join(single, "key"), ["anchor", "key"]).select("d", F.explode(F.transform(
+        "ranges", lambda p: F.struct((F.col("start") + p["a"]).alias("s"), (F.col("start") + p["b"] + length - 1).alias("e"))))
+        .alias("r")))
+    spans = store(whole.union(partial).groupBy("d").agg(F.collect_list("r").alias("spans")), "spans")
+    discard(met, keys, edge)
+    return spans
+
+
+def _edges(docs: DataFrame, keys: DataFrame, length: int, step: int = STEP) -> DataFrame:
+    """(key, ranges): window ranges [a, b) of runs that share them with a run of another key.
+
+    A run's windows are dealt into chunks by their distance to the anchor, ``step``
+    distances each. The bytes that all windows of a chunk have in common are its
+    core, those that any has its envelope. No window of a chunk is shared unless
+    the core is; all are if the envelope is; only chunks between the two are
+    spelled out window by window.
+    """
     several = keys.groupBy("anchor").agg(F.count("*").alias("k")).where("k > 1").select("anchor")
-    spelled = (keys.join(several, "anchor").select("rep.d", F.struct("key", "rep.start", "rep.n", "c").alias("run"))
-               .groupBy("d").agg(F.collect_list("run").alias("runs")))
-    held = docs.join(spelled, "d").select(F.struct("d", "runs").alias("k"), "x")
+    spelled = (keys.join(several, "anchor")
+               .select("rep.d", F.struct("key", "rep.start", "rep.n", "rep.offset").alias("run"))
+               .groupBy("d").agg(F.collect_set("run").alias("runs")))
+    held = docs.join(spelled, "d").select(F.struct("runs").alias("k"), "x")
 
-    def windows(kept: list, texts: list) -> list:
-        digests, key, place = [], [], []
+    def cut(kept: list, texts: list) -> list:
+        out: list[list] = [[] for _ in range(5)]
         for run_list, t in zip(kept[0].field("runs").to_pylist(), texts, strict=True):
-            h = gram_hashes(np.frombuffer(t.encode("utf-8", "surrogatepass"), np.uint8), length)
+            raw = t.encode("utf-8", "surrogatepass")
+            h = gram_hashes(np.frombuffer(raw, np.uint8), length)
             for r in run_list:
-                digests.append(h[r["start"]:r["start"] + r["n"]])
-                key.append(np.full(r["n"], r["key"], np.int64))
-                place.append(np.arange(r["n"], dtype=np.int32))
-        if not digests:
-            digests, key, place = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.int32)]
-        return [pa.array(_signed(np.concatenate(digests))), pa.array(np.concatenate(key)),
-                pa.array(np.concatenate(place))]
-
-    # a document's rows that repeat give the same (digest, key, place) again, so these are made distinct
-    single = keys.where("c = 1").select("key", "anchor")
-    win = materialise(map_texts(held, ["k", "x"], T.StructType.fromDDL("w bigint, key bigint, place int"), windows),
-                      "windows")
-    shared = win.groupBy("w").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).where("lo <> hi").select("w")
-    part = win.join(shared, "w").groupBy("key").agg(F.sort_array(F.collect_set("place")).alias("places"))
-    edge = single.join(part, "key").select("anchor", "key", "places")
-    partial = (met.join(edge, ["anchor", "key"]).select("d", F.explode(F.transform(
-        "places", lambda p: F.struct((F.col("start") + p).alias("s"), (F.col("start") + p + length).alias("e")))).alias("r")))
-    whole = (met.join(keys.where("c > 1").select("anchor", "key"), ["anchor", "key"])
-             .select("d", F.struct(F.col("start").alias("s"), (F.col("start") + F.col("n") + length - 1).alias("e")).alias("r")))
-    return whole.union(partial).groupBy("d").agg(F.collect_list("r").alias("spans"))
+                start, n, anchor = r["start"], r["n"], r["start"] + r["offset"]
+                at = start
+                while at < start + n:  # distances anchor - at fall as at grows
+                    c = (anchor - at) // step
+                    end = min(start + n, anchor - c * step + 1)
+                    first = anchor - c * step - step + 1  # where the chunk's windows would begin
+                    out[0].append(r["key"])
+                    out[1].append(at - start)
+                    out[2].append(_signed64(xxhash.xxh3_64_intdigest(
+                        raw[anchor - c * step:first + length], seed=c)))
+                    out[3].append(_signed64(xxhash.xxh3_64_intdigest(raw[first:anchor - c * step + length], seed=c + 2 ** 32))
+                                  if end - at == step else None)
+                    out[4].append(h[at:end].view(np.int64))
+                    at = end
+        return out
+
+    # the same text in several rows of one id gives the same chunks again: keys, not rows, are compared
+    chunks = store(map_texts(held, ["k", "x"], T.StructType.fromDDL(
+        "key bigint, at int, core bigint, env bigint, windows array<bigint>"), cut), "chunks")
+
+    def shared(frame: DataFrame, column: str) -> DataFrame:
+        return frame.groupBy(column).agg(F.min("key").alias("lo"), F.max("key").alias("hi")).where("lo <> hi")
+
+    env = store(shared(chunks.where("env IS NOT NULL"), "env"), "envelopes")
+    all_of = chunks.join(env, "env").select("key", F.col("at").alias("a"), (F.col("at") + step).alias("b"))
+    between = chunks.join(env.select("env"), "env", "left_anti").join(shared(chunks, "core").select("core"), "core")
+    between = store(between.select("key", "at", "core", "windows"), "between")
+    first = (chunks.join(env.withColumnRenamed("lo", "key"), ["env", "key"])
+             .join(between.select("core").distinct(), "core", "left_semi").select("key", "at", "windows"))
+    one = store(between.select("key", "at", "windows").union(first).distinct()
+                .select("key", "at", F.posexplode("windows").alias("i", "w"))
+                .select("key", (F.col("at") + F.col("i")).alias("a"), "w"), "windows")
+    some = one.join(shared(one, "w").select("w"), "w").select("key", "a", (F.col("a") + 1).alias("b"))
+    out = store(all_of.union(some).groupBy("key").agg(F.collect_set(F.struct("a", "b")).alias("ranges")), "ranges")
+    discard(chunks, env, between, one)
+    return out
+
+
+def _signed64(x: int) -> int:
+    return x - 2 ** 64 if x >= 2 ** 63 else x
 
 
 def _union(spans: list) -> list[tuple[int, int]]:
@@ -205,7 +251,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     row; a null id is an id; other columns are ignored; an empty table gives no
     rows.
     """
-    spans = materialise(repeated_spans(df, id_col, text_col, length, gram), "spans")
+    spans = repeated_spans(df, id_col, text_col, length, gram)
     docs = _document(df, id_col, text_col)
     held = docs.join(spans.withColumnRenamed("d", "d2"), docs["d"].eqNullSafe(F.col("d2")), "left").select(
         F.struct("d", "spans").alias("k"), "x")
