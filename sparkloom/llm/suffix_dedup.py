@@ -177,16 +177,13 @@ def _edges(docs: DataFrame, keys: DataFrame, length: int, step: int = STEP) -> D
     spelled out window by window.
     """
     several = keys.groupBy("anchor").agg(F.count("*").alias("k")).where("k > 1").select("anchor")
-    spelled = (keys.join(several, "anchor")
-               .select("rep.d", F.struct("key", "rep.start", "rep.n", "rep.offset").alias("run"))
-               .groupBy("d").agg(F.collect_set("run").alias("runs")))
-    held = docs.join(spelled, "d").select(F.struct("runs").alias("k"), "x")
+    spelled = keys.join(several, "anchor").select(
+        "rep.d", F.struct("key", "rep.start", "rep.n", "rep.offset").alias("run"))
 
     def cut(kept: list, texts: list) -> list:
         out: list[list] = [[] for _ in range(5)]
         for run_list, t in zip(kept[0].field("runs").to_pylist(), texts, strict=True):
             raw = t.encode("utf-8", "surrogatepass")
-            h = gram_hashes(np.frombuffer(raw, np.uint8), length)
             for r in run_list:
                 start, n, anchor = r["start"], r["n"], r["start"] + r["offset"]
                 at = start
@@ -194,38 +191,58 @@ def _edges(docs: DataFrame, keys: DataFrame, length: int, step: int = STEP) -> D
                     c = (anchor - at) // step
                     end = min(start + n, anchor - c * step + 1)
                     first = anchor - c * step - step + 1  # where the chunk's windows would begin
-                    out[0].append(r["key"])
-                    out[1].append(at - start)
-                    out[2].append(_signed64(xxhash.xxh3_64_intdigest(
-                        raw[anchor - c * step:first + length], seed=c)))
-                    out[3].append(_signed64(xxhash.xxh3_64_intdigest(raw[first:anchor - c * step + length], seed=c + 2 ** 32))
-                                  if end - at == step else None)
-                    out[4].append(h[at:end].view(np.int64))
+                    whole = end - at == step
+                    for column, value in zip(out, (
+                            r["key"], at - start, end - at,
+                            _signed64(xxhash.xxh3_64_intdigest(raw[anchor - c * step:first + length], seed=c)),
+                            _signed64(xxhash.xxh3_64_intdigest(raw[first:anchor - c * step + length], seed=c + 2 ** 32))
+                            if whole else None), strict=True):
+                        column.append(value)
                     at = end
         return out
 
     # the same text in several rows of one id gives the same chunks again: keys, not rows, are compared
-    chunks = store(map_texts(held, ["k", "x"], T.StructType.fromDDL(
-        "key bigint, at int, core bigint, env bigint, windows array<bigint>"), cut), "chunks")
+    chunks = store(map_texts(_with_text(docs, spelled), ["k", "x"], T.StructType.fromDDL(
+        "key bigint, at int, m int, core bigint, env bigint"), cut), "chunks")
 
     def shared(frame: DataFrame, column: str) -> DataFrame:
         return frame.groupBy(column).agg(F.min("key").alias("lo"), F.max("key").alias("hi")).where("lo <> hi")
 
     env = store(shared(chunks.where("env IS NOT NULL"), "env"), "envelopes")
-    all_of = chunks.join(env, "env").select("key", F.col("at").alias("a"), (F.col("at") + step).alias("b"))
-    between = chunks.join(env.select("env"), "env", "left_anti").join(shared(chunks, "core").select("core"), "core")
-    between = store(between.select("key", "at", "core", "windows"), "between")
+    all_of = chunks.join(env, "env").select("key", F.col("at").alias("a"), (F.col("at") + F.col("m")).alias("b"))
+    between = store(chunks.join(env.select("env"), "env", "left_anti").join(shared(chunks, "core").select("core"), "core")
+                    .select("key", "at", "m", "core"), "between")
+    # of chunks with one envelope, one stands for all where others with its core are undecided
     first = (chunks.join(env.withColumnRenamed("lo", "key"), ["env", "key"])
-             .join(between.select("core").distinct(), "core", "left_semi").select("key", "at", "windows"))
-    one = store(between.select("key", "at", "windows").union(first).distinct()
-                .select("key", "at", F.posexplode("windows").alias("i", "w"))
-                .select("key", (F.col("at") + F.col("i")).alias("a"), "w"), "windows")
+             .join(between.select("core").distinct(), "core", "left_semi").select("key", "at", "m"))
+    places = between.select("key", "at", "m").union(first).distinct().join(keys.select("key", "rep"), "key").select(
+        "rep.d", F.struct("key", "at", (F.col("rep.start") + F.col("at")).alias("start"), "m").alias("run"))
+
+    def windows(kept: list, texts: list) -> list:
+        digest, key, place = [], [], []
+        for run_list, t in zip(kept[0].field("runs").to_pylist(), texts, strict=True):
+            h = gram_hashes(np.frombuffer(t.encode("utf-8", "surrogatepass"), np.uint8), length)
+            for r in run_list:
+                digest.append(h[r["start"]:r["start"] + r["m"]])
+                key.append(np.full(r["m"], r["key"], np.int64))
+                place.append(np.arange(r["at"], r["at"] + r["m"], dtype=np.int32))
+        return [pa.array(_signed(np.concatenate(digest))), pa.array(np.concatenate(key)),
+                pa.array(np.concatenate(place))]
+
+    one = store(map_texts(_with_text(docs, places), ["k", "x"], T.StructType.fromDDL("w bigint, key bigint, a int"),
+                          windows), "windows")
     some = one.join(shared(one, "w").select("w"), "w").select("key", "a", (F.col("a") + 1).alias("b"))
     out = store(all_of.union(some).groupBy("key").agg(F.collect_set(F.struct("a", "b")).alias("ranges")), "ranges")
     discard(chunks, env, between, one)
     return out
 
 
+def _with_text(docs: DataFrame, runs_of: DataFrame) -> DataFrame:
+    """k.runs (bounded by the text they lie in) and x of the documents that ``runs_of(d, run)`` names."""
+    per = runs_of.groupBy("d").agg(F.collect_set("run").alias("runs"))
+    return docs.join(per, "d").select(F.struct("runs").alias("k"), "x")
+
+
 def _signed64(x: int) -> int:
     return x - 2 ** 64 if x >= 2 ** 63 else x
 
