@@ -35,9 +35,11 @@ SPAN = 6
 #: Longer words are read in pieces of this length that overlap by half.
 PIECE = 16
 #: Documents of the labelled sample, toxic and clean: the documented bound of training.
-TOXIC_ROWS = 2000
-CLEAN_ROWS = 3000
+TOXIC_ROWS = 1200
+CLEAN_ROWS = 2400
 LANDMARKS = 160
+#: Word pieces whose subsequences are in memory together.
+PIECES_AT_ONCE = 3000
 CUT = 0.7
 #: Wrong verdicts on clean documents weigh as much as this many on toxic ones when the cut is set.
 CLEAN_COUNTS = 3
@@ -126,10 +128,10 @@ def margins(words: list[str], table: np.ndarray, bias: float) -> np.ndarray:
     """The machine's margin of each word, the highest of its pieces."""
     best = np.full(len(words), -np.inf)
     for c, owner in _codes(words):
-        for k in range(0, len(c), 20_000):
-            code, weight, norm = _rows(c[k:k + 20_000])
+        for k in range(0, len(c), PIECES_AT_ONCE):
+            code, weight, norm = _rows(c[k:k + PIECES_AT_ONCE])
             f = (table[code] * weight).sum(1) / np.maximum(norm, 1e-12) + bias
-            np.maximum.at(best, owner[k:k + 20_000], f)
+            np.maximum.at(best, owner[k:k + PIECES_AT_ONCE], f)
     return best
 
 
@@ -234,12 +236,12 @@ def train(bags: list[tuple[Counter, int]], landmarks: int = LANDMARKS, rounds: i
     sample = [ordinary[i] for i in rng.permutation(len(ordinary))[:2500]]
     marks = ranked[: landmarks // 2]
     marks += sample[: landmarks - len(marks)]
-    lv = _vectors(marks).astype(np.float64)
-    kernel = lv @ lv.T
+    lv = _vectors(marks)
+    kernel = (lv @ lv.T).astype(np.float64)
     values, vectors = np.linalg.eigh(kernel)
-    keep = values > 1e-8 * values.max()
+    keep = values > 1e-5 * values.max()
     white = vectors[:, keep] / np.sqrt(values[keep])
-    whole = (lv.T @ white).astype(np.float32)
+    whole = lv.T @ white.astype(np.float32)
     del lv
     pos, neg = ranked[:1200], sample
     table, bias = np.zeros(_TABLE), 0.0
@@ -249,7 +251,7 @@ def train(bags: list[tuple[Counter, int]], landmarks: int = LANDMARKS, rounds: i
         y = np.r_[np.ones(len(pos)), -np.ones(len(neg))]
         weight = np.array([1.0 + count.get(v, 0) for v in pos] + [1.0 + often[v] for v in neg]) ** 0.5
         w, bias = _svm(x, y, weight)
-        table = whole.astype(np.float64) @ w
+        table = (whole @ w.astype(np.float32)).astype(np.float64)
         hard = margins(ordinary, table, bias)
         neg = sorted(set(sample) | {ordinary[i] for i in np.argsort(-hard)[:1500]})
         chosen: dict[str, int] = {}
@@ -335,11 +337,19 @@ def fit(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, clean_
     if not chosen:
         return train([])
     picked = F.broadcast(docs.sparkSession.createDataFrame(chosen, "k bigint, y int"))
-    schema = T.StructType.fromDDL("y int, words map<string,int>")
+    schema = T.StructType.fromDDL("y int, words string")
     bags = map_texts(docs.select(docs["doc_id"], docs["text"]).join(picked, docs["doc_id"] == picked["k"])
                      .select("y", "text"), ["y", "text"], schema,
-                     lambda kept, texts: [kept[0], [list(units(t).items()) for t in texts]]).collect()
-    return train(sorted(((Counter(r["words"]), r["y"]) for r in bags), key=lambda b: (b[1], sorted(b[0]))))
+                     lambda kept, texts: [kept[0], [" ".join(f"{w} {n}" for w, n in units(t).items()) for t in texts]]).collect()
+    # one string per word, however many documents hold it
+    held = [(r["y"], r["words"]) for r in sorted(bags, key=lambda r: (r["y"], r["words"]))]
+    del bags
+    one: dict[str, str] = {}
+    counted = []
+    for y, words in held:
+        parts = words.split(" ") if words else []
+        counted.append((Counter({one.setdefault(w, w): int(n) for w, n in zip(parts[::2], parts[1::2], strict=True)}), y))
+    return train(counted)
 
 
 _SEEN: dict[bytes, dict[str, float]] = {}
