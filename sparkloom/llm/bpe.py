@@ -24,7 +24,7 @@ from .common import map_texts
 #: Fixed value: the pattern that parts a text into words before merging.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Words that a worker remembers before it starts afresh.
-REMEMBER = 700_000
+REMEMBER = 250_000
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -160,7 +160,7 @@ def encode(path: str, texts: list[str | None]) -> list[list[tuple[int, str, byte
     return [list(map(known.__getitem__, words)) for words in parted]
 
 
-def slices(texts: list[str | None], size: int = 8 << 20) -> Iterator[list[str | None]]:
+def slices(texts: list[str | None], size: int = 2 << 20) -> Iterator[list[str | None]]:
     """The texts in parts of about ``size`` characters, one text at least."""
     start = held = 0
     for i, t in enumerate(texts):

@@ -54,7 +54,7 @@ def choose_bands(threshold: float = THRESHOLD, recall: float = RECALL, hashes: i
 
 
 def _word_hashes(words: list[str]) -> np.ndarray:
-    if len(_WORDS) > 1_000_000:
+    if len(_WORDS) > 300_000:
         _WORDS.clear()
     for w in set(words).difference(_WORDS):
         _WORDS[w] = xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass"))

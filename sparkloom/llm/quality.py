@@ -78,7 +78,7 @@ def statistics(text: str | None) -> tuple[list[int], list[float]]:
                 dup += 1
             met.add(line)
     count = Counter(words)
-    if len(_TRAITS) > 500_000:
+    if len(_TRAITS) > 200_000:
         _TRAITS.clear()
     for w in count:
         if w not in _TRAITS:

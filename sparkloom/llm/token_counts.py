@@ -26,8 +26,8 @@ from .common import map_texts
 CHUNK = 1 << 14
 LIMIT = 512
 #: States, transitions and words that a worker keeps before it compiles afresh.
-MOST_STATES = 500_000
-MOST_WORDS = 1_000_000
+MOST_STATES = 200_000
+MOST_WORDS = 300_000
 
 
 class Transducer:
@@ -52,7 +52,7 @@ class Transducer:
         """Whether ``right`` may stand after ``left``: no merge across the seam comes before those that made them."""
         known = self.may.get((left, right))
         if known is None:
-            if len(self.may) > 2_000_000:
+            if len(self.may) > 500_000:
                 self.may.clear()
             known = self.may[left, right] = self._follows(left, right)
         return known

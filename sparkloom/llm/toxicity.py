@@ -365,7 +365,7 @@ def _scorer(model: dict):
         seen = _SEEN.setdefault(digest, {})
         for k in range(0, len(texts), 512):
             bags = [units(t) for t in texts[k:k + 512]]
-            if len(seen) > 1_000_000:
+            if len(seen) > 300_000:
                 seen.clear()
             new = sorted(set().union(*bags).difference(seen))
             for i in range(0, len(new), 20_000):
