@@ -93,11 +93,10 @@ def _(t):
 
 
 @query("d10_ratios", """
-SELECT row_id, ROUND(Length2 / NULLIF(Length1, 0), 4) AS l2_l1, ROUND(Length3 / (Width + 1e-6), 4) AS l3_width FROM {fish}
-WHERE Width <> 0""")
+SELECT row_id, ROUND(Length2 / NULLIF(Length1, 0), 4) AS l2_l1, ROUND(Length3 / (Width + 1e-6), 4) AS l3_width FROM {fish}""")
 def _(t):
-    return t.fish.where("Width <> 0").select("row_id", num.ratio("Length2", "Length1").alias("l2_l1"),
-                                             num.ratio("Length3", "Width", 1e-6).alias("l3_width"))
+    return t.fish.select("row_id", num.ratio("Length2", "Length1").alias("l2_l1"),
+                         num.ratio("Length3", "Width", 1e-6).alias("l3_width"))
 
 
 @query("d11_haversine", """
@@ -221,7 +220,7 @@ p AS (SELECT id, concat('You are an AI assistant with access to the following to
   concat('[{"name": "', kind, '", "arguments": ', props, '}]') AS answers FROM v)
 SELECT id, md5(prompt) AS prompt_hash, CAST(length(prompt) + 1 + length(answers) AS BIGINT) AS training_chars FROM p""")
 def _(t):
-    valid = t.wide("calls").where(txt.valid_dataset_row("query", "tools"))
+    valid = t.calls.where(txt.valid_dataset_row("query", "tools"))
     return valid.select("id", F.md5(txt.tool_prompt("query", "tools")).alias("prompt_hash"),
                         F.length(txt.tool_prompt("query", "tools", "answers")).alias("training_chars"))
 
@@ -233,7 +232,7 @@ SELECT id, CASE WHEN id % 11 = 0 THEN '' WHEN id % 7 = 0 THEN kind WHEN id % 5 =
 FROM (SELECT event_id AS id, event_type AS kind, props FROM events)""")
 def _(t):
     wrapped = F.concat(F.lit("Here you are: "), F.col("predicted"), F.lit(" - done."))
-    calls = t.wide("calls").select("id", txt.parse_tool_calls(wrapped).alias("calls"))
+    calls = t.calls.select("id", txt.parse_tool_calls(wrapped).alias("calls"))
     return calls.select("id", F.array_join(F.transform("calls", lambda c: c["name"]), ",").alias("names"),
                         F.size("calls").alias("n_calls"),
                         F.try_element_at("calls", F.lit(1))["arguments"].alias("arguments"))

@@ -165,7 +165,7 @@ SELECT ROUND(AVG(CASE WHEN ok AND (event_id % 7 = 0 OR event_id % 5 <> 0) THEN 1
   ROUND(AVG(CASE WHEN ok AND event_id % 7 <> 0 AND event_id % 5 <> 0 THEN 1.0E0 ELSE 0.0E0 END), 4) AS exact_match, COUNT(*) AS total_samples
 FROM (SELECT event_id, event_id % 17 <> 0 AND event_id % 13 <> 0 AND event_id % 11 <> 0 AS ok FROM events)""")
 def _(t):
-    calls = t.wide("calls")
+    calls = t.calls
     return tool_calls.evaluate_tool_calls(calls.drop("predicted"), calls.select("id", "predicted"), "id", "predicted")
 
 

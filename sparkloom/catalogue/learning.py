@@ -56,7 +56,8 @@ def _(t):
 SELECT event_id, (event_type = 'error')::DOUBLE AS event_type_error, (event_type = 'purchase')::DOUBLE AS event_type_purchase,
   (event_type = 'signup')::DOUBLE AS event_type_signup, (event_type = 'view')::DOUBLE AS event_type_view FROM events""")
 def _(t):
-    return feat.one_hot(t.events.select("event_id", "event_type"), "event_type").drop("event_type")
+    kinds = ["click", "error", "purchase", "signup", "view"]
+    return feat.one_hot(t.events.select("event_id", "event_type"), "event_type", kinds).drop("event_type")
 
 
 @query("m04_standardise", """
@@ -98,7 +99,7 @@ def _(t):
 @query("m08_delay_model")
 def _(t):
     known = ops.not_null(t.flights, ["ArrDelay"])
-    _model, scored, auc = mod.delay_model(known, iterations=20)
+    _model, scored, auc = mod.delay_model(known)
     return st.classification_metrics(scored, "delayed", "prediction").withColumn("auc", F.lit(auc))
 
 
@@ -118,7 +119,7 @@ def _(t):
 @query("m11_tree_models")
 def _(t):
     train, test = parts(feat.mark_stratified(vectors(t), "row_id", 0.8, ["species"]))
-    return mod.compare_models(train, test, {"forest": mod.forest(10, 5), "tree": mod.tree(5)})
+    return mod.compare_models(train, test, {"forest": mod.forest(), "tree": mod.tree()})
 
 
 def _classes(t):
@@ -130,8 +131,8 @@ def _classes(t):
 def _(t):
     train, test = _classes(t)
     return mod.compare_models(train, test, {
-        "forest": mod.classifier("forest", numTrees=10), "tree": mod.classifier("tree"), "bayes": mod.classifier("bayes"),
-        "svm": mod.classifier("svm", maxIter=10)}, task="classification")
+        "forest": mod.classifier("forest", numTrees=100), "tree": mod.classifier("tree"), "bayes": mod.classifier("bayes"),
+        "svm": mod.classifier("svm")}, task="classification")
 
 
 @query("m12_nearest_neighbours", """
@@ -166,7 +167,7 @@ def _(t):
 
 @query("m16_feature_importance")
 def _(t):
-    fitted = mod.forest(10, 5).fit(vectors(t))
+    fitted = mod.forest().fit(vectors(t))
     return mod.feature_importance(fitted, SIZES, t.spark)
 
 
@@ -193,7 +194,7 @@ def _sensors(t):
 def _(t):
     readings = _sensors(t)
     features = fc.direct_features(readings, "station_id", "timestamp", "id")
-    model = fc.train_sensor_model(features, fc.DIRECT_FEATURES, "timestamp", "id", trees=5, depth=4)
+    model = fc.train_sensor_model(features, fc.DIRECT_FEATURES, "timestamp", "id")
     return fc.forecast_direct(readings, model, "station_id", "timestamp", "id")
 
 
@@ -201,7 +202,7 @@ def _(t):
 def _(t):
     readings = _sensors(t)
     features = fc.recursive_features(readings, "station_id", "timestamp", "id")
-    model = fc.train_sensor_model(features, fc.RECURSIVE_FEATURES, "timestamp", "id", trees=5, depth=4)
+    model = fc.train_sensor_model(features, fc.RECURSIVE_FEATURES, "timestamp", "id")
     return fc.forecast_recursive(readings, model, "station_id", "timestamp", "id", days=2)
 
 
@@ -215,7 +216,7 @@ def _(t):
 @query("m21_text_model")
 def _(t):
     train, test = parts(feat.mark_stratified(t.labelled.select("doc_id", "text", "label"), "doc_id", 0.8, ["label"]))
-    scored = mod.score_text(mod.text_model(train, buckets=1 << 14, iterations=20), test)
+    scored = mod.score_text(mod.text_model(train), test)
     accuracy = MulticlassClassificationEvaluator(labelCol="label", metricName="accuracy").evaluate(scored)
     return st.classification_metrics(scored, "label", "prediction", "confidence").withColumn("check", F.lit(accuracy))
 
@@ -234,7 +235,7 @@ SELECT id, row_number() OVER (ORDER BY id) <= floor(0.8 * COUNT(*) OVER ()) AS i
   position('find ' || kind IN 'find ' || kind) = 1 AS has_query
 FROM (SELECT event_id AS id, event_type AS kind FROM events WHERE event_id % 17 <> 0 AND event_id % 13 <> 0)""")
 def _(t):
-    texts = prep.tool_training_set(t.wide("calls").withColumn("order_id", F.col("id")), "order_id", "id")
+    texts = prep.tool_training_set(t.calls.withColumn("order_id", F.col("id")), "order_id", "id")
     return texts.select("id", "is_train", F.contains("text", F.concat(F.lit("User Query: "), "query")).alias("has_query"))
 
 
@@ -244,7 +245,7 @@ SELECT id, CASE WHEN id % 17 = 0 OR id % 13 = 0 OR id % 3 = 0 OR id % 11 = 0 THE
     || CASE WHEN id % 7 = 0 THEN '{}' ELSE replace(props, ' ', '') END || '}]' END AS my_answers
 FROM (SELECT event_id AS id, event_type AS kind, props FROM events)""")
 def _(t):
-    calls = t.wide("calls")
+    calls = t.calls
     answers = prep.answer_calls(calls.where("id % 3 <> 0"), "id", "predicted")
     return prep.fill_answers(calls, answers, "id").select("id", "my_answers")
 
@@ -252,14 +253,14 @@ def _(t):
 @query("d27_encode_tokens", """
 WITH words AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')) AS token FROM documents),
 vocabulary AS (SELECT token, row_number() OVER (ORDER BY COUNT(*) DESC, token) + 1 AS token_id FROM words GROUP BY token
-  ORDER BY COUNT(*) DESC, token LIMIT 2000),
+  ORDER BY COUNT(*) DESC, token LIMIT 30000),
 cut AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')[1:128]) AS token FROM documents)
 SELECT d.doc_id, COALESCE(SUM(COALESCE(token_id, 1)) FILTER (WHERE c.token IS NOT NULL), 0)::BIGINT AS id_sum, COUNT(c.token) AS used,
   CAST(128 AS BIGINT) AS width
 FROM documents d LEFT JOIN cut c ON c.doc_id = d.doc_id LEFT JOIN vocabulary v ON v.token = c.token GROUP BY d.doc_id""")
 def _(t):
-    documents = t.wide("documents").select("doc_id", "text")
-    vocabulary = prep.fit_vocabulary(documents, "text", 2000)
+    documents = t.documents.select("doc_id", "text")
+    vocabulary = prep.fit_vocabulary(documents, "text", 30000)
     encoded = prep.encode_tokens(documents, "doc_id", "text", vocabulary, 128)
 
     def total(name):

@@ -12,7 +12,6 @@ from ..operators.attach import attach
 from ..operators.order_stats import first_fraction
 
 FLIGHT_FEATURES = ["Month", "DayOfWeek", "CRSDepTime", "CRSArrTime", "CRSElapsedTime", "Distance", "TaxiIn", "TaxiOut"]
-MAX_CATEGORIES = 1000
 
 
 def assemble(df: DataFrame, cols: Sequence[str], out: str = "features", invalid: str = "error") -> DataFrame:
@@ -30,18 +29,13 @@ def index_category(df: DataFrame, column: str, order: str = "frequencyDesc", out
     return category_index(df, column, order, out).transform(df)
 
 
-def categories(df: DataFrame, column: str, limit: int = MAX_CATEGORIES) -> list:
-    """Sorted category list; refuses columns that are no categories."""
-    rows = (df.where(F.col(column).isNotNull()).select(column).distinct().limit(limit + 1)).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{column} has more than {limit} distinct values")
-    return sorted(r[0] for r in rows)
+def one_hot(df: DataFrame, column: str, known: Sequence, drop_first: bool = True) -> DataFrame:
+    """One 0/1 column per known category; other values give zeros everywhere.
 
-
-def one_hot(df: DataFrame, column: str, known: Sequence | None = None, drop_first: bool = True) -> DataFrame:
-    """One 0/1 column per category; values outside the known list give zeros everywhere."""
-    known = list(categories(df, column) if known is None else known)
-    used = known[1:] if drop_first else known
+    The caller names the categories, since they become columns; for many or
+    unknown ones index the category and encode the index as a vector.
+    """
+    used = list(known)[1:] if drop_first else list(known)
     return df.withColumns({f"{column}_{k}": F.coalesce((F.col(column) == F.lit(k)).cast("double"), F.lit(0.0))
                            for k in used})
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .. import fixed_values as fx
 from ..functions.numbers import is_error
@@ -83,7 +83,7 @@ def bucket_stats(df: DataFrame, key: str, ts: str, width: str = "1 hour",
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     """Count and percentage per value, largest first."""
     counted = df.groupBy(column).agg(F.count("*").alias("count"))
-    total = df.agg(F.count("*").alias("n")).scalar()
+    total = counted.agg(F.sum("count").alias("n")).scalar()
     return (counted.withColumn("percentage", F.col("count") * 100.0 / total)
             .orderBy(F.desc("count"), F.asc(column)))
 
@@ -97,9 +97,9 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
 
 
 def latest_per_key(df: DataFrame, key: str, ts: str, tie: str) -> DataFrame:
-    """The newest whole record per key; only one candidate per map task and key is shuffled."""
-    newest = df.groupBy(key).agg(F.max_by(F.struct("*"), F.struct(F.col(ts), F.col(tie))).alias("_r"))
-    return newest.select("_r.*")
+    """The newest whole record per key; rows beyond the first of a key are dropped in every map task before the shuffle."""
+    order = Window.partitionBy(key).orderBy(F.desc_nulls_last(ts), F.desc_nulls_last(tie))
+    return df.withColumn("_n", F.row_number().over(order)).where("_n <= 1").drop("_n")
 
 
 def avg_of_latest(df: DataFrame, key: str, ts: str, tie: str, cols: Sequence[str]) -> DataFrame:

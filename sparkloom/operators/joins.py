@@ -75,11 +75,14 @@ def lookup(fact: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str =
 
     When the dimension is too large to broadcast and fact keys are hot, ``salt``
     splits every fact key over that many tasks and repeats each dimension row
-    once per split; the rows returned are the same.
+    once per split; the rows returned are the same. That holds for joins that
+    return no unmatched dimension row, so others are refused.
     """
     on = [on] if isinstance(on, str) else list(on)
     if salt <= 1:
         return fact.join(dim, on, how)
+    if how.lower().replace("_", "") not in ("inner", "left", "leftouter", "leftsemi", "leftanti", "semi", "anti"):
+        raise ValueError(f"a {how} join cannot be salted: unmatched dimension rows would come once per split")
     others = [F.col(c) for c in fact.columns if c not in on] or [F.lit(0)]
     salted = fact.withColumn("_salt", F.pmod(F.xxhash64(*others), F.lit(salt)))
     spread = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salt - 1).cast("bigint"))))

@@ -8,7 +8,7 @@ from itertools import combinations_with_replacement
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.numbers import absolute_error, percent_error
-from ..functions.text import call_names, is_json, parse_tool_calls
+from ..functions.text import is_json
 from .attach import attach
 from .order_stats import percentiles
 
@@ -211,14 +211,29 @@ def classification_metrics(df: DataFrame, actual: str, predicted: str, confidenc
     return result
 
 
+def _calls_of(text: Column) -> tuple[Column, Column, Column]:
+    """The text as JSON printed in one fixed order, whether it is a list of objects, and the set of names in it."""
+    value = F.when(is_json(text), F.try_parse_json(text))
+    calls = F.try_variant_get(value, "$", "array<variant>")
+    objects = F.coalesce(F.forall(calls, lambda c: F.schema_of_variant(c).startswith("OBJECT")), F.lit(False))
+    names = F.transform(calls, lambda c: F.coalesce(F.to_json(F.try_variant_get(c, "$.name", "variant")), F.lit('""')))
+    return F.to_json(value), objects, F.array_sort(F.array_distinct(names))
+
+
 def score_tool_calls(df: DataFrame, truth: str, predicted: str) -> DataFrame:
-    """Share of rows calling the same tools and share with identical calls; unreadable rows are left out."""
-    sides = {"_t": F.col(truth), "_p": F.col(predicted)}
-    # each text is parsed once: a variant prints its object keys in one fixed order, so equal calls print alike
-    read = df.select(*[F.when(is_json(c), F.to_json(F.try_parse_json(c))).alias(n) for n, c in sides.items()],
-                     *[call_names(parse_tool_calls(c)).alias(f"{n}_names") for n, c in sides.items()])
-    readable = F.coalesce(F.col("_t").startswith("[") & F.col("_p").startswith("["), F.lit(False))
-    same_tools = F.col("_t_names") == F.col("_p_names")
+    """Share of rows calling the same tools and share with identical calls.
+
+    Both texts are read whole. A row with an unreadable text is left out; one
+    whose texts are not both lists of objects counts as wrong. A call without a
+    name has the empty name, and the last of a repeated key counts.
+    """
+    columns = []
+    for side, text in (("t", F.col(truth)), ("p", F.col(predicted))):
+        printed, objects, names = _calls_of(text)
+        columns += [printed.alias(f"_{side}"), objects.alias(f"_{side}_calls"), names.alias(f"_{side}_names")]
+    read = df.select(*columns)
+    readable = F.col("_t").isNotNull() & F.col("_p").isNotNull()
+    same_tools = F.col("_t_calls") & F.col("_p_calls") & F.coalesce(F.col("_t_names") == F.col("_p_names"), F.lit(False))
     same_calls = same_tools & (F.col("_t") == F.col("_p"))
     return read.agg(
         F.avg(F.when(readable, same_tools.cast("double"))).alias("tool_accuracy"),
