@@ -16,6 +16,8 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # rows of long texts go to Python workers in batches of bounded bytes
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4194304",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # of a repeated key in a JSON object the last value counts
     "spark.sql.variant.allowDuplicateKeys": "true",
