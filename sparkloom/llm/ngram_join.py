@@ -188,12 +188,17 @@ def jaccard_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     ties = keyed.join(least, ["band", "key"]).where("rep <> b").select(F.col("rep").alias("a"), "b").distinct()
     groups = store(components(ties, "ties"), "groups")
 
-    member = groups.join(sets.select("rep", "f2", "copies", "size"), groups["node"] == sets["rep"]).drop("node")
+    member = groups.join(sets.select("rep", "f2", "first", "copies", "size"), groups["node"] == sets["rep"]).drop("node")
     sizes = member.groupBy("root").agg(F.count("*").alias("m"), F.sum("size").alias("grams_held"))
     cut = sizes.select("root", F.greatest(F.ceil(F.col("m") / PIECE), F.ceil(F.col("grams_held") * 8 / PIECE_BYTES))
                        .cast("int").alias("cuts"))
-    placed = member.join(cut, "root").withColumn("piece", F.pmod(F.xxhash64("rep", F.lit(7)), "cuts").cast("int"))
-    grams = held.groupBy("f1", "f2").agg(F.first("grams").alias("grams"))
+    placed = store(member.join(cut, "root").drop("size").withColumn(
+        "piece", F.pmod(F.xxhash64("rep", F.lit(7)), "cuts").cast("int")), "placed")
+    # n-grams are shuffled for texts of a group only, from the row that stands for its copies
+    wanted = placed.select("rep", F.col("f2").alias("half"), "first")
+    grams = held.join(wanted, (held["f1"] == wanted["rep"]) & (held["f2"] == wanted["half"])
+                      & held["doc"].eqNullSafe(wanted["first"]), "left_semi").groupBy("f1", "f2").agg(
+        F.first("grams").alias("grams"))
     shipped = (placed.join(grams.withColumnRenamed("f1", "rep"), ["rep", "f2"])
                .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
                .select("root", F.least("piece", "other").alias("i"), F.greatest("piece", "other").alias("j"),
