@@ -82,32 +82,41 @@ def _signature(x: np.ndarray, a: np.ndarray) -> np.ndarray:
     return low
 
 
-def _fingerprints(df: DataFrame, id_col: str, text_col: str, n: int, bands: int, rows: int) -> DataFrame:
-    """doc, f1, f2 (fingerprint of the set), size, bands (hash per band), grams (sorted hashes as bytes)."""
+def _texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """d: what a row is known by (its id and a digest of its text), x: the text."""
+    text = F.coalesce(df[text_col], F.lit(""))
+    return df.select(F.struct(df[id_col].alias("id"), F.xxhash64(text).alias("h")).alias("d"), text.alias("x"))
+
+
+def _fingerprints(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
+    """d, f1, f2 (fingerprint of the set), size, bands (hash per band)."""
     a = np.random.default_rng(20).integers(1, 2 ** 63, bands * rows, dtype=np.uint64) | np.uint64(1)
 
     def made(kept: list, texts: list) -> list[list]:
-        out: list[list] = [[], [], [], [], []]
+        out: list[list] = [[], [], [], []]
         for text in texts:
             x = shingles(text, n)
-            raw = x.tobytes()
-            d = xxhash.xxh3_128_intdigest(raw)
+            d = xxhash.xxh3_128_intdigest(x.tobytes())
             keys = []
             if len(x):
                 sig = _signature(x, a).reshape(bands, rows)
                 keys = [xxhash.xxh3_64_intdigest(sig[i].tobytes(), seed=i) - 2 ** 63 for i in range(bands)]
-            for column, value in zip(out, ((d >> 64) - 2 ** 63, (d & (2 ** 64 - 1)) - 2 ** 63, len(x), keys, raw),
-                                     strict=True):
+            for column, value in zip(out, ((d >> 64) - 2 ** 63, (d & (2 ** 64 - 1)) - 2 ** 63, len(x), keys), strict=True):
                 column.append(value)
         return [kept[0], *out]
 
-    schema = _schema(df, id_col, "f1 bigint, f2 bigint, size bigint, bands array<bigint>, grams binary")
-    return map_texts(df, [id_col, text_col], schema, made)
+    schema = T.StructType([docs.schema["d"], *T.StructType.fromDDL("f1 bigint, f2 bigint, size bigint, bands array<bigint>")])
+    return map_texts(docs, ["d", "x"], schema, made)
 
 
-def _schema(df: DataFrame, id_col: str, rest: str) -> T.StructType:
-    return T.StructType([T.StructField("doc", df.schema[id_col].dataType)] +
-                        T.StructType.fromDDL(rest).fields)
+def _with_grams(docs: DataFrame, placed: DataFrame, n: int) -> DataFrame:
+    """The rows of ``placed`` with the n-gram hashes (as bytes) of the text that stands for each."""
+    # repeated rows are made one before the shuffle, which the join takes over
+    texts = docs.groupBy("d").agg(F.first("x").alias("x"))
+    place = T.StructType.fromDDL("root bigint, rep bigint, copies bigint, cuts int, piece int")
+    held = texts.join(placed.select("d", *place.names), "d")
+    return map_texts(held, [*place.names, "x"], T.StructType([*place, T.StructField("grams", T.BinaryType())]),
+                     lambda kept, found: [*kept, [shingles(t, n).tobytes() for t in found]])
 
 
 def _compare(threshold: float):
@@ -176,30 +185,27 @@ def jaccard_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     columns are ignored. An empty table gives no rows.
     """
     bands, rows = choose_bands(threshold, recall, hashes)
-    prints = store(_fingerprints(df, id_col, text_col, n, bands, rows), "shingles")
+    docs = _texts(df, id_col, text_col)
+    prints = store(_fingerprints(docs, n, bands, rows), "shingles")
     held = prints.where("size > 0")
     # a set is known by its fingerprint; its number among the sets is the first half, unless that is taken twice
-    copies = held.groupBy("f1", "f2").agg(F.min("doc").alias("first"), F.count("*").alias("copies"),
+    copies = held.groupBy("f1", "f2").agg(F.min("d.id").alias("first"), F.count("*").alias("copies"), F.min("d").alias("d"),
                                           F.min("size").alias("size"), F.first("bands").alias("bands"))
-    sets = store(copies.select(F.col("f1").alias("rep"), "f2", "first", "copies", "size", "bands"), "sets")
+    sets = store(copies.select(F.col("f1").alias("rep"), "f2", "first", "d", "copies", "size", "bands"), "sets")
 
     keyed = sets.select("rep", F.posexplode("bands").alias("band", "key"))
     least = keyed.groupBy("band", "key").agg(F.min("rep").alias("b"), F.max("rep").alias("top")).where("b <> top")
     ties = keyed.join(least, ["band", "key"]).where("rep <> b").select(F.col("rep").alias("a"), "b").distinct()
     groups = store(components(ties, "ties"), "groups")
 
-    member = groups.join(sets.select("rep", "f2", "first", "copies", "size"), groups["node"] == sets["rep"]).drop("node")
+    member = groups.join(sets.select("rep", "d", "copies", "size"), groups["node"] == sets["rep"]).drop("node")
     sizes = member.groupBy("root").agg(F.count("*").alias("m"), F.sum("size").alias("grams_held"))
     cut = sizes.select("root", F.greatest(F.ceil(F.col("m") / PIECE), F.ceil(F.col("grams_held") * 8 / PIECE_BYTES))
                        .cast("int").alias("cuts"))
-    placed = store(member.join(cut, "root").drop("size").withColumn(
-        "piece", F.pmod(F.xxhash64("rep", F.lit(7)), "cuts").cast("int")), "placed")
-    # n-grams are shuffled for texts of a group only, from the row that stands for its copies
-    wanted = placed.select("rep", F.col("f2").alias("half"), "first")
-    grams = held.join(wanted, (held["f1"] == wanted["rep"]) & (held["f2"] == wanted["half"])
-                      & held["doc"].eqNullSafe(wanted["first"]), "left_semi").groupBy("f1", "f2").agg(
-        F.first("grams").alias("grams"))
-    shipped = (placed.join(grams.withColumnRenamed("f1", "rep"), ["rep", "f2"])
+    placed = store(member.join(cut, "root").withColumn("piece", F.pmod(F.xxhash64("rep", F.lit(7)), "cuts").cast("int")),
+                   "placed")
+    # only texts of a group are cut into n-grams again: the n-grams of all texts would take more room than the texts
+    shipped = (_with_grams(docs, placed, n)
                .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
                .select("root", F.least("piece", "other").alias("i"), F.greatest("piece", "other").alias("j"),
                        "piece", "rep", "copies", "grams"))
@@ -214,7 +220,7 @@ def jaccard_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     known = store(known, "known")
     named = known.groupBy("root").agg(F.min("first").alias("class_id"))
     known = known.join(named, "root").withColumnRenamed("rep", "f1")
-    out = prints.select("doc", "f1", "f2", "size").join(
+    out = prints.select(F.col("d.id").alias("doc"), "f1", "f2", "size").join(
         known.select("f1", "f2", "copies", "links", "texts", "class_id"), ["f1", "f2"], "left")
     alone = F.col("size") == 0
     return out.select(
