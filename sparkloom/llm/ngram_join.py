@@ -6,13 +6,15 @@
 2. Rows are shuffled on (band, hash). A bucket ties its rows to the smallest one
    in it, never to each other, and the components of these ties are groups:
    any two texts that agree in a band are in one group.
-3. A group is cut into pieces of at most ``PIECE`` texts on average; every pair
-   of pieces is one task group that compares the full sets of its texts by an
-   inverted index and returns one row per text: its links and its root among them.
-   So no pair is ever a row, and a group of any size is spread over many tasks.
-
-Cost: comparing a group of m near copies takes m * m / PIECE shipped rows; the
-number of links of each is a figure over all pairs, so this cannot be avoided.
+3. A group is cut into pieces of at most ``PIECE`` texts on average. The full sets
+   of a piece are compared by an inverted index; the piece is then packed into one
+   row, and every pair of pieces of a group is one task group that compares the
+   one's sets with the other's. Both return one row per text: its links and its
+   root among them. So no pair is ever a row, and a group of any size is spread
+   over many tasks.
+
+Cost: comparing a group of m near copies ships each packed piece m / PIECE times;
+the number of links of each is a figure over all pairs, so this cannot be avoided.
 """
 
 from __future__ import annotations
@@ -22,9 +24,10 @@ import math
 import numpy as np
 import pandas as pd
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import components, map_texts, store
+from .common import components, discard, map_texts, store
 
 N_WORDS = 5
 THRESHOLD = 0.8
@@ -109,60 +112,93 @@ def _fingerprints(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
     return map_texts(docs, ["d", "x"], schema, made)
 
 
-def _with_grams(docs: DataFrame, placed: DataFrame, n: int) -> DataFrame:
-    """The rows of ``placed`` with the n-gram hashes (as bytes) of the text that stands for each."""
+def _grouped_texts(docs: DataFrame, placed: DataFrame) -> DataFrame:
+    """The rows of ``placed`` with the text that stands for each."""
     # repeated rows are made one before the shuffle, which the join takes over
     texts = docs.groupBy("d").agg(F.first("x").alias("x"))
-    place = T.StructType.fromDDL("root bigint, rep bigint, copies bigint, cuts int, piece int")
-    held = texts.join(placed.select("d", *place.names), "d")
-    return map_texts(held, [*place.names, "x"], T.StructType([*place, T.StructField("grams", T.BinaryType())]),
-                     lambda kept, found: [*kept, [shingles(t, n).tobytes() for t in found]])
+    return texts.join(placed, "d").select("root", "piece", "cuts", "rep", "copies", "x")
+
+
+def _near(rep: np.ndarray, copies: np.ndarray, sets: list[np.ndarray], threshold: float,
+          split: int | None = None) -> pd.DataFrame:
+    """Links and local roots of the sets that have a link: each with each, or those before ``split`` with the others."""
+    size = np.array([len(s) for s in sets])
+    flat, ends = np.concatenate(sets), np.cumsum(size)
+    starts = ends - size
+    _, local = np.unique(flat, return_inverse=True)
+    links, texts = np.zeros(len(rep), np.int64), np.zeros(len(rep), np.int64)
+    root = np.arange(len(rep))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    flag = np.zeros(len(flat), np.int32)
+    for x in range(len(rep) - 1 if split is None else split):
+        begin = x + 1 if split is None else split
+        mine = local[starts[x]:ends[x]]
+        flag[mine] = 1
+        common = np.add.reduceat(flag[local[starts[begin]:]], starts[begin:] - starts[begin])
+        flag[mine] = 0
+        near = common >= threshold * (size[begin:] + size[x] - common) - 1e-9
+        for y in (np.nonzero(near)[0] + begin).tolist():
+            links[x] += copies[y]
+            links[y] += copies[x]
+            texts[x] += 1
+            texts[y] += 1
+            p, q = find(x), find(y)
+            if p != q:
+                # the root of a local class is its smallest number
+                low, high = (p, q) if rep[p] < rep[q] else (q, p)
+                root[high] = low
+    linked = np.nonzero(texts)[0]
+    return pd.DataFrame({"rep": rep[linked], "links": links[linked], "texts": texts[linked],
+                         "top": rep[[find(int(x)) for x in linked]]})
+
+
+#: What comparing sets returns per linked text, and a piece packed into one row for its meetings with other pieces.
+_LINKS = "rep bigint, links bigint, texts bigint, top bigint"
+_PACKED = "root bigint, piece int, cuts int, reps array<bigint>, copies array<bigint>, sizes array<int>, grams binary"
+
+
+def _within(n: int, threshold: float):
+    """Compare the texts of one piece; if its group has more pieces, pack their sets as well.
+
+    Sets of near copies repeat each other, so a packed piece takes a fraction of
+    the bytes of its sets, and only packed pieces are shipped to each other.
+    """
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        sets = [shingles(x, n) for x in pdf["x"]]
+        rep, copies = pdf["rep"].to_numpy(), pdf["copies"].to_numpy()
+        out = _near(rep, copies, sets, threshold).assign(packed=None)
+        cuts = int(pdf["cuts"].iloc[0])
+        if cuts > 1:
+            row = {"root": int(pdf["root"].iloc[0]), "piece": int(pdf["piece"].iloc[0]), "cuts": cuts,
+                   "reps": rep.tolist(), "copies": copies.tolist(), "sizes": [len(s) for s in sets],
+                   "grams": zstandard.ZstdCompressor().compress(np.concatenate(sets).tobytes())}
+            blank = pd.DataFrame({"rep": [0], "links": [0], "texts": [0], "top": [0], "packed": [row]})
+            out = pd.concat([out, blank], ignore_index=True) if len(out) else blank
+        return out
+
+    return run
 
 
-def _compare(threshold: float):
-    """Links and local roots of one pair of pieces; a text of either piece that has no link gives no row."""
+def _across(threshold: float):
+    """Compare two packed pieces of a group with each other."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        i, j = int(pdf["i"].iloc[0]), int(pdf["j"].iloc[0])
-        pdf = pdf.sort_values("rep", ignore_index=True)
-        piece, rep = pdf["piece"].to_numpy(), pdf["rep"].to_numpy()
-        copies = pdf["copies"].to_numpy()
-        sets = [np.frombuffer(g, np.uint64) for g in pdf["grams"]]
-        size = np.array([len(s) for s in sets])
-        flat, ends = np.concatenate(sets), np.cumsum(size)
-        starts = ends - size
-        _, local = np.unique(flat, return_inverse=True)
-        links, texts = np.zeros(len(rep), np.int64), np.zeros(len(rep), np.int64)
-        root = np.arange(len(rep))
-
-        def find(x: int) -> int:
-            while root[x] != x:
-                root[x] = root[root[x]]
-                x = root[x]
-            return x
-
-        flag = np.zeros(len(flat), np.int32)
-        for x in range(len(rep)):
-            if i != j and piece[x] != i:
-                continue
-            mine = local[starts[x]:ends[x]]
-            flag[mine] = 1
-            common = np.add.reduceat(flag[local], starts)
-            flag[mine] = 0
-            union = size + size[x] - common
-            near = common >= threshold * union - 1e-9
-            near &= (np.arange(len(rep)) > x) if i == j else (piece == j)
-            for y in np.nonzero(near)[0]:
-                links[x] += copies[y]
-                links[y] += copies[x]
-                texts[x] += 1
-                texts[y] += 1
-                p, q = find(x), find(int(y))
-                if p != q:
-                    root[max(p, q)] = min(p, q)
-        linked = np.nonzero(texts)[0]
-        return pd.DataFrame({"rep": rep[linked], "links": links[linked], "texts": texts[linked],
-                             "top": rep[[find(int(x)) for x in linked]]})
+        reps, copies, sets = [], [], []
+        for r in pdf.itertuples():
+            flat = np.frombuffer(zstandard.ZstdDecompressor().decompress(r.grams), np.uint64)
+            sets.extend(np.split(flat, np.cumsum(r.sizes)[:-1]))
+            reps.append(np.asarray(r.reps, np.int64))
+            copies.append(np.asarray(r.copies, np.int64))
+        if len(reps) < 2:  # the other piece holds no text
+            return pd.DataFrame({c: np.empty(0, np.int64) for c in ("rep", "links", "texts", "top")})
+        return _near(np.concatenate(reps), np.concatenate(copies), sets, threshold, len(reps[0]))
 
     return run
 
@@ -205,12 +241,16 @@ def jaccard_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     placed = store(member.join(cut, "root").withColumn("piece", F.pmod(F.xxhash64("rep", F.lit(7)), "cuts").cast("int")),
                    "placed")
     # only texts of a group are cut into n-grams again: the n-grams of all texts would take more room than the texts
-    shipped = (_with_grams(docs, placed, n)
-               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
-               .select("root", F.least("piece", "other").alias("i"), F.greatest("piece", "other").alias("j"),
-                       "piece", "rep", "copies", "grams"))
-    compared = store(shipped.groupBy("root", "i", "j").applyInPandas(
-        _compare(threshold), "rep bigint, links bigint, texts bigint, top bigint"), "links")
+    first = store(_grouped_texts(docs, placed).groupBy("root", "piece").applyInPandas(
+        _within(n, threshold), f"{_LINKS}, packed struct<{_PACKED}>"), "pieces")
+    alike = [c.split()[0] for c in _LINKS.split(", ")]
+    meetings = (first.where("packed IS NOT NULL").select("packed.*")
+                .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1))).where("other <> piece")
+                .select("root", F.least("piece", "other").alias("i"), F.greatest("piece", "other").alias("j"),
+                        "reps", "copies", "sizes", "grams"))
+    compared = store(first.where("packed IS NULL").select(*alike).union(
+        meetings.groupBy("root", "i", "j").applyInPandas(_across(threshold), _LINKS)), "links")
+    discard(placed, first)
     linked = compared.groupBy("rep").agg(F.sum("links").alias("links"), F.sum("texts").alias("texts"))
     roots = components(compared.where("rep <> top").select(F.col("rep").alias("a"), F.col("top").alias("b")), "classes")
 
