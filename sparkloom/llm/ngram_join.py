@@ -114,8 +114,8 @@ def _fingerprints(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
 
 def _grouped_texts(docs: DataFrame, placed: DataFrame) -> DataFrame:
     """The rows of ``placed`` with the text that stands for each."""
-    # repeated rows are made one before the shuffle, which the join takes over
-    texts = docs.groupBy("d").agg(F.first("x").alias("x"))
+    # texts of no group are left out first; repeated rows are made one before they are shuffled to their group
+    texts = docs.join(placed.select("d"), "d", "left_semi").groupBy("d").agg(F.first("x").alias("x"))
     return texts.join(placed, "d").select("root", "piece", "cuts", "rep", "copies", "x")
 
 
@@ -229,9 +229,9 @@ def jaccard_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
                                           F.min("size").alias("size"), F.first("bands").alias("bands"))
     sets = store(copies.select(F.col("f1").alias("rep"), "f2", "first", "d", "copies", "size", "bands"), "sets")
 
-    keyed = sets.select("rep", F.posexplode("bands").alias("band", "key"))
-    least = keyed.groupBy("band", "key").agg(F.min("rep").alias("b"), F.max("rep").alias("top")).where("b <> top")
-    ties = keyed.join(least, ["band", "key"]).where("rep <> b").select(F.col("rep").alias("a"), "b").distinct()
+    keyed = sets.select("rep", F.explode("bands").alias("key"))  # the key's seed is the number of the band
+    least = keyed.groupBy("key").agg(F.min("rep").alias("b"), F.max("rep").alias("top")).where("b <> top")
+    ties = keyed.join(least, "key").where("rep <> b").select(F.col("rep").alias("a"), "b").distinct()
     groups = store(components(ties, "ties"), "groups")
 
     member = groups.join(sets.select("rep", "d", "copies", "size"), groups["node"] == sets["rep"]).drop("node")
