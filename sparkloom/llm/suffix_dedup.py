@@ -215,7 +215,10 @@ def _edges(docs: DataFrame, keys: DataFrame, length: int, step: int = STEP) -> D
     # of chunks with one envelope, one stands for all where others with its core are undecided
     first = (chunks.join(env.withColumnRenamed("lo", "key"), ["env", "key"])
              .join(between.select("core").distinct(), "core", "left_semi").select("key", "at", "m"))
-    places = between.select("key", "at", "m").union(first).distinct().join(keys.select("key", "rep"), "key").select(
+    places = store(between.select("key", "at", "m").union(first).distinct(), "places")
+    decided = store(all_of, "decided")
+    discard(chunks, env, between)
+    undecided = places.join(keys.select("key", "rep"), "key").select(
         "rep.d", F.struct("key", "at", (F.col("rep.start") + F.col("at")).alias("start"), "m").alias("run"))
 
     def windows(kept: list, texts: list) -> list:
@@ -229,11 +232,11 @@ def _edges(docs: DataFrame, keys: DataFrame, length: int, step: int = STEP) -> D
         return [pa.array(_signed(np.concatenate(digest))), pa.array(np.concatenate(key)),
                 pa.array(np.concatenate(place))]
 
-    one = store(map_texts(_with_text(docs, places), ["k", "x"], T.StructType.fromDDL("w bigint, key bigint, a int"),
+    one = store(map_texts(_with_text(docs, undecided), ["k", "x"], T.StructType.fromDDL("w bigint, key bigint, a int"),
                           windows), "windows")
     some = one.join(shared(one, "w").select("w"), "w").select("key", "a", (F.col("a") + 1).alias("b"))
-    out = store(all_of.union(some).groupBy("key").agg(F.collect_set(F.struct("a", "b")).alias("ranges")), "ranges")
-    discard(chunks, env, between, one)
+    out = store(decided.union(some).groupBy("key").agg(F.collect_set(F.struct("a", "b")).alias("ranges")), "ranges")
+    discard(places, decided, one)
     return out
 
 
