@@ -149,10 +149,11 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """(d, spans): the covered byte ranges [start, end) of each document that has one, unmerged, in no order."""
     docs = _document(df, id_col, text_col)
     found = store(_run_rows(docs, length, gram), "runs")
-    twice = found.groupBy("anchor").agg(F.count("*").alias("c")).where("c > 1").select("anchor")
+    # stored apart, so that the join is of two plain shuffles and a frequent anchor can be split
+    twice = store(found.groupBy("anchor").agg(F.count("*").alias("c")).where("c > 1").select("anchor"), "twice")
     # rows that repeat id and text stand for as many places: they are counted, not made distinct
     met = store(found.join(twice, "anchor"), "met")
-    discard(found)
+    discard(found, twice)
     keys = store(met.groupBy("anchor", "key").agg(
         F.count("*").alias("c"), F.min(F.struct("d", "start", "n", "offset")).alias("rep")), "keys")
     edge = store(_edges(docs, keys, length), "edges")
