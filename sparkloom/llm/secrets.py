@@ -8,7 +8,9 @@ no pattern takes, so offsets hold.
 Every candidate value is counted corpus-wide by the distinct owners (sources) and
 repositories (source and language) that hold it. A value of many owners is a
 copied example; one that stays with few is taken for a live credential. Kinds
-beyond the base ones are reported only where ownership says live.
+beyond the base ones are reported only where ownership says live. A private key is
+one span from its first line to its last; its value is the body's own characters,
+so that another wrapping or escaped line ends make no other key.
 """
 
 from __future__ import annotations
@@ -24,12 +26,18 @@ BASE = {
     "access": (r"AKIA[A-Z0-9]+", 0, 20),
     "hex": (r"[0-9a-f]{24,}", 0, 24),
 }
+_BEGIN, _END = (rf"-----{edge} [A-Z ]*PRIVATE KEY-----" for edge in ("BEGIN", "END"))
+#: What stands before the end line; of a key whose end line was cut off, the lines that can only be key.
+_BODY = (rf"[^-]*+(?:-{{1,4}}[^-]++){{0,200}}+(?={_END})"
+         r"|(?:\\[nr]|[\s\"'])*+(?:[A-Za-z0-9+/]{40,}+=*+(?:\\[nr]|[\s\"'])*+){1,400}+(?:[A-Za-z0-9+/]++=*+\z)?+")
 #: Published shapes of provider tokens and keys.
 FURTHER = {
     "bearer": (r"(?i:bearer)\x20+([A-Za-z0-9+/_.=-]{16,})", 1, 16),
     "github": (r"gh[oprsu]_[A-Za-z0-9]{36,}", 0, 40),
-    "private": (r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1),
+    "private": (f"{_BEGIN}({_BODY})(?:{_END})?+", 1, 32),
 }
+#: kind -> what is no part of its value: between the characters of a key body, line ends, their escapes, quotes.
+APART = {"private": r"\\[nrt]|[^A-Za-z0-9+/=]"}
 KINDS = {**BASE, **FURTHER}
 #: A value of more owners than this is a copied example.
 MAX_OWNERS = 3
@@ -49,6 +57,8 @@ def spans_of(text: Column, kind: str) -> Column:
     def step(state: Column, piece: Column) -> Column:
         end = state["at"] + F.char_length(piece["p"])
         value = F.regexp_extract(piece["p"], pattern, group) if group else piece["p"]
+        if kind in APART:
+            value = F.regexp_replace(value, APART[kind], "")
         took = (piece["i"] % 2 == 1) & (F.char_length(value) >= least)
         one = F.array(F.struct(F.lit(number).alias("kind"), state["at"].alias("start"), end.alias("end"),
                                value.alias("value")).cast(_SPAN))

@@ -394,6 +394,34 @@ def test_ownership_parts_examples_from_live_ones(spark):
     assert secrets.secrets(empty(spark)).count() == 0
 
 
+def key_text(seed, kind="RSA ", width=64):
+    body = base64.b64encode(random.Random(seed).randbytes(600)).decode()
+    lines = "\n".join(body[i:i + width] for i in range(0, len(body), width))
+    return f"-----BEGIN {kind}PRIVATE KEY-----\n{lines}\n-----END {kind}PRIVATE KEY-----"
+
+
+def test_private_keys_of_many_sources(spark):
+    """Keys are told apart by their bodies: one header in many sources makes no example of them."""
+    shared, sealed = key_text(99), key_text(7).replace("KEY-----\n", "KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0F\n\n", 1)
+    cut = key_text(8).rsplit("\n", 1)[0]
+    wrapped = [shared, key_text(99, width=76), key_text(99, "").replace("\n", "\\n"), shared.replace("\n", "\n  "), shared]
+    rows = [(i, f"é one {key_text(i)} end", "en", f"s{i}", 0) for i in range(6)]
+    rows += [(10 + i, f"an example {t} here", "en", f"s{i}", 0) for i, t in enumerate(wrapped)]
+    rows += [(20, f"a {sealed} b", "en", "s1", 0), (21, f"a {cut}", "en", "s2", 0),
+             (22, f"{key_text(30)} {key_text(31)}", "en", "s3", 0),
+             (23, "-----BEGIN RSA PRIVATE KEY----- is a header line", "en", "s4", 0), (24, "-----BEGIN RSA PRIVATE KEY-----" * 3000, "en", "s5", 0)]
+    docs = spark.createDataFrame(rows, DOCS)
+    found = {r.doc_id: r for r in secrets.secrets(docs).collect()}
+    masked = {r.doc_id: r.text for r in secrets.mask_live(docs).collect()}
+    for i in range(6):
+        assert found[i].spans == f"private:6:{6 + len(key_text(i))}" and found[i].n_live == 1
+        assert masked[i] == "é one [secret] end"
+    for i, t in enumerate(wrapped):
+        assert found[10 + i].spans == "" and masked[10 + i] == f"an example {t} here"
+    assert (masked[20], masked[21], masked[22]) == ("a [secret] b", "a [secret]", "[secret] [secret]")
+    assert masked[23] == rows[-2][1] and masked[24] == rows[-1][1]
+
+
 def test_secret_scan_runs_no_python(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     plan = secrets.secrets(docs)._jdf.queryExecution().executedPlan().toString()
