@@ -6,6 +6,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -119,6 +120,26 @@ def test_license_variants_match(spark):
     assert [found[i] for i in range(len(variants))] == [None, "MIT", "MIT", "MIT", "MIT", None, None, None]
 
 
+def test_whole_license_files(spark):
+    """Files as repositories hold them: titles, holders without a year, filled-in places, other list marks."""
+    folder = Path(licenses.__file__).parent / "license_texts"
+    known = {p.name[:-4]: p.read_text() for p in folder.iterdir()} | {k: licenses.KNOWN[k] for k in ("MIT", "ISC", "0BSD", "Zlib")}
+    mit, bsd, apache = known["MIT"], known["BSD-3-Clause"], known["Apache-2.0"]
+    files = [(k, t) for k, t in sorted(known.items())] + [
+        ("MIT", "MIT License\n\nCopyright (c) 2020 Some One\n\n" + mit), ("MIT", "The MIT License (MIT)\r\n\r\nCopyright Some Body\r\n\r\n" + mit.replace("\n", "\r\n")),
+        ("MIT", "# The MIT License\n\nCopyright Org and other contributors, https://org.example/\n\n" + mit),
+        ("ISC", "ISC License\n\nCopyright (c) 2020, A\n\n" + known["ISC"]), ("ISC", "The ISC License\n\nCopyright (c) A and Contributors\n\n" + known["ISC"].replace("and/or", "and")),
+        ("0BSD", "BSD Zero Clause License\n\nCopyright (C) 2006 by A <a@b.c>\n\n" + known["0BSD"]),
+        ("BSD-3-Clause", "BSD 3-Clause License\n\nCopyright (c) 2011, A\nAll rights reserved.\n\n" + bsd[bsd.index("Redistribution"):]),
+        ("BSD-3-Clause", "Copyright 2011 B\n\n" + re.sub(r"the\s+copyright\s+holder\s+nor", "B Corp. nor", bsd[bsd.index("Redistribution"):].replace("1. R", "* R").replace("2. R", "* R").replace("3. N", "* N"))),
+        ("BSD-2-Clause", "BSD 2-Clause License\n\n" + known["BSD-2-Clause"]),
+        ("Apache-2.0", apache[:apache.index("   APPENDIX")]), ("Apache-2.0", apache.replace("[yyyy] [name of copyright owner]", "2019 A")), ("Apache-2.0", apache.replace("[yyyy] [name of copyright owner]", "The A Authors")),
+        ("GPL-2.0", known["GPL-2.0"].replace("51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA", "59 Temple Place, Suite 330, Boston, MA  02111-1307  USA")),
+        (None, "MIT License\n"), (None, "MIT License\n\nCopyright X\n"), (None, "MIT License\n\nCopyright X\n\n" + mit + "\nand more"), (None, "Some prose\n\n" + mit), (None, "\n" * 5000)]
+    found = {r.doc_id: r.license_id for r in licenses.scan(frame(spark, [(i, t) for i, (_, t) in enumerate(files)])).collect()}
+    assert [(k, t[:40]) for i, (k, t) in enumerate(files) if found[i] != k] == []
+
+
 def test_license_spellings_and_empty(spark):
     a = frame(spark, [(1, "Licence: use whilst you favour it"), (2, "license use while you favor it")])
     assert len({r.canonical_sha256 for r in licenses.scan(a).collect()}) == 1
