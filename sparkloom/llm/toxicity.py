@@ -20,7 +20,9 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from array import array
 from collections import Counter
+from collections.abc import Iterator, Mapping
 from itertools import combinations
 
 import numpy as np
@@ -35,8 +37,8 @@ SPAN = 6
 #: Longer words are read in pieces of this length that overlap by half.
 PIECE = 16
 #: Documents of the labelled sample, toxic and clean: the documented bound of training.
-TOXIC_ROWS = 1200
-CLEAN_ROWS = 2400
+TOXIC_ROWS = 2000
+CLEAN_ROWS = 3000
 LANDMARKS = 160
 #: Word pieces whose subsequences are in memory together.
 PIECES_AT_ONCE = 3000
@@ -114,16 +116,27 @@ def _rows(c: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return code, weight, np.sqrt((weight ** 2).sum(1))
 
 
-def _vectors(words: list[str]) -> np.ndarray:
-    """Normalised subsequence vectors of short words (dense: for landmarks and training samples only)."""
-    out = np.zeros((len(words), _TABLE), np.float32)
+def _vectors(words: list[str], column: np.ndarray | None = None, width: int = _TABLE) -> np.ndarray:
+    """Normalised subsequence vectors of words; with ``column`` only the subsequences that have one there."""
+    out = np.zeros((len(words), width))
     for c, owner in _codes(words):
         code, weight, norm = _rows(c)
+        weight = weight / np.maximum(norm, 1e-12)[:, None]
+        at = code if column is None else column[code]
         for row in range(len(c)):
-            np.add.at(out[owner[row]], code[row], weight[row] / max(norm[row], 1e-12))
+            has = at[row] >= 0
+            np.add.at(out[owner[row]], at[row][has], weight[row][has])
     return out
 
 
+def _columns(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The subsequences these words hold, in order, and the place of each subsequence among them (-1: none)."""
+    used = np.unique(np.concatenate([_subsequences(c)[0].ravel() for c, _ in _codes(words)]))
+    column = np.full(_TABLE, -1, np.int64)
+    column[used] = np.arange(len(used))
+    return used, column
+
+
 def margins(words: list[str], table: np.ndarray, bias: float) -> np.ndarray:
     """The machine's margin of each word, the highest of its pieces."""
     best = np.full(len(words), -np.inf)
@@ -154,7 +167,7 @@ def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, cost: float = 1000.0,
     return w[:-1], float(w[-1])
 
 
-def _different(bags: list[Counter]) -> list[Counter]:
+def _different(bags: list[Mapping[str, int]]) -> list[Mapping[str, int]]:
     """The bags without near copies of earlier ones, so that the words of a copied text do not count again."""
     met: dict[tuple[int, int], list[int]] = {}
     kept = []
@@ -173,7 +186,34 @@ def _different(bags: list[Counter]) -> list[Counter]:
     return kept
 
 
-def train(bags: list[tuple[Counter, int]], landmarks: int = LANDMARKS, rounds: int = 2, seed: int = 5) -> dict:
+class Bag(Mapping):
+    """Counted words held in a tuple and an array, a fraction of a Counter's memory."""
+
+    __slots__ = ("words", "counts")
+
+    def __init__(self, words: tuple[str, ...], counts: array):
+        self.words, self.counts = words, counts
+
+    def __getitem__(self, word: str) -> int:
+        try:
+            return self.counts[self.words.index(word)]
+        except ValueError:
+            raise KeyError(word) from None
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self.words)
+
+    def __len__(self) -> int:
+        return len(self.words)
+
+    def items(self):
+        return zip(self.words, self.counts, strict=True)
+
+    def values(self):
+        return self.counts
+
+
+def train(bags: list[tuple[Mapping[str, int], int]], landmarks: int = LANDMARKS, rounds: int = 2, seed: int = 5) -> dict:
     """Fit on (distinct words, label) of documents; returns table, bias, scale and middle of the score.
 
     With no toxic or no clean document in the sample nothing can be learnt: every
@@ -190,18 +230,22 @@ def train(bags: list[tuple[Counter, int]], landmarks: int = LANDMARKS, rounds: i
         w = f"^{word}$"
         return {w[i:i + n] for n in (4, 5, 6) for i in range(max(1, len(w) - n + 1))}
 
-    def frequency(bag_list: list[Counter]) -> dict[str, int]:
+    def frequency(bag_list: list[Mapping[str, int]], among: set[str] | None = None) -> dict[str, int]:
         seen: dict[str, int] = {}
         for bag in bag_list:
-            for g in set().union(*map(grams, bag)):
+            held = set().union(*map(grams, bag))
+            for g in held if among is None else held & among:
                 seen[g] = seen.get(g, 0) + 1
         return seen
 
     toxic, clean = _different(toxic), _different(clean)
-    in_toxic, in_clean = frequency(toxic), frequency(clean)
+    in_toxic = frequency(toxic)
     share = len(toxic) / (len(toxic) + len(clean))
     # log likelihood ratio against "as often in either kind"; chance alone among so many grams stays below the level
     level = np.log(len(in_toxic) + 1.0)
+    # a gram reaches the level in clean documents only if it would without any
+    in_toxic = {g: n for g, n in in_toxic.items() if n * np.log(1 / share) >= level}
+    in_clean = frequency(clean, set(in_toxic))
 
     def surprise(n: int, c: int) -> float:
         p = n / (n + c)
@@ -236,22 +280,23 @@ def train(bags: list[tuple[Counter, int]], landmarks: int = LANDMARKS, rounds: i
     sample = [ordinary[i] for i in rng.permutation(len(ordinary))[:2500]]
     marks = ranked[: landmarks // 2]
     marks += sample[: landmarks - len(marks)]
-    lv = _vectors(marks)
-    kernel = (lv @ lv.T).astype(np.float64)
-    values, vectors = np.linalg.eigh(kernel)
-    keep = values > 1e-5 * values.max()
-    white = vectors[:, keep] / np.sqrt(values[keep])
-    whole = lv.T @ white.astype(np.float32)
+    # subsequences of no landmark add nothing to a kernel with one
+    used, column = _columns(marks)
+    lv = _vectors(marks, column, len(used))
+    values, vectors = np.linalg.eigh(lv @ lv.T)
+    keep = values > 1e-8 * values.max()
+    whole = lv.T @ (vectors[:, keep] / np.sqrt(values[keep]))
     del lv
     pos, neg = ranked[:1200], sample
     table, bias = np.zeros(_TABLE), 0.0
     for _ in range(rounds + 1):
         words = pos + neg
-        x = _project(words, whole)
+        x = _project(words, whole, column)
         y = np.r_[np.ones(len(pos)), -np.ones(len(neg))]
         weight = np.array([1.0 + count.get(v, 0) for v in pos] + [1.0 + often[v] for v in neg]) ** 0.5
         w, bias = _svm(x, y, weight)
-        table = (whole @ w.astype(np.float32)).astype(np.float64)
+        table = np.zeros(_TABLE)
+        table[used] = whole @ w
         hard = margins(ordinary, table, bias)
         neg = sorted(set(sample) | {ordinary[i] for i in np.argsort(-hard)[:1500]})
         chosen: dict[str, int] = {}
@@ -280,7 +325,7 @@ def train(bags: list[tuple[Counter, int]], landmarks: int = LANDMARKS, rounds: i
 _FEATURES = 6
 
 
-def _evidence(bag: Counter, margin: dict[str, float]) -> list[float]:
+def _evidence(bag: Mapping[str, int], margin: dict[str, float]) -> list[float]:
     """What a document's words come to: highest margin, second highest, number and share above two levels."""
     if not bag:
         return [-1.0, -1.0, 0.0, 0.0, 0.0, 0.0]
@@ -309,9 +354,9 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, steps: int = 60
     return w
 
 
-def _project(words: list[str], whole: np.ndarray) -> np.ndarray:
+def _project(words: list[str], whole: np.ndarray, column: np.ndarray) -> np.ndarray:
     """Nystroem features of words."""
-    return np.vstack([_vectors(words[k:k + 100]) @ whole for k in range(0, len(words), 100)])
+    return np.vstack([_vectors(words[k:k + 100], column, len(whole)) @ whole for k in range(0, len(words), 100)])
 
 
 def to_score(bag: Counter, margin: dict[str, float], model: dict) -> float:
@@ -342,13 +387,15 @@ def fit(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, clean_
                      .select("y", "text"), ["y", "text"], schema,
                      lambda kept, texts: [kept[0], [" ".join(f"{w} {n}" for w, n in units(t).items()) for t in texts]]).collect()
     # one string per word, however many documents hold it
-    held = [(r["y"], r["words"]) for r in sorted(bags, key=lambda r: (r["y"], r["words"]))]
+    held = sorted(((r["y"], r["words"]) for r in bags), reverse=True)
     del bags
     one: dict[str, str] = {}
     counted = []
-    for y, words in held:
+    while held:
+        y, words = held.pop()
         parts = words.split(" ") if words else []
-        counted.append((Counter({one.setdefault(w, w): int(n) for w, n in zip(parts[::2], parts[1::2], strict=True)}), y))
+        counted.append((Bag(tuple(one.setdefault(w, w) for w in parts[::2]), array("q", map(int, parts[1::2]))), y))
+    del one
     return train(counted)
 
 

@@ -272,6 +272,26 @@ def test_toxicity_reads_gapped_words(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 2]
 
 
+def test_toxicity_learns_from_the_whole_sample(spark, monkeypatch):
+    docs = spark.range(16000).select(F.col("id").alias("doc_id"), F.concat(F.lit("an be an w"), "id").alias("text"))
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).alias("toxic"))
+    monkeypatch.setattr(toxicity, "train", lambda bags: bags)
+    bags = toxicity.fit(docs, labels)
+    assert Counter(y for _, y in bags) == {1: 2000, 0: 3000}
+    bag = bags[0][0]
+    assert dict(bag.items()) == dict(bag) and bag["an"] == 2 and sum(bag.values()) == 4 and bag.get("none") is None
+
+
+def test_kernel_on_columns_of_landmarks():
+    """Vectors cut to what landmarks hold give the kernel of the whole ones; small eigenvalues are no noise."""
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcdeé1") for _ in range(rng.randrange(1, 30))) for _ in range(60)] + ["", "a"]
+    used, column = toxicity._columns(words[:20])
+    whole, cut = toxicity._vectors(words), toxicity._vectors(words, column, len(used))
+    assert abs(whole @ whole[:20].T - cut @ cut[:20].T).max() < 1e-12
+    assert len(used) < 20 * 300 and cut.shape == (62, len(used))
+
+
 def test_toxicity_without_examples(spark):
     model = toxicity.train([])
     assert [r.predicted for r in toxicity.score(frame(spark, [(1, "any words")]), model).collect()] == [0]
