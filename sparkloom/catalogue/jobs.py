@@ -1,10 +1,8 @@
 """Composite jobs, run end to end and read back from what they wrote."""
 
-from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import functions as F
 
 from ..functions.documents import to_message
-from ..ml import models as mod
 from ..plans import (bi, flights, http_monitor as monitor, profile as prof, record_batch as records, regression,
                      sensor_forecast as sensors, tool_calls, usage, weather_batch as batch, weather_stream as stream)
 from ..session import scratch_path
@@ -102,7 +100,7 @@ def _(t):
 @query("z05_sensor_forecast")
 def _(t):
     readings = t.readings.select("id", "station_id", "timestamp", "temperature", "humidity")
-    forecast, _metrics = sensors.sensor_forecast(readings, "station_id", "timestamp", "id", trees=5, depth=4, min_rows=20)
+    forecast, _metrics = sensors.sensor_forecast(readings, "station_id", "timestamp", "id")
     return forecast
 
 
@@ -143,12 +141,8 @@ def _(t):
 
 @query("z07_regression")
 def _(t):
-    def grids(train):
-        plain = mod.linear("linear")
-        return {"linear": (plain, ParamGridBuilder().addGrid(plain.regParam, [0.0, 1.0]).build())}
-
     frame = t.scored.select("row_id", "species", "actual", "predicted", "confidence")
-    return regression.regression_run(frame, ["predicted", "confidence"], "species", "actual", "row_id", 5, 5, grids).metrics
+    return regression.regression_run(frame, ["predicted", "confidence"], "species", "actual", "row_id").metrics
 
 
 @query("z08_bi_datasets", """

@@ -3,11 +3,11 @@
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import functions as F
 
 from ..ml import features as feat, forecast as fc, models as mod, textprep as prep
 from ..operators import cleaning as ops, statistics as st
+from ..plans import regression
 from ..session import materialise, scratch_path
 from .registry import query
 
@@ -150,11 +150,7 @@ def _(t):
 @query("m13_grid_search")
 def _(t):
     train = materialise(vectors(t), "search")
-    line = mod.linear("linear")
-    small = mod.tree()
-    found = mod.grid_search(train, {
-        "linear": (line, ParamGridBuilder().addGrid(line.regParam, [0.01, 1.0]).build()),
-        "tree": (small, ParamGridBuilder().addGrid(small.maxDepth, [2, 4]).build())}, folds=5)
+    found = mod.grid_search(train, regression.default_grids(train), folds=5)
     return found.scores.select("model", "parameters", F.round("mean_metric", 2).alias("mean_metric")).withColumn(
         "best_model", F.lit(found.best_name))
 

@@ -246,7 +246,7 @@ def text_model(train: DataFrame, text: str = "text", label: str = "label", bucke
     return fit_stages(train, [
         RegexTokenizer(inputCol=text, outputCol="_words", pattern=r"[^\p{L}\p{N}]+", toLowercase=True),
         HashingTF(inputCol="_words", outputCol="_counts", numFeatures=buckets),
-        IDF(inputCol="_counts", outputCol="features", minDocFreq=2),
+        IDF(inputCol="_counts", outputCol="features"),
         LogisticRegression(featuresCol="features", labelCol=label, maxIter=iterations, regParam=reg),
     ])
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping, Sequence
 from contextlib import contextmanager
 
@@ -150,26 +151,36 @@ def to_console(stream: DataFrame, checkpoint: str, trigger: str | None = TRIGGER
     return _trigger(writer, trigger).start()
 
 
-def stream_metrics(query: StreamingQuery) -> DataFrame:
-    """Recent progress of a query (Spark keeps a limited number): batch, rows, rates, watermark."""
-    from pyspark.sql import SparkSession as Session
+_METRICS = ("query string, batch bigint, at string, input_rows bigint, input_rate double,"
+            "processed_rate double, duration_ms bigint, watermark string")
+
 
-    spark = Session.getActiveSession()
-    rows = []
-    for p in query.recentProgress:
-        duration = (p["durationMs"] or {}).get("triggerExecution")
-        rows.append((str(p["id"]), int(p["batchId"]), str(p["timestamp"]), int(p["numInputRows"]),
-                     float(p["inputRowsPerSecond"] or 0), float(p["processedRowsPerSecond"] or 0), duration,
-                     (p["eventTime"] or {}).get("watermark")))
-    return spark.createDataFrame(rows, "query string, batch bigint, at string, input_rows bigint, input_rate double,"
-                                       "processed_rate double, duration_ms bigint, watermark string")
+def _metrics_row(p) -> tuple:
+    duration = (p["durationMs"] or {}).get("triggerExecution")
+    return (str(p["id"]), int(p["batchId"]), str(p["timestamp"]), int(p["numInputRows"]),
+            float(p["inputRowsPerSecond"] or 0), float(p["processedRowsPerSecond"] or 0), duration,
+            (p["eventTime"] or {}).get("watermark"))
+
+
+def stream_metrics(query: StreamingQuery) -> DataFrame:
+    """Recent progress of a query (Spark keeps a limited number, ``ProgressLog`` all): batch, rows, rates, watermark."""
+    return SparkSession.getActiveSession().createDataFrame([_metrics_row(p) for p in query.recentProgress], _METRICS)
 
 
 class ProgressLog(StreamingQueryListener):
-    """Collects observed metrics of the streams it listens to, batch by batch."""
+    """Appends progress and observed metrics (JSON) of the streams it listens to to a table, a row per batch."""
+
+    def __init__(self, path: str | None = None):
+        self.session = SparkSession.getActiveSession()
+        self.path = path or scratch_path(self.session, "progress")
+        self._append([])
+
+    def _append(self, rows: list) -> None:
+        frame = self.session.createDataFrame(rows, f"{_METRICS}, observed string")
+        frame.coalesce(1).write.mode("append").parquet(self.path)
 
-    def __init__(self, keep: int = 1000):
-        self.keep, self.records = keep, []
+    def table(self) -> DataFrame:
+        return self.session.read.schema(f"{_METRICS}, observed string").parquet(self.path)
 
     def onQueryStarted(self, event) -> None:
         pass
@@ -177,8 +188,7 @@ class ProgressLog(StreamingQueryListener):
     def onQueryProgress(self, event) -> None:
         progress = event.progress
         observed = {name: row.asDict() for name, row in progress.observedMetrics.items()}
-        self.records.append((str(progress.id), progress.batchId, progress.numInputRows, observed))
-        del self.records[: -self.keep]
+        self._append([(*_metrics_row(progress), json.dumps(observed, default=str))])
 
     def onQueryIdle(self, event) -> None:
         pass
