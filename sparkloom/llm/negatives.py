@@ -227,7 +227,8 @@ def _slices(anchors: DataFrame, rows_each: int) -> Iterator[pa.Table]:
     """The anchors in the order of their key, at most ``rows_each`` at once."""
     order, last = F.struct("a", "id", "label"), None
     while True:
-        rest = anchors if last is None else anchors.where(order > F.struct(*map(F.lit, last)))
+        rest = anchors if last is None else anchors.where(order > F.struct(
+            *(F.lit(x).cast("bigint").alias(c) for c, x in zip(("a", "id", "label"), last, strict=True))))
         part = rest.orderBy("a", "id", "label").limit(rows_each).toArrow()
         if part.num_rows:
             yield part

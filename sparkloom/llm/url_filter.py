@@ -68,9 +68,9 @@ def lexical(url: str | None, host: str, path: str) -> list[float]:
             url.count("%"), max(map(len, path.split("/"))), "#" in url]
 
 
-def judged(pages: DataFrame, url_col: str, rules: list[tuple[str, str]]) -> DataFrame:
-    """The rows with host, path, rule, says (the rule's verdict or null) and the suffixes."""
-    df = with_parts(pages, url_col)
+def judged(pages: DataFrame, id_col: str, url_col: str, rules: list[tuple[str, str]]) -> DataFrame:
+    """k (the id), url, host, path, rule, says (the rule's verdict or null) and the suffixes."""
+    df = with_parts(pages.select(pages[id_col].alias("k"), pages[url_col].alias("url")))
     host, path = F.col("host"), F.col("path")
     rule, says = rule_of(rules, host, path)
     labels = F.split(host, r"\.")
@@ -137,7 +137,7 @@ def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     labelled URLs, or with allowed ones alone, nothing is blocked by the trees.
     Other columns are ignored.
     """
-    urls = judged(pages.select(pages[id_col].alias("k"), pages[url_col].alias("url")), "url", rules)
+    urls = judged(pages, id_col, url_col, rules)
     described = _described(urls, {name: suffix_statistics(urls, name) for name in SUFFIXES})
     model = fit(_narrow(described), sample_rows)
     if not model.nodes and model.start > 0 and not urls.where(F.col("says") == "block").head(1):
