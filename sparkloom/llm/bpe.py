@@ -19,7 +19,7 @@ import numpy as np
 import regex
 from pyspark.sql import DataFrame, types as T
 
-from .common import map_texts
+from .common import map_texts, memory
 
 #: Fixed value: the pattern that parts a text into words before merging.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -128,8 +128,8 @@ class Vocabulary:
         return np.split(sym[alive], np.searchsorted(alive, starts[1:])) if len(words) else []
 
 
-_LOADED: dict[str, Vocabulary] = {}
-_KNOWN: dict[str, dict[str, tuple[int, str, bytes]]] = {}
+_LOADED: dict[str, Vocabulary] = memory("bpe")
+_KNOWN: dict[str, dict[str, tuple[int, str, bytes]]] = memory("bpe")
 
 
 def vocabulary(path: str) -> Vocabulary:
@@ -202,4 +202,4 @@ def roundtrip(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
                     plain.append(decoded)
         return [kept[0], count, ids, digest] + ([lists, plain] if with_ids else [])
 
-    return map_texts(df, [id_col, text_col], T.StructType(fields), made)
+    return map_texts(df, [id_col, text_col], T.StructType(fields), made, "bpe")

@@ -14,9 +14,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_MEMORIES: list[tuple[str, dict]] = []
+
+
+def memory(operator: str) -> dict:
+    """A dictionary in which an operator keeps what it has worked out, for the next tasks of its Python worker."""
+    _MEMORIES.append((operator, {}))
+    return _MEMORIES[-1][1]
+
+
+def forget_others(operator: str) -> None:
+    """Empty the memories of all other operators: workers live on from one operator to the next."""
+    for name, held in _MEMORIES:
+        if name != operator:
+            held.clear()
+
+
 def map_texts(df: DataFrame, columns: list[str], schema: T.StructType,
-              rows: Callable[[list[pa.Array], list], list]) -> DataFrame:
-    """Apply ``rows(kept columns, texts)`` to Arrow batches.
+              rows: Callable[[list[pa.Array], list], list], operator: str = "") -> DataFrame:
+    """Apply ``rows(kept columns, texts)`` to Arrow batches; ``operator`` is the one whose memories it uses.
 
     The last of ``columns`` is the text. ``rows`` gets an Arrow array per other
     column and the list of texts (None for null) and returns a list or an Arrow
@@ -25,6 +41,7 @@ def map_texts(df: DataFrame, columns: list[str], schema: T.StructType,
     out = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_others(operator)
         for batch in batches:
             if batch.num_rows:
                 kept = [batch.column(i) for i in range(batch.num_columns - 1)]
@@ -36,11 +53,12 @@ def map_texts(df: DataFrame, columns: list[str], schema: T.StructType,
     return df.select(*[df[c] for c in columns]).mapInArrow(run, schema)
 
 
-def filter_texts(df: DataFrame, text_col: str, keep: Callable[[list], list[bool]]) -> DataFrame:
+def filter_texts(df: DataFrame, text_col: str, keep: Callable[[list], list[bool]], operator: str = "") -> DataFrame:
     """The rows whose text ``keep`` marks, all columns as they were; decided in the scan, nothing is shuffled."""
     at = df.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_others(operator)
         for batch in batches:
             if batch.num_rows:
                 yield batch.filter(pa.array(keep(batch.column(at).to_pylist()), pa.bool_()))

@@ -21,7 +21,7 @@ import ahocorasick
 import numpy as np
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import filter_texts, map_texts, store
+from .common import filter_texts, map_texts, memory, store
 
 WINDOW = 10
 #: Bytes of benchmark text up to which the automaton is used.
@@ -56,7 +56,7 @@ def automaton(items: list[tuple[object, str | None]], width: int):
     return found
 
 
-_BUILT: dict[bytes, object] = {}
+_BUILT: dict[bytes, object] = memory("decontaminate")
 
 
 def _automaton_of(items: list, width: int, digest: bytes):
@@ -144,7 +144,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
                 column.append(value)
         return [kept[0], *out]
 
-    return map_texts(docs, [id_col, text_col], schema, made)
+    return map_texts(docs, [id_col, text_col], schema, made, "decontaminate")
 
 
 def _window_rows(df: DataFrame, key: str, text: str, width: int, widths: list[int] | None) -> DataFrame:
@@ -214,4 +214,4 @@ def clean(docs: DataFrame, items: DataFrame, text_col: str = "text", item_text:
         found = _automaton_of(listed, width, digest)
         return [not _hits(found, t)[1].any() for t in texts]
 
-    return filter_texts(docs, text_col, keep)
+    return filter_texts(docs, text_col, keep, "decontaminate")

@@ -27,7 +27,7 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import components, discard, map_texts, store
+from .common import components, discard, map_texts, memory, store
 
 N_WORDS = 5
 THRESHOLD = 0.8
@@ -38,7 +38,7 @@ PIECE = 128
 PIECE_BYTES = 8 << 20
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-_WORDS: dict[str, int] = {}
+_WORDS: dict[str, int] = memory("ngram_join")
 
 
 def choose_bands(threshold: float = THRESHOLD, recall: float = RECALL, hashes: int = HASHES) -> tuple[int, int]:
@@ -109,7 +109,7 @@ def _fingerprints(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
         return [kept[0], *out]
 
     schema = T.StructType([docs.schema["d"], *T.StructType.fromDDL("f1 bigint, f2 bigint, size bigint, bands array<bigint>")])
-    return map_texts(docs, ["d", "x"], schema, made)
+    return map_texts(docs, ["d", "x"], schema, made, "ngram_join")
 
 
 def _grouped_texts(docs: DataFrame, placed: DataFrame) -> DataFrame:

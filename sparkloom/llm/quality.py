@@ -14,7 +14,7 @@ from collections import Counter
 import numpy as np
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import map_texts
+from .common import map_texts, memory
 
 _WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 #: Fixed value: characters that count as symbols.
@@ -32,7 +32,7 @@ FEATURES = {
 }
 
 
-_TRAITS: dict[str, int] = {}
+_TRAITS: dict[str, int] = memory("quality")
 
 
 def _traits(word: str) -> int:
@@ -199,7 +199,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> T
     rows = map_texts(docs.select(docs["doc_id"], docs["text"]).join(picked, docs["doc_id"] == picked["k"])
                      .select("k", "y", "text"), ["k", "y", "text"],
                      T.StructType.fromDDL("k bigint, y int, x array<double>"),
-                     lambda kept, texts: [*kept, [statistics(t)[1] for t in texts]]).collect()
+                     lambda kept, texts: [*kept, [statistics(t)[1] for t in texts]], "quality").collect()
     rows.sort(key=lambda r: (r["k"], r["y"], r["x"]))
     return fit_trees(np.array([r["x"] for r in rows]).reshape(-1, len(FEATURES)),
                      np.array([r["y"] for r in rows], float), directions)
@@ -227,4 +227,4 @@ def rate_documents(docs: DataFrame, model: Trees, id_col: str = "doc_id", text_c
         return [kept[0], *[base[:, i].tolist() for i in range(len(_BASE))], failed.tolist(), p.tolist(),
                 (~failed & (p >= cut)).tolist()]
 
-    return map_texts(docs, [id_col, text_col], schema, made)
+    return map_texts(docs, [id_col, text_col], schema, made, "quality")

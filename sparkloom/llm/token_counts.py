@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from .bpe import Vocabulary, slices, vocabulary
-from .common import map_texts
+from .common import map_texts, memory
 
 CHUNK = 1 << 14
 LIMIT = 512
@@ -139,7 +139,7 @@ def chunks(text: str, size: int = CHUNK) -> list[str]:
     return out
 
 
-_LOADED: dict[str, Transducer] = {}
+_LOADED: dict[str, Transducer] = memory("token_counts")
 
 
 def transducer(path: str) -> Transducer:
@@ -185,4 +185,4 @@ def token_counts(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
             counts += [count_text(path, t) for t in part]
         return [kept[0], [len((t or "").encode("utf-8", "surrogatepass")) for t in texts], counts]
 
-    return map_texts(df, [id_col, text_col], schema, made).withColumn("over_limit", F.col("n_tokens") > limit)
+    return map_texts(df, [id_col, text_col], schema, made, "token_counts").withColumn("over_limit", F.col("n_tokens") > limit)

@@ -28,7 +28,7 @@ from itertools import combinations
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .common import filter_texts, map_texts
+from .common import filter_texts, map_texts, memory
 
 ORDER = 3
 DECAY = 0.6
@@ -399,7 +399,7 @@ def fit(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, clean_
     return train(counted)
 
 
-_SEEN: dict[bytes, dict[str, float]] = {}
+_SEEN: dict[bytes, dict[str, float]] = memory("toxicity")
 
 
 def _scorer(model: dict):
@@ -435,7 +435,7 @@ def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
     scorer = _scorer(model)
     schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType),
                            T.StructField("score", T.DoubleType()), T.StructField("worst_word", T.StringType())])
-    out = map_texts(docs, [id_col, text_col], schema, lambda kept, texts: [kept[0], *scorer(texts)])
+    out = map_texts(docs, [id_col, text_col], schema, lambda kept, texts: [kept[0], *scorer(texts)], "toxicity")
     return out.select(id_col, held_out(F.col(id_col)).alias("held_out"), "score",
                       (F.col("score") >= CUT).cast("int").alias("predicted"), "worst_word")
 
@@ -443,4 +443,4 @@ def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
 def reject(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
     """The rows that are not predicted toxic, all columns as they were; decided in the scan, nothing is shuffled."""
     scorer = _scorer(model)
-    return filter_texts(docs, text_col, lambda texts: [s < CUT for s in scorer(texts)[0]])
+    return filter_texts(docs, text_col, lambda texts: [s < CUT for s in scorer(texts)[0]], "toxicity")

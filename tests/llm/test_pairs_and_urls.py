@@ -8,9 +8,9 @@ from math import floor, inf, isfinite, nan
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
-from sparkloom.llm import negatives, spelling, url_filter
+from sparkloom.llm import common, negatives, ngram_join, spelling, url_filter
 from sparkloom.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -280,3 +280,30 @@ def test_urls_of_nothing_and_without_labels(spark):
     assert url_filter.filter_urls(pages(spark, [])).count() == 0
     assert {r.verdict for r in url_filter.filter_urls(pages(spark, ["http://a.org/1", None])).collect()} == {"allow"}
     assert {r.verdict for r in url_filter.filter_urls(pages(spark, ["http://a.com/1", None])).collect()} == {"allow"}
+
+
+# ---------------------------------------------------------------- memories of Python workers
+
+def test_an_operator_empties_the_memories_of_others():
+    one, more, other = common.memory("one"), common.memory("one"), common.memory("other")
+    for held in (one, more, other):
+        held["word"] = 1
+    common.forget_others("one")
+    assert one and more and not other
+
+
+def test_mapped_texts_leave_the_memories_of_their_operator_alone(spark):
+    docs = spark.createDataFrame([(i, "a text") for i in range(20)], "k int, text string").coalesce(1)
+
+    def met(kept, texts):
+        held = ngram_join._WORDS
+        found = len(held)
+        held.update(dict.fromkeys(texts, 1))
+        return [kept[0], [found] * len(texts)]
+
+    def most(operator):
+        schema = T.StructType.fromDDL("k int, n int")
+        return common.map_texts(docs, ["k", "text"], schema, met, operator).agg(F.max("n")).first()[0]
+
+    assert [most("bpe"), most("bpe")] == [0, 0]
+    assert most("ngram_join") <= 1
