@@ -1,16 +1,22 @@
 """Reset windows: a window restarts at the first event more than W after the start of the current one.
 
 Each start depends on the one before it, so the naive way walks a whole key in
-one task. Here a key's time line is cut into slots. A slot on its own can say,
-for every moment at which the incoming window may end, which window would be
-open when the slot is left; that table is a handful of rows because chains
-that begin apart soon meet. Joining the tables slot by slot per key (one short
-list, bounded by the time span) gives every slot its incoming window, and the
-slots then assign their own rows in parallel.
+one task. Here a key's time line is cut into slots of a bounded number of event
+times. A slot on its own can say, for every moment at which the incoming window
+may end, which window would be open when the slot is left: its exit table, with
+at most one row per event time of the slot's first W.
+
+Exit tables of neighbouring slots compose into the table of both, of the same
+bounded size. Consecutive slots are composed in groups of bounded rows, group by
+group in parallel and level by level, until a key is one group. The way back
+down hands each group the window that is open when it begins, and it hands one
+to each of its slots, which then assign their own rows in parallel. An ordinary
+key is one group at once; a busy one takes a few levels.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 
 import numpy as np
 import pandas as pd
@@ -18,8 +24,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .. import fixed_values as fx
 from ..functions.numbers import is_error
+from ..session import materialise
 
 _NEVER = np.iinfo(np.int64).min
+#: Distinct event times of a slot, and exit-table rows that one task composes, at most
+#: (a task takes the tables of four slots in any case, or nothing would ever join up).
+SLOT_TIMES = 50_000
+GROUP_ROWS = 100_000
 
 
 def chain_starts(times: np.ndarray, window: int, open_start: int | None) -> np.ndarray:
@@ -37,14 +48,25 @@ def chain_starts(times: np.ndarray, window: int, open_start: int | None) -> np.n
     return starts
 
 
-def _exit_table(times: np.ndarray, window: int, horizon: int) -> pd.DataFrame:
+def _compressed(ends_from: np.ndarray, ends_before: np.ndarray, leaves: np.ndarray, until: int) -> pd.DataFrame:
+    """The rows for ends before ``until``; neighbouring ones that leave with the same window as one row."""
+    known = ends_from < until
+    ends_from, ends_before, leaves = ends_from[known], np.minimum(ends_before[known], until), leaves[known]
+    first = np.flatnonzero(np.r_[True, leaves[1:] != leaves[:-1]]) if len(leaves) else np.empty(0, np.int64)
+    last = np.r_[first[1:] - 1, len(leaves) - 1] if len(leaves) else first
+    return pd.DataFrame({"ends_from": ends_from[first], "ends_before": ends_before[last], "leaves": leaves[first],
+                         "until": np.int64(until)})
+
+
+def exit_table(times: np.ndarray, window: int) -> pd.DataFrame:
     """For incoming windows ending in ``[ends_from, ends_before)``: the start of the window open at the end of the slot.
 
-    ``horizon`` is the latest moment an incoming window can end. An incoming
-    window that outlasts all events has no row.
+    ``times`` are sorted and distinct. An incoming window began before the first of
+    them, so it ends less than ``window`` after it; one that outlasts all events
+    has no row. ``until``: the end that no incoming window reaches.
     """
     # the window after the incoming one opens at the first event past its end
-    entries = np.flatnonzero(np.concatenate(([True], times[:-1] < horizon)))
+    entries = np.flatnonzero(np.concatenate(([True], times[:-1] < times[0] + window)))
     following = np.searchsorted(times, times + window, side="right")
     current = entries.copy()
     while True:
@@ -54,46 +76,124 @@ def _exit_table(times: np.ndarray, window: int, horizon: int) -> pd.DataFrame:
             break
         current = np.where(more, step, current)
     before = np.where(entries == 0, _NEVER, times[np.maximum(entries - 1, 0)])
-    table = pd.DataFrame({"ends_from": before, "ends_before": times[entries], "leaves": times[current]})
-    run = (table["leaves"] != table["leaves"].shift()).cumsum()
-    return table.groupby(run, sort=True).agg(
-        ends_from=("ends_from", "first"), ends_before=("ends_before", "last"), leaves=("leaves", "first"))
+    return _compressed(before, times[entries], times[current], int(times[0]) + window)
 
 
-def window_starts(df: DataFrame, key: str, ms: str, window_ms: int, slot_windows: int = 12,
-                  counters: Mapping[str, Column] | None = None) -> DataFrame:
-    """Key ``_k``, event time ``_ms`` (epoch milliseconds), ``window_start`` and counters per distinct event time."""
-    slot_ms = window_ms * slot_windows
-    counters = {"_rows": F.count("*")} if counters is None else counters
-    times = (df.groupBy(F.col(key).alias("_k"), F.col(ms).cast("bigint").alias("_ms"))
-             .agg(*[c.cast("bigint").alias(name) for name, c in counters.items()])
-             .withColumn("_slot", F.floor(F.col("_ms") / slot_ms).cast("bigint")))
+def _look_up(table: pd.DataFrame, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where in the table incoming windows with these ends lie, and whether they do."""
+    at = np.searchsorted(table["ends_before"].to_numpy(), ends, side="right")
+    return np.minimum(at, max(0, len(table) - 1)), at < len(table)
 
-    def leave(ids, pdf: pd.DataFrame) -> pd.DataFrame:
-        k, slot = ids
-        t = np.sort(pdf["_ms"].to_numpy())
-        table = _exit_table(t, window_ms, int(slot) * slot_ms + window_ms)
-        return table.assign(_k=k, _slot=slot)[["_k", "_slot", "ends_from", "ends_before", "leaves"]]
 
-    kind = dict(times.dtypes)["_k"]
-    exits = times.select("_k", "_slot", "_ms").groupBy("_k", "_slot").applyInPandas(
-        leave, f"_k {kind}, _slot bigint, ends_from bigint, ends_before bigint, leaves bigint")
+def compose(first: pd.DataFrame, second: pd.DataFrame, window: int) -> pd.DataFrame:
+    """The exit table of two neighbouring slots; ``second`` may begin in the windows that ``first`` leaves open."""
+    at, met = _look_up(second, first["leaves"].to_numpy() + window)
+    leaves = np.where(met, second["leaves"].to_numpy()[at], first["leaves"].to_numpy())
+    # windows that outlast the first slot come to the second as they are
+    since = first["ends_before"].iloc[-1]
+    rest = second[second["ends_before"].to_numpy() > since]
+    return _compressed(np.r_[first["ends_from"].to_numpy(), np.maximum(rest["ends_from"].to_numpy(), since)],
+                       np.r_[first["ends_before"].to_numpy(), rest["ends_before"].to_numpy()],
+                       np.r_[leaves, rest["leaves"].to_numpy()], int(first["until"].iloc[0]))
+
+
+_TABLE = ["ends_from", "ends_before", "leaves", "until"]
+
+
+def _tables(pdf: pd.DataFrame):
+    """(slot, its exit table) in order of time."""
+    pdf = pdf.sort_values(["_slot", "ends_before"], kind="stable")
+    cuts = np.flatnonzero(np.diff(pdf["_slot"].to_numpy())) + 1
+    for lo, hi in zip(np.r_[0, cuts], np.r_[cuts, len(pdf)], strict=True):
+        yield int(pdf["_slot"].iloc[lo]), pdf.iloc[lo:hi]
+
+
+def _grouped(exits: DataFrame, group_rows: int) -> tuple[DataFrame, bool]:
+    """(_k, _slot, _group): consecutive slots in groups of bounded rows; whether each key is one group."""
+    sizes = exits.groupBy("_k", "_slot").agg(F.count("*").alias("_n"))
+    most = sizes.agg(F.max("_n")).first()[0] or 1
+    order = Window.partitionBy("_k").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_n").over(order), F.lit(0))
+    groups = materialise(sizes.select("_k", "_slot", F.floor(before / max(group_rows, 4 * most)).cast("bigint").alias("_group")),
+                         "reset-groups")
+    return groups, groups.where("_group > 0").isEmpty()
+
+
+def _in_groups(exits: DataFrame, groups: DataFrame) -> DataFrame:
+    named = groups.select(F.col("_k").alias("_gk"), F.col("_slot").alias("_gslot"), "_group")
+    return exits.join(named, F.col("_k").eqNullSafe(F.col("_gk")) & (F.col("_slot") == F.col("_gslot"))).drop("_gk", "_gslot")
+
+
+def _entry_windows(exits: DataFrame, kind: str, window_ms: int, group_rows: int) -> DataFrame:
+    """(_k, _slot, _open): the start of the window that is open when a slot begins, null for the first one."""
+    def together(ids, pdf: pd.DataFrame) -> pd.DataFrame:
+        whole = None
+        for _, table in _tables(pdf):
+            whole = table if whole is None else compose(whole, table, window_ms)
+        return whole.assign(_k=[ids[0]] * len(whole), _slot=ids[1])[["_k", "_slot", *_TABLE]]
 
     def enter(ids, pdf: pd.DataFrame) -> pd.DataFrame:
-        slots, opened, current = [], [], None
-        for slot, table in pdf.groupby("_slot", sort=True):
+        slots, opened = [], []
+        current = None if pd.isna(pdf["_open"].iloc[0]) else int(pdf["_open"].iloc[0])
+        for slot, table in _tables(pdf):
             slots.append(slot)
             opened.append(current)
-            end = _NEVER if current is None else current + window_ms
-            fits = (table["ends_from"].to_numpy() <= end) & (end < table["ends_before"].to_numpy())
-            if fits.any():
-                current = int(table["leaves"].to_numpy()[fits.argmax()])
-        return pd.DataFrame({"_k": [ids[0]] * len(slots), "_slot": slots,
-                             "_open": pd.array(opened, dtype="Int64")})
+            at, met = _look_up(table, np.array([_NEVER if current is None else current + window_ms]))
+            if met[0]:
+                current = int(table["leaves"].iloc[at[0]])
+        return pd.DataFrame({"_k": [ids[0]] * len(slots), "_slot": slots, "_open": pd.array(opened, dtype="Int64")})
+
+    levels = []
+    while True:
+        groups, whole = _grouped(exits, group_rows)
+        levels.append(_in_groups(exits, groups))
+        if whole:
+            break
+        exits = materialise(levels[-1].groupBy("_k", "_group").applyInPandas(
+            together, f"_k {kind}, _slot bigint, {' bigint, '.join(_TABLE)} bigint"), "reset-exits")
+    entered = None
+    for level in reversed(levels):
+        if entered is None:
+            level = level.withColumn("_open", F.lit(None).cast("bigint"))
+        else:
+            above = entered.select(F.col("_k").alias("_ek"), F.col("_slot").alias("_eslot"), "_open")
+            level = level.join(above, F.col("_k").eqNullSafe(F.col("_ek")) & (F.col("_group") == F.col("_eslot"))).drop("_ek", "_eslot")
+        entered = level.groupBy("_k", "_group").applyInPandas(enter, f"_k {kind}, _slot bigint, _open bigint")
+        if len(levels) > 1:
+            entered = materialise(entered, "reset-entries")
+    return entered
+
 
-    entered = exits.groupBy("_k").applyInPandas(enter, f"_k {kind}, _slot bigint, _open bigint")
+def window_starts(df: DataFrame, key: str, ms: str, window_ms: int, slot_windows: int = 12,
+                  counters: Mapping[str, Column] | None = None, slot_times: int = SLOT_TIMES,
+                  group_rows: int = GROUP_ROWS) -> DataFrame:
+    """Key ``_k``, event time ``_ms`` (epoch milliseconds), ``window_start`` and counters per distinct event time.
 
+    A slot spans ``slot_windows`` windows; where a key has more than ``slot_times``
+    event times in one, it is cut into spans of that many milliseconds.
+    """
+    slot_ms = window_ms * slot_windows
+    counters = {"_rows": F.count("*")} if counters is None else counters
     names = list(counters)
+    times = materialise(df.groupBy(F.col(key).alias("_k"), F.col(ms).cast("bigint").alias("_ms")).agg(
+        *[c.cast("bigint").alias(name) for name, c in counters.items()]), "reset-times")
+    kind = dict(times.dtypes)["_k"]
+
+    wide = F.floor(F.col("_ms") / slot_ms).cast("bigint")
+    pieces = -(-slot_ms // slot_times)
+    crowded = materialise(times.groupBy(F.col("_k").alias("_ck"), wide.alias("_cw")).count().where(
+        F.col("count") > slot_times).select("_ck", "_cw"), "reset-crowded")
+    piece = F.when(F.col("_cw").isNotNull(), F.floor((F.col("_ms") - wide * slot_ms) / slot_times).cast("bigint")).otherwise(0)
+    times = times.join(crowded, F.col("_k").eqNullSafe(F.col("_ck")) & (wide == F.col("_cw")), "left").select(
+        "_k", "_ms", *names, (wide * pieces + piece).alias("_slot"))
+
+    def leave(ids, pdf: pd.DataFrame) -> pd.DataFrame:
+        table = exit_table(np.sort(pdf["_ms"].to_numpy()), window_ms)
+        return table.assign(_k=[ids[0]] * len(table), _slot=ids[1])[["_k", "_slot", *_TABLE]]
+
+    exits = materialise(times.select("_k", "_slot", "_ms").groupBy("_k", "_slot").applyInPandas(
+        leave, f"_k {kind}, _slot bigint, {' bigint, '.join(_TABLE)} bigint"), "reset-exits")
+    entered = _entry_windows(exits, kind, window_ms, group_rows)
 
     def assign(ids, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_ms")

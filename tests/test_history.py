@@ -3,8 +3,10 @@
 import datetime as dt
 import random
 
+import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from sparkloom.operators import resetting, windows
 
@@ -89,3 +91,50 @@ def test_reset_boundary_is_exclusive(spark):
     df = spark.createDataFrame([("/a", 0, 1), ("/a", 300_000, 2), ("/a", 300_001, 3)], "path string, ms bigint, id bigint")
     counts = {r.id: r.request_count for r in resetting.request_counts(df, "path", "ms", "id").collect()}
     assert counts == {1: 1, 2: 2, 3: 1}
+
+
+def test_composed_exit_tables_equal_the_walk():
+    """Tables of neighbouring slots compose to that of both, and stay within the event times of one window."""
+    rng = np.random.default_rng(6)
+    for case in range(60):
+        window = int(rng.integers(3, 60))
+        times = np.unique(rng.integers(0, 400, rng.integers(3, 200)))
+        cuts = np.unique(rng.integers(1, len(times), rng.integers(1, 6)))
+        whole = None
+        for part in np.split(times, cuts):
+            table = resetting.exit_table(part, window)
+            whole = table if whole is None else resetting.compose(whole, table, window)
+        assert len(whole) <= (times < times[0] + window).sum() + 1
+        for start in range(int(times[0]) - window, int(times[0])):
+            leaves = resetting.chain_starts(times, window, start)[-1]
+            at, met = resetting._look_up(whole, np.array([start + window]))
+            assert (whole["leaves"].iloc[at[0]] if met[0] else start) == leaves, (case, start)
+
+
+@pytest.mark.parametrize("slot_times, group_rows", [(200, 300), (5000, 100_000)])
+def test_a_heartbeat_key_is_spread_over_bounded_groups(spark, slot_times, group_rows, monkeypatch):
+    """One key with an event every 10 ms, whose chains never meet, beside ordinary keys and a null one."""
+    events = [("beat", 10 * i, i) for i in range(20_000)] + [(None, 777 * i, 50_000 + i) for i in range(50)]
+    events += [(f"k{i % 7}", 431 * i, 60_000 + i) for i in range(700)]
+    df = spark.createDataFrame(events, "path string, ms bigint, id bigint")
+    groups = []
+    real = resetting._grouped
+
+    def seen(exits, rows):
+        found, whole = real(exits, rows)
+        joined = resetting._in_groups(exits, found).groupBy("_k", "_group").count()
+        most = exits.groupBy("_k", "_slot").count().agg(F.max("count")).first()[0]
+        groups.append((joined.agg(F.max("count")).first()[0], max(rows, 4 * most) + most, whole))
+        return found, whole
+
+    monkeypatch.setattr(resetting, "_grouped", seen)
+    got = resetting.window_starts(df, "path", "ms", 1000, 12, slot_times=slot_times, group_rows=group_rows)
+    sizes = got.count()
+    assert sizes == len({(k, m) for k, m, _ in events})
+    starts = {(r["_k"], r["_ms"]): r["window_start"] for r in got.collect()}
+    for key in ("beat", None, "k3"):
+        mine = [(m, i) for k, m, i in events if k == key]
+        expected = walk(mine, 1000)
+        assert all(starts[key, m] == expected[i][0] for m, i in mine)
+    assert all(rows <= bound for rows, bound, _ in groups) and groups[-1][2]
+    assert len(groups) > 1 if group_rows == 300 else len(groups) == 1
