@@ -33,6 +33,13 @@ def tokens(text, pattern: str = r"[^\p{L}\p{N}]+") -> Column:
     return F.filter(F.split(F.lower(as_col(text)), pattern), lambda t: t != "")
 
 
+def first_tokens(text, n: int, pattern: str = r"[^\p{L}\p{N}]+") -> Column:
+    """The first n of ``tokens``; the rest of the text is not split."""
+    # at most one piece, the first, is empty, and the last one is what was not split
+    pieces = F.split(F.lower(as_col(text)), pattern, n + 2)
+    return F.slice(F.filter(F.slice(pieces, 1, n + 1), lambda t: t != ""), 1, n)
+
+
 def pad(ids, length: int, filler: int = 0) -> Column:
     """Cut or right-pad an id array to ``length``."""
     ids = F.slice(as_col(ids), 1, length)
@@ -59,12 +66,25 @@ def is_json(text: Column) -> Column:
     The parser stops after the first value, so the text is read as an object's
     field and as a list's element: nothing can follow a value in both.
     """
-    as_field = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
-    as_element = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    as_field, as_element = _both_readings(text)
     return as_field.isNotNull() & as_element.isNotNull()
 
 
-def _bind(value: Column, use) -> Column:
+def _both_readings(text: Column) -> tuple[Column, Column]:
+    return (F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}"))),
+            F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))))
+
+
+def json_value(text: Column) -> Column:
+    """The value that the whole text is, NULL where it is none; read twice, as in ``is_json``, and no more."""
+    def value(t: Column) -> Column:
+        as_field, as_element = _both_readings(t)
+        return F.when(as_element.isNotNull(), F.try_variant_get(as_field, "$.v", "variant"))
+
+    return bind(text, value)
+
+
+def bind(value: Column, use) -> Column:
     """``use(value)`` with the value computed once, however often it is mentioned."""
     return F.element_at(F.transform(F.array(value), use), 1)
 
@@ -94,14 +114,14 @@ def parse_tool_calls(text) -> Column:
             nameless = F.exists(items, lambda f: f.isNull() | ~F.map_contains_key(f, "name"))
             return F.when(F.coalesce(~nameless, F.lit(False)), F.transform(items, _call).cast(TOOL_CALL)).otherwise(nothing)
 
-        return _bind(elements, checked)
+        return bind(elements, checked)
 
     def single_call(single: Column) -> Column:
         fields = F.when(is_json(single), F.from_json(single, "map<string,string>"))
-        return _bind(fields, lambda f: F.when(f.isNotNull(), F.array(_call(f)).cast(TOOL_CALL)).otherwise(nothing))
+        return bind(fields, lambda f: F.when(f.isNotNull(), F.array(_call(f)).cast(TOOL_CALL)).otherwise(nothing))
 
-    return F.when(has_list, _bind(_between_brackets(text, "[", "]"), listed_calls)).otherwise(
-        _bind(_between_brackets(text, "{", "}"), single_call))
+    return F.when(has_list, bind(_between_brackets(text, "[", "]"), listed_calls)).otherwise(
+        bind(_between_brackets(text, "{", "}"), single_call))
 
 
 def call_names(calls) -> Column:

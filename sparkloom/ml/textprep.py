@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from ..functions.text import attention, is_json, pad, parse_tool_calls, tokens, tool_prompt, valid_dataset_row
+from ..functions.text import attention, first_tokens, is_json, pad, parse_tool_calls, tokens, tool_prompt, valid_dataset_row
 from ..operators.order_stats import first_fraction
+from ..session import materialise
 
 PAD_ID, UNKNOWN_ID, FIRST_WORD_ID = 0, 1, 2
+#: A vocabulary up to this size is sent to the tasks.
+DICTIONARY_ROWS, DICTIONARY_BYTES = 1_000_000, 16 << 20
 
 
 def fit_vocabulary(df: DataFrame, text: str, size: int = 30_000) -> DataFrame:
@@ -21,16 +27,55 @@ def fit_vocabulary(df: DataFrame, text: str, size: int = 30_000) -> DataFrame:
     return top.select("token", (rank + (FIRST_WORD_ID - 1)).cast("bigint").alias("token_id"))
 
 
+def _dictionary(vocabulary: DataFrame) -> pa.Table | None:
+    """The vocabulary as a table, where its measured size is within the bound."""
+    rows, letters = vocabulary.agg(F.count("*"), F.sum(F.octet_length("token"))).first()
+    if rows > DICTIONARY_ROWS or (letters or 0) > DICTIONARY_BYTES:
+        return None
+    return vocabulary.select("token", F.col("token_id").cast("bigint").alias("token_id")).toArrow().combine_chunks()
+
+
+def _ids_by_join(cut: DataFrame, row_id: str, vocabulary: DataFrame) -> DataFrame:
+    """Token ids where the vocabulary is too large to send: words meet it in a join and are listed again by row."""
+    numbered = cut.withColumn("_row", F.monotonically_increasing_id())
+    numbered = materialise(numbered, "token-rows")
+    words = numbered.select("_row", F.posexplode("_t").alias("_pos", "token"))
+    ids = F.coalesce("token_id", F.lit(UNKNOWN_ID).cast("bigint")).alias("i")
+    # at most max_len entries per text
+    packed = words.join(vocabulary, "token", "left").groupBy("_row").agg(
+        F.array_sort(F.collect_list(F.struct("_pos", ids))).alias("_w"))
+    return numbered.join(packed, "_row", "left").select(
+        row_id, F.coalesce(F.transform("_w", lambda w: w["i"]), F.array().cast("array<bigint>")).alias("_ids"))
+
+
 def encode_tokens(df: DataFrame, row_id: str, text: str, vocabulary: DataFrame, max_len: int = 128) -> DataFrame:
-    """``input_ids`` and ``attention_mask`` of fixed length; words outside the vocabulary get the unknown id."""
-    cut = df.select(F.col(row_id), F.slice(tokens(text), 1, max_len).alias("_t"))
-    words = cut.select(row_id, F.posexplode_outer("_t").alias("_pos", "token"))
-    found = words.join(vocabulary, "token", "left")
-    ids = F.when(F.col("token").isNotNull(), F.coalesce("token_id", F.lit(UNKNOWN_ID).cast("bigint")))
-    # at most max_len entries per text; NULL marks a text without words
-    packed = found.groupBy(row_id).agg(F.array_sort(F.collect_list(
-        F.when(F.col("token").isNotNull(), F.struct(F.col("_pos"), ids.alias("i"))))).alias("_w"))
-    listed = packed.select(row_id, F.transform("_w", lambda w: w["i"]).alias("_ids"))
+    """``input_ids`` and ``attention_mask`` of fixed length; words outside the vocabulary get the unknown id.
+
+    A vocabulary within ``DICTIONARY_ROWS`` and ``DICTIONARY_BYTES`` is sent to the
+    tasks, which look up the token lists of an Arrow batch at once: no token is
+    shuffled. A larger one is joined. One row per input row, a text without words
+    is all padding.
+    """
+    vocabulary = materialise(vocabulary.select("token", "token_id"), "vocabulary")
+    held = _dictionary(vocabulary)
+    cut = df.select(F.col(row_id), F.coalesce(first_tokens(text, max_len), F.array().cast("array<string>")).alias("_t"))
+    if held is None:
+        listed = _ids_by_join(cut, row_id, vocabulary)
+    else:
+        sent = df.sparkSession.sparkContext.broadcast((held.column(0).to_pylist(), held.column(1).to_pylist()))
+        schema = T.StructType([df.schema[row_id], T.StructField("_ids", T.ArrayType(T.LongType()))])
+
+        def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            words, ids = pa.array(sent.value[0], pa.string()), pa.array(sent.value[1], pa.int64())
+            for batch in batches:
+                lists = batch.column(1)
+                found = pc.take(ids, pc.index_in(lists.flatten().cast(pa.string()), value_set=words))
+                sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+                offsets = pa.array(np.r_[0, np.cumsum(sizes)], pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.ListArray.from_arrays(offsets, pc.fill_null(found, UNKNOWN_ID))], names=[row_id, "_ids"])
+
+        listed = cut.mapInArrow(look_up, schema)
     return listed.select(row_id, pad("_ids", max_len, PAD_ID).alias("input_ids"),
                          attention("_ids", max_len).alias("attention_mask"))
 

@@ -113,7 +113,7 @@ def _narrowed(base: DataFrame, nodes: DataFrame, key: Sequence[str], sampled: bo
 
 def order_statistics(df: DataFrame, value: str, ranks: Sequence[Rank], key: Sequence[str] = (),
                      ordered_rows: int = ORDERED_ROWS) -> DataFrame:
-    """One row per key: ``n`` and per rank its ``value_i`` and ``before_i``, the number of smaller values.
+    """One row per key: ``n`` and per rank its ``value_i``, ``before_i``, the number of smaller values, and ``same_i``, that of equal ones.
 
     Missing values (and not-a-number) are left out of the count. A key none of
     whose ranks exists has no row. Groups of more than ``ordered_rows`` rows are
@@ -147,12 +147,13 @@ def order_statistics(df: DataFrame, value: str, ranks: Sequence[Rank], key: Sequ
     values = _rows_in(base, nodes, key).groupBy(*key, *_NODE, "_v").agg(F.count("*").alias("_n"))
     begin, end = F.col("before") + F.col("_before"), F.col("before") + F.col("_end")
     found = _with_ranks(_running(values, [*key, "bin", "lo"], "_v"), F.col("ranks"), begin, end).select(
-        *key, "n", "_v", begin.alias("_begin"), F.explode("_ranks").alias("r"))
+        *key, "n", "_v", begin.alias("_begin"), "_n", F.explode("_ranks").alias("r"))
     picked = []
     for i in range(len(ranks)):
         mine = F.col("r.i") == i
         picked.append(F.max(F.when(mine, F.col("_v"))).alias(f"value_{i}"))
         picked.append(F.max(F.when(mine, F.col("_begin"))).alias(f"before_{i}"))
+        picked.append(F.max(F.when(mine, F.col("_n"))).alias(f"same_{i}"))
     return found.groupBy(*key, "n").agg(*picked)
 
 
@@ -182,19 +183,21 @@ def first_fraction(df: DataFrame, order: str, tie: str, fraction: float, key: Se
                    flag: str = "is_train", ordered_rows: int = ORDERED_ROWS) -> DataFrame:
     """Mark the first ``floor(fraction * n)`` rows per key in ``(order, tie)`` order.
 
-    The cut value comes from ``order_statistics``, and so does the cut among the
-    rows that share it where ``tie`` is a number or a time; only rows equal in
-    both are numbered, as are rows that share the cut where ``tie`` is a text.
+    The cut value comes from ``order_statistics``. The rows that share it are
+    numbered; where more than ``ordered_rows`` do and ``tie`` is a number or a time,
+    the cut among them is found in the same way, and only rows equal in both are
+    numbered.
     Missing values of ``order`` are not marked; missing ties come first.
     """
     key = list(key)
-    cut = order_statistics(df, order, [last_of_fraction(fraction)], key, ordered_rows)
-    marked = attach(df, cut, key, "_cut")
+    cut = materialise(order_statistics(df, order, [last_of_fraction(fraction)], key, ordered_rows), "cut")
+    most = cut.agg(F.max("same_0")).first()[0] or 0
+    marked = attach(df, cut, key, "_cut", stored=False)
     tied = F.coalesce(F.col(order) == F.col("_cut.value_0"), F.lit(False))
     spare = F.floor(F.col("_cut.n") * F.lit(float(fraction))) - F.col("_cut.before_0")
     off_cut = marked.where(~tied).withColumn(flag, F.coalesce(F.col(order) < F.col("_cut.value_0"), F.lit(False))).drop("_cut")
     on_cut = marked.where(tied).withColumn("_spare", spare).drop("_cut")
-    if not isinstance(df.schema[tie].dataType, (T.NumericType, T.TimestampType, T.TimestampNTZType)):
+    if most <= ordered_rows or not isinstance(df.schema[tie].dataType, (T.NumericType, T.TimestampType, T.TimestampNTZType)):
         number = F.row_number().over(Window.partitionBy(*key, order).orderBy(tie))
         on_cut = on_cut.withColumn("_rn", number).withColumn(flag, F.col("_rn") <= F.col("_spare")).drop("_rn", "_spare")
         return off_cut.unionByName(on_cut)

@@ -8,7 +8,7 @@ from itertools import combinations_with_replacement
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.numbers import absolute_error, percent_error
-from ..functions.text import is_json
+from ..functions.text import bind, json_value
 from .attach import attach
 from .order_stats import percentiles
 
@@ -211,13 +211,15 @@ def classification_metrics(df: DataFrame, actual: str, predicted: str, confidenc
     return result
 
 
-def _calls_of(text: Column) -> tuple[Column, Column, Column]:
-    """The text as JSON printed in one fixed order, whether it is a list of objects, and the set of names in it."""
-    value = F.when(is_json(text), F.try_parse_json(text))
-    calls = F.try_variant_get(value, "$", "array<variant>")
-    objects = F.coalesce(F.forall(calls, lambda c: F.schema_of_variant(c).startswith("OBJECT")), F.lit(False))
-    names = F.transform(calls, lambda c: F.coalesce(F.to_json(F.try_variant_get(c, "$.name", "variant")), F.lit('""')))
-    return F.to_json(value), objects, F.array_sort(F.array_distinct(names))
+def _calls_of(text: Column) -> Column:
+    """Struct of the text as JSON printed in one fixed order, whether it is a list of objects, and the set of names in it."""
+    def figures(value: Column) -> Column:
+        calls = F.try_variant_get(value, "$", "array<variant>")
+        objects = F.coalesce(F.forall(calls, lambda c: F.schema_of_variant(c).startswith("OBJECT")), F.lit(False))
+        names = F.transform(calls, lambda c: F.coalesce(F.to_json(F.try_variant_get(c, "$.name", "variant")), F.lit('""')))
+        return F.struct(F.to_json(value).alias("printed"), objects.alias("calls"), F.array_sort(F.array_distinct(names)).alias("names"))
+
+    return bind(json_value(text), figures)
 
 
 def score_tool_calls(df: DataFrame, truth: str, predicted: str) -> DataFrame:
@@ -227,14 +229,16 @@ def score_tool_calls(df: DataFrame, truth: str, predicted: str) -> DataFrame:
     whose texts are not both lists of objects counts as wrong. A call without a
     name has the empty name, and the last of a repeated key counts.
     """
-    columns = []
-    for side, text in (("t", F.col(truth)), ("p", F.col(predicted))):
-        printed, objects, names = _calls_of(text)
-        columns += [printed.alias(f"_{side}"), objects.alias(f"_{side}_calls"), names.alias(f"_{side}_names")]
-    read = df.select(*columns)
-    readable = F.col("_t").isNotNull() & F.col("_p").isNotNull()
-    same_tools = F.col("_t_calls") & F.col("_p_calls") & F.coalesce(F.col("_t_names") == F.col("_p_names"), F.lit(False))
-    same_calls = same_tools & (F.col("_t") == F.col("_p"))
+    def verdict(two: Column) -> Column:
+        t, p = two["t"], two["p"]
+        same_tools = t["calls"] & p["calls"] & F.coalesce(t["names"] == p["names"], F.lit(False))
+        return F.struct((t["printed"].isNotNull() & p["printed"].isNotNull()).alias("readable"), same_tools.alias("tools"),
+                        (same_tools & (t["printed"] == p["printed"])).alias("calls"))
+
+    two = F.struct(_calls_of(F.col(truth)).alias("t"), _calls_of(F.col(predicted)).alias("p"))
+    # one verdict a row: an aggregate that mentions a text's figures several times would parse it as often
+    read = df.select(F.explode(F.array(bind(two, verdict))).alias("v"))
+    readable, same_tools, same_calls = F.col("v.readable"), F.col("v.tools"), F.col("v.calls")
     return read.agg(
         F.avg(F.when(readable, same_tools.cast("double"))).alias("tool_accuracy"),
         F.avg(F.when(readable, same_calls.cast("double"))).alias("exact_match"),
