@@ -5,7 +5,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from ..ml import features as feat, forecast as fc, models as mod, textprep as prep
+from ..ml import features as feat, forecast as fc, models as mod, neighbours, textprep as prep
 from ..operators import cleaning as ops, statistics as st
 from ..plans import regression
 from ..session import materialise, scratch_path
@@ -144,7 +144,7 @@ SELECT row_id, CASE WHEN SUM(label) >= 3 THEN 1.0E0 ELSE 0.0E0 END AS prediction
 def _(t):
     frame = feat.standardise(t.scored.select("row_id", "label", "predicted", "confidence"), ["predicted", "confidence"])
     train, test = frame.where("row_id % 8 <> 0"), frame.where("row_id % 8 = 0")
-    return mod.knn_classify(train, test, ["predicted", "confidence"], "label", "row_id")
+    return neighbours.knn_classify(train, test, ["predicted", "confidence"], "label", "row_id")
 
 
 @query("m13_grid_search")

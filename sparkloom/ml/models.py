@@ -1,4 +1,4 @@
-"""Model training, selection and comparison with MLlib, and exact nearest neighbours."""
+"""Model training, selection and comparison with MLlib."""
 
 from __future__ import annotations
 
@@ -6,8 +6,6 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-import numpy as np
-import pandas as pd
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, LinearSVC, LogisticRegression, NaiveBayes, OneVsRest,
                                        RandomForestClassifier)
@@ -17,7 +15,7 @@ from pyspark.ml.feature import HashingTF, IDF, RegexTokenizer, StringIndexer, Ve
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.numbers import delay_label
 from ..operators.statistics import classification_metrics, regression_metrics
@@ -92,58 +90,6 @@ def classifier(kind: str, features: str = "features", label: str = "label", seed
     raise ValueError(f"unknown classifier {kind!r}")
 
 
-def _nearest_in_block(k: int, features: Sequence[str]):
-    def nearest(_, test: pd.DataFrame, train: pd.DataFrame) -> pd.DataFrame:
-        if test.empty or train.empty:
-            return pd.DataFrame({"_id": [], "_d": [], "_label": []}).astype({"_id": "int64", "_d": "float64", "_label": "float64"})
-        x, y = test[list(features)].to_numpy(float), train[list(features)].to_numpy(float)
-        labels, kept = train["_label"].to_numpy(float), min(k, len(train))
-        ids, distances, votes = [], [], []
-        # a slice of test rows at a time keeps the distance table small
-        for start in range(0, len(x), 256):
-            part = x[start:start + 256]
-            d = np.zeros((len(part), len(y)))
-            for j in range(part.shape[1]):
-                d += (part[:, j:j + 1] - y[None, :, j]) ** 2
-            order = np.lexsort((np.broadcast_to(labels, d.shape), d))[:, :kept]
-            ids.append(np.repeat(test["_id"].to_numpy()[start:start + 256], kept))
-            distances.append(np.take_along_axis(d, order, 1).ravel())
-            votes.append(labels[order].ravel())
-        return pd.DataFrame({"_id": np.concatenate(ids), "_d": np.concatenate(distances), "_label": np.concatenate(votes)})
-
-    return nearest
-
-
-def knn_classify(train: DataFrame, test: DataFrame, features: Sequence[str], label: str, row_id: str, k: int = 5,
-                 block_rows: int = 20_000) -> DataFrame:
-    """Majority label of the k nearest training rows (Euclidean), exact.
-
-    Both sides are cut into blocks of bounded size; each pair of blocks is one
-    task that hands on k candidates per test row, and the k best of those vote.
-    A tie goes to the smaller label.
-    """
-    train_blocks = -(-train.count() // block_rows) or 1
-    test_blocks = -(-test.count() // block_rows) or 1
-
-    def numbers(n: int):
-        return F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")))
-
-    def block(n: int):
-        return F.pmod(F.xxhash64(F.col(row_id)), F.lit(n))
-
-    left = test.select(F.col(row_id).cast("bigint").alias("_id"), *features, block(test_blocks).alias("_tb")) \
-               .withColumn("_rb", numbers(train_blocks))
-    right = train.select(F.col(label).cast("double").alias("_label"), *features, block(train_blocks).alias("_rb")) \
-                 .withColumn("_tb", numbers(test_blocks))
-    candidates = left.groupBy("_tb", "_rb").cogroup(right.groupBy("_tb", "_rb")).applyInPandas(
-        _nearest_in_block(k, features), "_id bigint, _d double, _label double")
-    best = Window.partitionBy("_id").orderBy("_d", "_label")
-    kept = candidates.withColumn("_rn", F.row_number().over(best)).where(F.col("_rn") <= k)
-    votes = kept.groupBy("_id", "_label").agg(F.count("*").alias("_n"))
-    winner = votes.groupBy("_id").agg(F.max_by("_label", F.struct(F.col("_n"), -F.col("_label"))).alias("prediction"))
-    return winner.withColumnRenamed("_id", row_id)
-
-
 def delay_model(df: DataFrame, features: Sequence[str] = tuple(FLIGHT_FEATURES), fraction: float = 0.8, seed: int = 42,
                 iterations: int = 100) -> tuple[PipelineModel, DataFrame, float]:
     """Late-arrival classifier: fitted stages, scored test rows and the area under the ROC curve."""

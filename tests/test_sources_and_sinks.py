@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparkloom import schemas
-from sparkloom.ml import models as mod
+from sparkloom.ml import models as mod, neighbours
 from sparkloom.ml.features import assemble
 from sparkloom.plans import bi, weather_batch
 from sparkloom.session import scratch_path
@@ -190,7 +190,7 @@ def test_nearest_neighbours_equal_brute_force(spark):
         votes = [int(labels[j]) for j in order]
         want[i] = min(set(votes), key=lambda v: (-votes.count(v), v))
     for block_rows in (7, 1000):
-        got = mod.knn_classify(train, test, ["a", "b"], "label", "id", 5, block_rows)
+        got = neighbours.knn_classify(train, test, ["a", "b"], "label", "id", 5, block_rows)
         assert {r.id: int(r.prediction) for r in got.collect()} == want
 
 
