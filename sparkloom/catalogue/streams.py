@@ -202,6 +202,20 @@ def _(t):
     return run.read_latest_view(t.spark, path, "station_id", "timestamp", "id")
 
 
+@query("x14_latest_view_expiry", f"""
+SELECT id, station_id, {stamp('r.timestamp')} AS timestamp, ROUND(temperature, 4) AS temperature FROM {{readings}} r
+WHERE r.timestamp > (SELECT MAX(n.timestamp) FROM {{readings}} n) - INTERVAL 20 MINUTE
+QUALIFY row_number() OVER (PARTITION BY station_id ORDER BY r.timestamp DESC, id DESC) = 1""")
+def _(t):
+    # the readings as files of their own, one a batch
+    source = scratch_path(t.spark, "readings")
+    t.readings.select("id", "station_id", "timestamp", "temperature").repartitionByRange(12, "timestamp", "id").write.parquet(source)
+    stream = read_stream(t.spark, "file", path=source, schema=t.spark.read.parquet(source).schema, max_files=1)
+    path, checkpoint = scratch_path(t.spark, "latest"), scratch_path(t.spark, "latest-checkpoint")
+    run.latest_view(stream, "station_id", "timestamp", "id", path, checkpoint, trigger=None, ttl_s=1200, compact_every=4).awaitTermination()
+    return run.read_latest_view(t.spark, path, "station_id", "timestamp", "id", as_of=run.NEWEST, ttl_s=1200)
+
+
 @query("x15_bounded_history", """
 SELECT id, station_id AS key FROM {readings} r QUALIFY row_number() OVER (PARTITION BY station_id ORDER BY epoch_us(r.timestamp) // 1000 DESC, id DESC) <= 10""")
 def _(t):

@@ -80,3 +80,22 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def complete_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the sub-folders that a Spark write has finished, sorted; none where the folder does not exist."""
+    fs, where = _file_system(spark, path)
+    if not fs.exists(where):
+        return []
+    names = [f.getPath().getName() for f in fs.listStatus(where) if f.isDirectory()]
+    return sorted(n for n in names if fs.exists(_file_system(spark, f"{path}/{n}/_SUCCESS")[1]))
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    fs, where = _file_system(spark, path)
+    fs.delete(where, True)

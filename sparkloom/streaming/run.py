@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ..functions.documents import to_message
 from ..operators.aggregates import latest_per_key
-from ..session import scratch_path
+from ..session import complete_folders, remove_folder, scratch_path
 
 TRIGGER = "30 seconds"
 
@@ -99,33 +99,79 @@ def micro_batch(stream: DataFrame, handle: Callable[[DataFrame, int], None], che
     return _trigger(writer, trigger).start()
 
 
+#: Batches of a view that are kept beside its snapshot before they are folded into the next one.
+COMPACT_EVERY = 8
+#: ``as_of`` of a view: its own newest event time.
+NEWEST = "newest"
+
+
+def _number(folder: str) -> int:
+    return int(folder.rpartition("=")[2])
+
+
+def _snapshot(spark: SparkSession, path: str) -> int:
+    """The batch whose snapshot is in force, -1 before the first one."""
+    return max(map(_number, complete_folders(spark, f"{path}/manifest")), default=-1)
+
+
+def _stored_view(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of the snapshot in force and of the batches after it."""
+    last = _snapshot(spark, path)
+    parts = [f"{path}/delta/{f}" for f in complete_folders(spark, f"{path}/delta") if _number(f) > last]
+    return spark.read.parquet(*([f"{path}/snapshot/batch={last}"] if last >= 0 else []), *parts)
+
+
+def _alive(rows: DataFrame, ts: str, as_of, ttl_s: int) -> DataFrame:
+    now = rows.agg(F.max(ts)).scalar() if as_of == NEWEST else F.lit(as_of).cast("timestamp")
+    return rows.where(F.col(ts) > now - F.make_interval(secs=F.lit(ttl_s)))
+
+
+def _compact(spark: SparkSession, path: str, key: str, ts: str, tie: str, ttl_s: int | None, batch_id: int) -> None:
+    """Write the view as a new snapshot without expired keys, put it in force, delete what it replaces.
+
+    The manifest folder appears when its only file is committed, so a reader finds
+    the old snapshot or the new one. The snapshot before is kept for readers that
+    have just looked it up.
+    """
+    before = _snapshot(spark, path)
+    rows = latest_per_key(_stored_view(spark, path), key, ts, tie)
+    if ttl_s is not None:
+        rows = _alive(rows, ts, NEWEST, ttl_s)
+    rows.write.mode("overwrite").parquet(f"{path}/snapshot/batch={batch_id}")
+    spark.range(1).coalesce(1).write.mode("overwrite").parquet(f"{path}/manifest/batch={batch_id}")
+    for kind, oldest in (("snapshot", before), ("manifest", before), ("delta", batch_id + 1)):
+        for folder in complete_folders(spark, f"{path}/{kind}"):
+            if _number(folder) < oldest:
+                remove_folder(spark, f"{path}/{kind}/{folder}")
+
+
 def latest_view(stream: DataFrame, key: str, ts: str, tie: str, path: str, checkpoint: str,
-                trigger: str | None = TRIGGER) -> StreamingQuery:
+                trigger: str | None = TRIGGER, ttl_s: int | None = None, compact_every: int = COMPACT_EVERY) -> StreamingQuery:
     """Maintain the newest record per key.
 
     Each batch writes the newest record of the keys it saw into its own folder,
-    replacing the folder when the batch is replayed.
+    replacing the folder when the batch is replayed. Every ``compact_every``
+    batches the folders are folded into a snapshot and deleted; with ``ttl_s``
+    records that are so many seconds older than the view's newest one leave it
+    then. So what is stored is bounded by the live keys and a few batches.
     """
 
     def keep(batch: DataFrame, batch_id: int) -> None:
-        latest_per_key(batch, key, ts, tie).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        spark = batch.sparkSession
+        if batch_id <= _snapshot(spark, path):
+            return  # replayed after its snapshot came into force
+        latest_per_key(batch, key, ts, tie).write.mode("overwrite").parquet(f"{path}/delta/batch={batch_id}")
+        if (batch_id + 1) % compact_every == 0:
+            _compact(spark, path, key, ts, tie, ttl_s, batch_id)
 
     return micro_batch(stream, keep, checkpoint, trigger)
 
 
 def read_latest_view(spark: SparkSession, path: str, key: str, ts: str, tie: str, as_of=None,
                      ttl_s: int = 3600) -> DataFrame:
-    """Newest record per key; with ``as_of`` only those not older than the time to live."""
-    rows = spark.read.parquet(path).drop("batch")
-    newest = latest_per_key(rows, key, ts, tie)
-    if as_of is None:
-        return newest
-    return newest.where(F.col(ts) > F.lit(as_of).cast("timestamp") - F.make_interval(secs=F.lit(ttl_s)))
-
-
-def compact_latest_view(spark: SparkSession, path: str, target: str, key: str, ts: str, tie: str) -> None:
-    """Fold the batch folders of a view into one table."""
-    read_latest_view(spark, path, key, ts, tie).write.mode("overwrite").parquet(target)
+    """Newest record per key; with ``as_of`` (a time, or ``NEWEST``) only those not older than the time to live."""
+    newest = latest_per_key(_stored_view(spark, path), key, ts, tie)
+    return newest if as_of is None else _alive(newest, ts, as_of, ttl_s)
 
 
 def newest_version(history: DataFrame, key: str = "key") -> DataFrame:

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparkloom.plans import http_monitor, weather_stream
-from sparkloom.session import scratch_path
+from sparkloom.session import complete_folders, scratch_path
 from sparkloom.sources.streams import only_event_type, read_stream
 from sparkloom.streaming import run, stateful, windows as win
 
@@ -153,6 +153,34 @@ def test_latest_view_over_batches_with_expiry(spark, feed, tmp_path):
     assert [r.id for r in fresh.collect()] == [3]
 
 
+def test_expired_keys_leave_the_stored_view(spark, feed, tmp_path):
+    """Twelve batches of ever new stations: what is stored stays bounded, expired stations are deleted, late ones do not stay."""
+    f = feed(READING)
+    for i in range(12):
+        f.add([reading(10 * i + 1, 30 * i, f"s{i}"), reading(10 * i + 2, 30 * i + 1, "steady"), reading(10 * i + 3, 30 * i - 200, "late")])
+    path = str(tmp_path / "view")
+    stream = f.stream()
+    run.latest_view(stream, "station_id", "timestamp", "id", path, str(tmp_path / "cp"), trigger=None, ttl_s=3600,
+                    compact_every=3).awaitTermination()
+    view = run.read_latest_view(spark, path, "station_id", "timestamp", "id", as_of=run.NEWEST)
+    assert {(r.station_id, r.id) for r in view.collect()} == {("s10", 101), ("s11", 111), ("steady", 112)}
+    folders = {k: complete_folders(spark, f"{path}/{k}") for k in ("snapshot", "manifest", "delta")}
+    assert folders == {"snapshot": ["batch=11", "batch=8"], "manifest": ["batch=11", "batch=8"], "delta": []}
+    assert spark.read.parquet(f"{path}/snapshot/batch=11").count() == 3
+    assert spark.read.parquet(f"{path}/snapshot/batch=8").count() <= 6
+
+
+def test_replayed_batches_leave_the_snapshot_alone(spark, feed, tmp_path):
+    f = feed(READING).add([reading(1, 0, "a")]).add([reading(2, 1, "b")])
+    path = str(tmp_path / "view")
+    for checkpoint in ("one", "two"):  # a new checkpoint replays both batches
+        run.latest_view(f.stream(), "station_id", "timestamp", "id", path, str(tmp_path / checkpoint), trigger=None,
+                        compact_every=2).awaitTermination()
+        view = run.read_latest_view(spark, path, "station_id", "timestamp", "id")
+        assert {(r.station_id, r.id) for r in view.collect()} == {("a", 1), ("b", 2)}
+    assert complete_folders(spark, f"{path}/snapshot") == ["batch=1"] and complete_folders(spark, f"{path}/nothing") == []
+
+
 def test_event_type_filter_ignores_spacing(spark):
     df = spark.createDataFrame([('{"event_type":"http_response"}',), ('{"event_type": "http_request"}',), ("x",)], "data string")
     assert only_event_type(df, "http_response").count() == 1
