@@ -58,13 +58,14 @@ def _(t):
 
 
 @query("d06_alerts", f"""
-SELECT id, station_id, 'temperature' AS alert_type, CASE WHEN abs(temperature) > 45 THEN 'high' ELSE 'medium' END AS severity,
+SELECT id, 'temp_' || station_id || '_1735732800' AS alert_id, 'Extreme temperature: ' || temperature || '°C' AS message,
+       station_id, 'temperature' AS alert_type, CASE WHEN abs(temperature) > 45 THEN 'high' ELSE 'medium' END AS severity,
        {stamp('timestamp')} AS timestamp FROM {{readings}} WHERE temperature > 40 OR temperature < -20
 UNION ALL
-SELECT id, station_id, 'wind', 'high', {stamp('timestamp')} FROM {{readings}} WHERE wind_speed > 80""")
+SELECT id, 'wind_' || station_id || '_1735732800', 'High wind speed: ' || wind_speed || ' km/h', station_id, 'wind', 'high', {stamp('timestamp')} FROM {{readings}} WHERE wind_speed > 80""")
 def _(t):
-    alerts = wx.reading_alerts("station_id", "temperature", "wind_speed", "timestamp")
-    return t.readings.select("id", F.inline(alerts)).select("id", "station_id", "alert_type", "severity", "timestamp")
+    alerts = wx.reading_alerts("station_id", "temperature", "wind_speed", "timestamp", now="2025-01-01 12:00:00")
+    return t.readings.select("id", F.inline(alerts)).select("id", "alert_id", "message", "station_id", "alert_type", "severity", "timestamp")
 
 
 @query("d07_error_flag", "SELECT id, path, status_code >= 400 AS is_error FROM {http}")

@@ -158,3 +158,16 @@ COST_GENERAL_ADVICE = [
     "Set up billing alerts for early warning",
     "Clean up unused model artifacts in S3",
 ]
+
+#: Fixed names of the layers: raw column, its type, processed column, its type
+READING_MAPPING = [
+    ("station_id", "string", "station_id", "string"),
+    ("timestamp", "timestamp", "measurement_time", "timestamp"),
+    ("temperature", "double", "temperature_celsius", "double"),
+    ("humidity", "double", "humidity_percent", "double"),
+    ("pressure", "double", "pressure_hpa", "double"),
+    ("wind_speed", "double", "wind_speed_kmh", "double"),
+    ("wind_direction", "double", "wind_direction_degrees", "double"),
+    ("weather_condition", "string", "weather_condition", "string"),
+    ("metadata", "string", "metadata_json", "string"),
+]

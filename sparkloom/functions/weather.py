@@ -68,13 +68,15 @@ def alert_level(temperature, wind) -> Column:
     )
 
 
-def reading_alerts(station, temperature, wind, ts) -> Column:
-    """Array of the 0 to 2 alerts one reading raises."""
+def reading_alerts(station, temperature, wind, ts, now=None) -> Column:
+    """Array of the 0 to 2 alerts one reading raises; their ids name the kind, the station and the second they are raised in."""
+    stamp = F.current_timestamp() if now is None else F.lit(now).cast("timestamp")
     t, w = as_col(temperature), as_col(wind)
     extreme = (t > fx.EXTREME_HOT_ABOVE) | (t < fx.EXTREME_COLD_BELOW)
 
-    def alert(kind: str, severity: Column, message: Column) -> Column:
+    def alert(prefix: str, kind: str, severity: Column, message: Column) -> Column:
         return F.struct(
+            F.concat(F.lit(f"{prefix}_"), as_col(station).cast("string"), F.lit("_"), F.unix_seconds(stamp).cast("string")).alias("alert_id"),
             as_col(station).alias("station_id"),
             F.lit(kind).alias("alert_type"),
             severity.alias("severity"),
@@ -84,9 +86,9 @@ def reading_alerts(station, temperature, wind, ts) -> Column:
 
     severity = F.when(F.abs(t) > fx.EXTREME_HIGH_SEVERITY_ABS, "high").otherwise("medium")
     candidates = F.array(
-        F.when(extreme, alert("temperature", severity,
+        F.when(extreme, alert("temp", "temperature", severity,
                               F.concat(F.lit("Extreme temperature: "), t.cast("string"), F.lit("°C")))),
-        F.when(w > fx.STRONG_WIND_ABOVE, alert("wind", F.lit("high"),
+        F.when(w > fx.STRONG_WIND_ABOVE, alert("wind", "wind", F.lit("high"),
                                                F.concat(F.lit("High wind speed: "), w.cast("string"), F.lit(" km/h")))),
     )
     return F.filter(candidates, lambda a: a.isNotNull())

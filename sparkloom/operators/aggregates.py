@@ -55,12 +55,12 @@ def station_figures(names: Mapping[str, str] | None = None) -> list[Column]:
     return [*figures, F.count("*").alias("measurement_count")]
 
 
-def rollup_readings(df: DataFrame, station: str = "station_id") -> DataFrame:
-    """Hourly and daily station rollups out of one scan and one shuffle (grouping sets).
+def rollup_readings(df: DataFrame, station: str = "station_id", by: Sequence[str] = ()) -> DataFrame:
+    """Hourly and daily station rollups out of one scan and one shuffle (grouping sets), apart by the columns ``by``.
 
     Daily rows carry a NULL hour; ``aggregation_level`` tells the two apart.
     """
-    daily = [F.col(c) for c in (station, "year", "month", "day")]
+    daily = [F.col(c) for c in (station, "year", "month", "day", *by)]
     hourly = [*daily, F.col("hour")]
     return (df.groupingSets([hourly, daily], *hourly)
             .agg(*station_figures(PROCESSED_NAMES), F.avg("data_quality_score").alias("avg_data_quality"),

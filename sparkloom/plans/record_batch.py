@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.documents import enrich_map
 from ..functions.weather import dew_point, heat_index, wind_chill
 from ..operators.aggregates import latest_per_key
 from ..operators.validation import reading_rules, split_valid, validate
+from ..session import materialise
 from ..sinks.lake import write_json_lake
 from ..sinks.tables import append_records
 from ..sources.envelope import parse_record
@@ -28,8 +31,12 @@ def enrich_records(valid: DataFrame, now=None, version: str = VERSION) -> DataFr
 
 
 def record_batch(messages: DataFrame, out: str, now=None) -> None:
-    """Store valid records as a table and as JSON, the newest per station, and rejected ones with their reasons."""
-    valid, rejected = split_valid(validate(parse_record(messages, now=now), reading_rules()))
+    """Store valid records as a table and as JSON, the newest per station, and rejected ones with their reasons.
+
+    Messages are parsed and validated once, and stored; all sinks share one clock.
+    """
+    now = now or datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
+    valid, rejected = split_valid(materialise(validate(parse_record(messages, now=now), reading_rules()), "records"))
     enriched = enrich_records(valid, now)
     append_records(enriched, f"{out}/records", now=now)
     write_json_lake(enriched, f"{out}/json", "timestamp", "station_id")

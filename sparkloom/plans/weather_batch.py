@@ -11,21 +11,11 @@ from ..functions.timeparts import calendar_parts, parse_ts, with_constants
 from ..functions.weather import dew_point, heat_index, wind_chill
 from ..operators.aggregates import rollup_readings
 from ..operators.cleaning import apply_mapping, within_bounds
+from ..session import materialise
 from ..sinks.lake import AGGREGATE_KEYS, FACT_KEYS, write_lake
 from ..sinks.tables import record_metrics
 
-#: raw column, its type, processed column, its type
-MAPPING = [
-    ("station_id", "string", "station_id", "string"),
-    ("timestamp", "timestamp", "measurement_time", "timestamp"),
-    ("temperature", "double", "temperature_celsius", "double"),
-    ("humidity", "double", "humidity_percent", "double"),
-    ("pressure", "double", "pressure_hpa", "double"),
-    ("wind_speed", "double", "wind_speed_kmh", "double"),
-    ("wind_direction", "double", "wind_direction_degrees", "double"),
-    ("weather_condition", "string", "weather_condition", "string"),
-    ("metadata", "string", "metadata_json", "string"),
-]
+MAPPING = fx.READING_MAPPING
 
 
 def is_plausible():
@@ -56,21 +46,30 @@ def aggregated(facts: DataFrame, now=None) -> DataFrame:
     return rollup_readings(facts).withColumn("created_at", stamp)
 
 
+def rolled_up(raw: DataFrame) -> DataFrame:
+    """Station figures of all readings, plausible ones and others apart (``_valid``), stored for this run alone."""
+    marked = apply_mapping(with_time(raw).withColumn("_valid", is_plausible()), [*MAPPING, ("_valid", "boolean", "_valid", "boolean")])
+    dated = calendar_parts(marked.withColumn("data_quality_score", F.lit(100.0)), "measurement_time")
+    return materialise(rollup_readings(dated, by=("_valid",)), "rolled-up")
+
+
 def weather_batch(raw: DataFrame, out: str, now: str | None = None, mode: str = "append") -> dict[str, float]:
     """Write both layers under ``out`` and record the run.
 
-    The second layer is planned from the source again, which reads only its own
-    few columns. Counts cost no pass over the data: the total is a row count of
-    the source and the valid rows are summed up from this run's daily figures.
+    The source is read twice, for the facts and for the figures, the second time
+    only its few columns. The figures are made of all readings, those that are not
+    plausible in groups of their own, and stored for this run: its counts come
+    from there, whatever other runs have written.
     """
     spark = raw.sparkSession
     now = now or datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
-    facts = processed(raw, now)
-    write_lake(facts, f"{out}/processed", FACT_KEYS, mode=mode)
-    write_lake(aggregated(facts, now), f"{out}/aggregated", AGGREGATE_KEYS, mode=mode, rebalance=True)
-    this_run = (F.col("aggregation_level") == "daily") & (F.col("created_at") == F.lit(now).cast("timestamp"))
-    counted = spark.read.parquet(f"{out}/aggregated").where(this_run).agg(F.sum("measurement_count").alias("n")).first()
-    total, valid = raw.count(), counted.n or 0
+    write_lake(processed(raw, now), f"{out}/processed", FACT_KEYS, mode=mode)
+    figures = rolled_up(raw)
+    created = figures.where("_valid").drop("_valid").withColumn("created_at", F.lit(now).cast("timestamp"))
+    write_lake(created, f"{out}/aggregated", AGGREGATE_KEYS, mode=mode)
+    counted = figures.where("aggregation_level = 'daily'").agg(
+        F.sum("measurement_count").alias("total"), F.sum(F.when(F.col("_valid"), F.col("measurement_count"))).alias("valid")).first()
+    total, valid = counted.total or 0, counted.valid or 0
     metrics = {"records": total, "valid_records": valid, "quality_score": valid * 100.0 / total if total else 0.0}
     record_metrics(spark, f"{out}/metrics", "weather_batch", metrics, now)
     return metrics

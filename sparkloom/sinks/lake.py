@@ -10,17 +10,18 @@ from ..functions.documents import map_to_json
 from ..functions.timeparts import date_keys
 
 FACT_KEYS = ("year", "month", "day")
+STATION_KEYS = (*FACT_KEYS, "station")
 AGGREGATE_KEYS = ("aggregation_level", "year", "month")
 
 
 def write_lake(df: DataFrame, path: str, partition_keys: Sequence[str] = FACT_KEYS, compression: str = "gzip",
-               mode: str = "append", rows_per_file: int = 5_000_000, rebalance: bool = False) -> None:
+               mode: str = "append", rows_per_file: int = 5_000_000, rebalance: bool = True) -> None:
     """Parquet, one folder per key value.
 
-    Rows stay in the task that made them, which suits input that already comes
-    day by day. ``rebalance`` brings the rows of a folder together first, so
-    scattered input does not leave a file per task and folder; adaptive
-    execution splits a folder that is too large for one task.
+    The rows of a folder are brought together first, so scattered input does not
+    leave a file per task and folder; adaptive execution splits a folder that is
+    too large for one task. ``rebalance=False`` leaves rows in the task that made
+    them, which suits input that already comes day by day.
     """
     if rebalance:
         df = df.hint("rebalance", *[F.col(k) for k in partition_keys])
@@ -29,9 +30,9 @@ def write_lake(df: DataFrame, path: str, partition_keys: Sequence[str] = FACT_KE
 
 
 def write_json_lake(df: DataFrame, path: str, ts: str, station: str, mode: str = "append") -> None:
-    """JSON lines under zero-padded ``year=/month=/day=/station=`` folders."""
-    keyed = date_keys(df, ts).withColumn("station", F.col(station))
-    keyed.write.mode(mode).partitionBy("year", "month", "day", "station").json(path)
+    """JSON lines under zero-padded ``year=/month=/day=/station=`` folders, the rows of one brought together."""
+    keyed = date_keys(df, ts).withColumn("station", F.col(station)).hint("rebalance", *map(F.col, STATION_KEYS))
+    keyed.write.mode(mode).partitionBy(*STATION_KEYS).json(path)
 
 
 def land_raw_csv(df: DataFrame, root: str, ts: str, metadata: str = "metadata", mode: str = "append") -> None:

@@ -160,6 +160,31 @@ def test_weather_batch_counts_each_run_on_its_own(spark, folder):
     assert spark.read.parquet(f"{folder}/aggregated").count() == 4
 
 
+def test_weather_batch_reads_its_source_twice(spark, folder):
+    """Also with one clock for two runs, counts are those of the run."""
+    rows = [(f"s{i % 3}", f"2024-01-0{1 + i % 2}T05:00:00Z", 20.0, 50.0 if i % 4 else 500.0, 1000.0, 5.0, 10.0, "fine", "{}") for i in range(40)]
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(parts):
+        for pdf in parts:
+            read.add(len(pdf))
+            yield pdf
+
+    raw = spark.createDataFrame(rows, schemas.RAW_WEATHER)
+    raw = raw.mapInPandas(counted, raw.schema)
+    for run in (1, 2):
+        metrics = weather_batch.weather_batch(raw, folder, "2024-01-05 00:00:00")
+        assert (metrics["records"], metrics["valid_records"]) == (40, 30) and read.value == 2 * 40 * run
+    assert spark.read.parquet(f"{folder}/aggregated").agg({"measurement_count": "sum"}).first()[0] == 2 * 2 * 30
+
+
+def test_lake_leaves_one_file_a_folder(spark, folder):
+    """Rows scattered over tasks come together by folder."""
+    df = spark.range(400).repartition(8).selectExpr("id", "'2024' AS year", "'01' AS month", "CAST(id % 5 AS STRING) AS day")
+    lake.write_lake(df, f"{folder}/lake")
+    assert len({r.f for r in spark.read.parquet(f"{folder}/lake").selectExpr("input_file_name() AS f").collect()}) == 5
+
+
 def test_model_round_trip(spark, folder):
     df = assemble(spark.createDataFrame([(float(i), 2.0 * i + 1) for i in range(20)], "x double, label double"), ["x"])
     stages = mod.fit_stages(df, [mod.linear()])
