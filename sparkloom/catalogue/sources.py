@@ -1,5 +1,7 @@
 """Scans and round trips through sinks."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions.documents import json_to_map
@@ -18,6 +20,43 @@ def _(t):
     return t.spark.sql("SELECT event_type, count(*) AS n FROM sparkloom_events GROUP BY event_type")
 
 
+@query("s02_csv_with_mark", """
+SELECT p_partkey, p_brand, ROUND(p_retailprice, 2) AS price FROM part""")
+def _(t):
+    # the header of each file begins with a byte-order mark
+    path = scratch_path(t.spark, "marked")
+    part = t.part.select(F.col("p_partkey").cast("bigint").alias("\ufeffp_partkey"), "p_brand", F.round("p_retailprice", 2).alias("price"))
+    part.write.option("header", True).csv(path)
+    back = files.read_csv(t.spark, path)
+    return back.select(F.col("p_partkey").cast("bigint").alias("p_partkey"), "p_brand", F.col("price").cast("double").alias("price"))
+
+
+@query("s05_json_documents", "SELECT c_custkey, c_name, c_mktsegment FROM customer")
+def _(t):
+    # documents of about 500 customers, each an array over several lines
+    path, rows = scratch_path(t.spark, "documents"), t.customer.select(F.col("c_custkey").cast("bigint"), "c_name", "c_mktsegment")
+    parts = -(-rows.count() // 500) or 1
+    one = rows.groupBy(F.pmod(F.xxhash64("c_custkey"), F.lit(parts)).alias("part")).agg(
+        F.regexp_replace(F.to_json(F.collect_list(F.struct("c_custkey", "c_name", "c_mktsegment"))), r"\},\{", "},\n {").alias("value"))
+    one.write.partitionBy("part").option("lineSep", "\n").text(path)
+    return files.read_json_multiline(t.spark, path, "c_custkey bigint, c_name string, c_mktsegment string").drop("part")
+
+
+@query("k11_catalog_tables", f"""
+SELECT station_id, strftime(r.timestamp, '%Y') AS year, strftime(r.timestamp, '%m') AS month, strftime(r.timestamp, '%d') AS day,
+  COUNT(*) AS n FROM {{readings}} r GROUP BY ALL""")
+def _(t):
+    # tables made twice, folders added behind the catalog's back and found again
+    name, root = f"sparkloom_{uuid.uuid4().hex[:8]}", scratch_path(t.spark, "catalog")
+    for _ in range(2):
+        tables.create_tables(t.spark, name, root)
+    rows = t.readings.select("station_id", F.col("timestamp").alias("measurement_time"),
+                             *(F.date_format("timestamp", f).alias(k) for k, f in (("year", "yyyy"), ("month", "MM"), ("day", "dd"))))
+    lake.write_lake(rows, f"{root}/processed_weather")
+    tables.refresh_table(t.spark, name, "processed_weather")
+    return files.read_table(t.spark, name, "processed_weather").groupBy("station_id", "year", "month", "day").agg(F.count("*").alias("n"))
+
+
 @query("s08_parquet_scan", "SELECT l_returnflag, COUNT(*) AS n, ROUND(SUM(l_quantity), 2) AS quantity FROM lineitem GROUP BY l_returnflag")
 def _(t):
     scan = files.read_parquet(t.spark, table_path(t.sf_dir, "lineitem"))

@@ -225,6 +225,18 @@ def _(t):
     return run.newest_version(history).select("id", "key")
 
 
+@query("x18_stream_progress", """
+SELECT COUNT(*) AS input_rows, CAST(1 AS BIGINT) AS queries, true AS lasted FROM {readings}""")
+def _(t):
+    path, checkpoint = scratch_path(t.spark, "watched"), scratch_path(t.spark, "watched-checkpoint")
+    with run.logged_progress(t.spark) as log:
+        query_id = run.write_stream(stream_of(t, "readings"), path, checkpoint, trigger=None)
+        query_id.awaitTermination()
+    mine = log.table().where(F.col("query") == str(query_id.id))
+    return mine.agg(F.sum("input_rows").alias("input_rows"), F.count_distinct("query").alias("queries"),
+                    (F.sum("duration_ms") > 0).alias("lasted"))
+
+
 @query("x17_json_messages", """
 SELECT path AS endpoint, COUNT(*) AS windows FROM (SELECT DISTINCT path, time_bucket(INTERVAL 5 MINUTE, event_timestamp, TIMESTAMP '2000-01-01') AS ws
   FROM {http} WHERE event_type = 'http_response') WHERE ws + INTERVAL 5 MINUTE <= (

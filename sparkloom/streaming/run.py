@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import json
+import threading
+import time
 from collections.abc import Callable, Mapping, Sequence
 from contextlib import contextmanager
+from queue import SimpleQueue
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
@@ -213,19 +216,61 @@ def stream_metrics(query: StreamingQuery) -> DataFrame:
     return SparkSession.getActiveSession().createDataFrame([_metrics_row(p) for p in query.recentProgress], _METRICS)
 
 
+@contextmanager
+def logged_progress(spark: SparkSession, path: str | None = None, settle_s: float = 20.0):
+    """A ``ProgressLog`` that listens while the block runs and then until the progress of its last batches has come."""
+    log = ProgressLog(path)
+    spark.streams.addListener(log)
+    try:
+        yield log
+        last, until = -1, time.time() + settle_s
+        while time.time() < until and (now := log.table().count()) != last:
+            last = now
+            time.sleep(1)
+    finally:
+        spark.streams.removeListener(log)
+        log.close()
+
+
 class ProgressLog(StreamingQueryListener):
-    """Appends progress and observed metrics (JSON) of the streams it listens to to a table, a row per batch."""
+    """Appends progress and observed metrics (JSON) of the streams it listens to to a table, a row per batch.
 
-    def __init__(self, path: str | None = None):
+    The callbacks only queue their rows, so they never hold a stream up; a thread of
+    its own appends what has come every ``flush_s`` seconds as one file. ``table``
+    and ``close`` append the rest.
+    """
+
+    def __init__(self, path: str | None = None, flush_s: float = 30.0):
         self.session = SparkSession.getActiveSession()
         self.path = path or scratch_path(self.session, "progress")
+        self._queued: SimpleQueue = SimpleQueue()
+        self._writing, self._closed = threading.Lock(), threading.Event()
         self._append([])
+        threading.Thread(target=self._write_on, args=(flush_s,), daemon=True).start()
 
     def _append(self, rows: list) -> None:
         frame = self.session.createDataFrame(rows, f"{_METRICS}, observed string")
         frame.coalesce(1).write.mode("append").parquet(self.path)
 
+    def _write_on(self, flush_s: float) -> None:
+        while not self._closed.wait(flush_s):
+            self.flush()
+
+    def flush(self) -> None:
+        """Append what is queued."""
+        with self._writing:
+            rows = []
+            while not self._queued.empty():
+                rows.append(self._queued.get())
+            if rows:
+                self._append(rows)
+
+    def close(self) -> None:
+        self._closed.set()
+        self.flush()
+
     def table(self) -> DataFrame:
+        self.flush()
         return self.session.read.schema(f"{_METRICS}, observed string").parquet(self.path)
 
     def onQueryStarted(self, event) -> None:
@@ -234,7 +279,7 @@ class ProgressLog(StreamingQueryListener):
     def onQueryProgress(self, event) -> None:
         progress = event.progress
         observed = {name: row.asDict() for name, row in progress.observedMetrics.items()}
-        self._append([(*_metrics_row(progress), json.dumps(observed, default=str))])
+        self._queued.put((*_metrics_row(progress), json.dumps(observed, default=str)))
 
     def onQueryIdle(self, event) -> None:
         pass
