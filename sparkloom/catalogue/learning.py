@@ -149,12 +149,38 @@ def _(t):
 
 @query("m13_grid_search")
 def _(t):
-    train = materialise(vectors(t), "search")
+    train = materialise(vectors(t).withColumnRenamed("features", "measures"), "search")
     found = mod.grid_search(train, regression.default_grids(train), folds=5)
     return found.scores.select("model", "parameters", F.round("mean_metric", 2).alias("mean_metric")).withColumn(
         "best_model", F.lit(found.best_name))
 
 
+def _fold_terms_sql():
+    """F-scores of the measures and their products, scaled and scored on the rows outside each fold."""
+    names = ["Length1", "Height", "Width"]
+    scaled = ", ".join(f"({c} - AVG({c}) OVER w) / stddev_samp({c}) OVER w AS x{i}" for i, c in enumerate(names))
+    terms = {"0": "x0", "1": "x1", "2": "x2", "0,1": "x0 * x1", "0,2": "x0 * x2", "1,2": "x1 * x2"}
+    scores = " UNION ALL ".join(f"SELECT fold, '{t}' AS term, pow(corr({x}, Weight), 2) AS r FROM z GROUP BY fold" for t, x in terms.items())
+    return f"""
+WITH z AS (SELECT f.fold, Weight, {scaled} FROM {{fish}}, (SELECT unnest([0, 1, 2]) AS fold) f WHERE row_id % 3 <> f.fold AND Height IS NOT NULL WINDOW w AS (PARTITION BY f.fold)),
+s AS ({scores})
+SELECT CAST(fold AS BIGINT) AS fold, term FROM s QUALIFY row_number() OVER (PARTITION BY fold ORDER BY r DESC, term) <= 3"""
+
+
+@query("m13_terms_per_fold", _fold_terms_sql())
+def _(t):
+    # the stages that a search fits anew in every fold, on the rows outside of it
+    stored = materialise(feat.assemble(t.fish.where("Height IS NOT NULL"), ["Length1", "Height", "Width"], "measures").select(
+        "row_id", "measures", F.col("Weight").alias("label")), "folds")
+    plain = mod.linear("linear")
+    pipeline, grid = regression.searched(plain, [{}], 3, degrees=(2,), ks=(3,))
+    rows = []
+    for fold in range(3):
+        fitted = pipeline.copy(grid[0]).fit(stored.where(F.col("row_id") % 3 != fold))
+        rows += [(fold, term) for term in fitted.stages[1].getOrDefault("terms")]
+    return t.spark.createDataFrame(rows, "fold int, term string")
+
+
 @query("m14_cv_scores")
 def _(t):
     mean, std = mod.cv_scores(materialise(vectors(t), "folds"), mod.linear("linear"))

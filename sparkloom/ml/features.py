@@ -74,10 +74,16 @@ def poly_features(df: DataFrame, cols: Sequence[str], degree: int = 2, interacti
     return df.withColumns(poly_terms(cols, degree, interaction_only))
 
 
+def correlation(x: Column, y: Column) -> Column:
+    """Pearson correlation, NULL where one side is constant (``corr`` refuses it)."""
+    known = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+    return F.try_divide(F.covar_pop(*known), F.stddev_pop(known[0]) * F.stddev_pop(known[1]))
+
+
 def f_scores(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
     """Univariate regression F-score per column, from one aggregate pass."""
     rows = df.where(F.col(target).isNotNull())
-    wide = rows.agg(F.count("*").alias("n"), *[F.corr(c, target).alias(f"_c{i}") for i, c in enumerate(cols)])
+    wide = rows.agg(F.count("*").alias("n"), *[correlation(F.col(c), F.col(target)).alias(f"_c{i}") for i, c in enumerate(cols)])
     long = wide.select("n", F.inline(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(f"_c{i}").alias("r")) for i, c in enumerate(cols)])))
     r2 = F.col("r") * F.col("r")
