@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-import numpy as np
-import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import Column, DataFrame, WindowSpec, functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from .. import fixed_values as fx
 from ..functions.numbers import forecast_bounds, forecast_confidence, ratio
@@ -19,7 +17,7 @@ from ..operators.cleaning import drop_incomplete
 from ..operators.order_stats import first_fraction
 from ..operators.statistics import regression_metrics
 from ..operators.windows import history_features, latest_n, latest_state, over_history
-from ..session import materialise
+from ..session import materialise, scratch_path
 from .models import fit_stages, forest
 
 CALENDAR = ["hour", "day_of_week", "month", "day_of_year"]
@@ -109,104 +107,45 @@ def forecast_direct(readings: DataFrame, model: SensorModel, key: str, ts: str,
         key, "timestamp", F.round("prediction", 2).alias("predicted_temperature"), "prediction_hour")
 
 
-_SPLIT = re.compile(r"^(If|Else) \(feature (\d+) (<=|>) ([^)]+)\)$")
-_LEAF = re.compile(r"^Predict: (.+)$")
-
-
-@dataclass
-class FlatTree:
-    """A decision tree as arrays: inner nodes have a feature, leaves have feature -1."""
-
-    feature: np.ndarray
-    threshold: np.ndarray
-    left: np.ndarray
-    right: np.ndarray
-    value: np.ndarray
-
-    def predict(self, x: np.ndarray) -> np.ndarray:
-        node = np.zeros(len(x), dtype=np.int64)
-        while True:
-            feature = self.feature[node]
-            inner = feature >= 0
-            if not inner.any():
-                return self.value[node]
-            low = x[np.arange(len(x)), np.maximum(feature, 0)] <= self.threshold[node]
-            node = np.where(inner, np.where(low, self.left[node], self.right[node]), node)
-
-
-def flat_tree(description: str) -> FlatTree:
-    """Arrays of a fitted tree, out of its printed form."""
-    lines = [line.strip() for line in description.splitlines()[1:] if line.strip()]
-    feature, threshold, left, right, value = [], [], [], [], []
-    position = 0
-
-    def node() -> int:
-        nonlocal position
-        me = len(feature)
-        for column, empty in ((feature, -1), (threshold, 0.0), (left, -1), (right, -1), (value, 0.0)):
-            column.append(empty)
-        leaf = _LEAF.match(lines[position])
-        if leaf:
-            value[me] = float(leaf.group(1))
-            position += 1
-            return me
-        split = _SPLIT.match(lines[position])
-        feature[me], threshold[me] = int(split.group(2)), float(split.group(4))
-        position += 1
-        left[me] = node()
-        position += 1  # the matching Else
-        right[me] = node()
-        return me
-
-    node()
-    return FlatTree(*[np.array(c) for c in (feature, threshold, left, right, value)])
-
-
 def forecast_recursive(readings: DataFrame, model: SensorModel, key: str, ts: str, tie: str, days: int = 1,
                        temperature: str = "temperature", humidity: str = "humidity", min_rows: int = 24) -> DataFrame:
     """Hourly forecast per sensor where every prediction becomes history for the next.
 
-    Only the newest 24 readings of a sensor matter, so each sensor is one small
-    row; many sensors advance together in one task, hour by hour.
+    Only the newest readings of a sensor matter, so its state is one small row. All
+    sensors take an hour together: features out of the state, the fitted stages over
+    them, the prediction into the state. The state is written between hours, so no
+    plan holds more than one hour and a lost executor costs one at most. Readings
+    without a temperature are no history; sensors with too little get no forecast.
     """
-    kept = latest_n(readings.select(key, ts, tie, temperature, humidity), [key], ts, tie, min_rows, rank="_rn")
+    spark = readings.sparkSession
+    span = max(min_rows, *RECURSIVE_LAGS, *RECURSIVE_MEANS)
+    known = readings.where(F.col(temperature).isNotNull())
+    kept = latest_n(known.select(key, ts, tie, temperature, humidity), [key], ts, tie, span, rank="_rn")
     state = kept.groupBy(key).agg(
-        F.max(ts).alias("last_ts"),
+        F.max(ts).cast("timestamp").alias("timestamp"),
         F.transform(F.array_sort(F.collect_list(F.struct((-F.col("_rn")).alias("o"), F.col(temperature).alias("v")))),
-                    lambda r: r["v"]).alias("temps"),
+                    lambda r: r["v"].cast("double")).alias("temps"),
         F.coalesce(F.max(F.when(F.col("_rn") == 1, F.col(humidity))), F.lit(fx.DEFAULT_HUMIDITY)).alias("humidity"),
-    ).where(F.size("temps") >= min_rows)
-
-    scaler, regressor = model.stages.stages[1], model.stages.stages[2]
-    mean, std = scaler.mean.toArray(), scaler.std.toArray()
-    trees = [flat_tree(t.toDebugString) for t in regressor.trees]
-    weights = np.array(regressor.treeWeights, dtype=float)
-    names = list(model.features)
-
-    def advance(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        scale = np.where(std > 0, 1.0 / np.where(std > 0, std, 1.0), 0.0)
-        for batch in batches:
-            if batch.empty:
-                continue
-            history = np.vstack(batch["temps"].to_numpy()).astype(float)
-            moment = pd.to_datetime(batch["last_ts"])
-            damp = batch["humidity"].to_numpy(float)
-            for step in range(days * 24):
-                moment = moment + pd.Timedelta(hours=1)
-                values = {"hour": moment.dt.hour, "day_of_week": moment.dt.dayofweek, "month": moment.dt.month,
-                          "day_of_year": moment.dt.dayofyear, "humidity": damp}
-                for n in RECURSIVE_LAGS:
-                    values[f"temp_lag_{n}"] = history[:, -n]
-                for n in RECURSIVE_MEANS:
-                    values[f"temp_rolling_mean_{n}"] = history[:, -n:].mean(axis=1)
-                x = np.column_stack([np.asarray(values[name], dtype=float) for name in names])
-                x = (x - mean) * scale
-                predicted = sum(w * t.predict(x) for w, t in zip(weights, trees)) / weights.sum()
-                history = np.column_stack([history[:, 1:], predicted])
-                yield pd.DataFrame({key: batch[key], "timestamp": moment, "day": step // 24, "raw": predicted})
-
-    kind = dict(readings.dtypes)[key]
-    points = state.mapInPandas(advance, f"`{key}` {kind}, timestamp timestamp, day int, raw double")
+    ).where(F.size("temps") >= span)
+    state = materialise(state, "forecast-state")
+
+    def newest(n: int) -> Column:
+        return F.slice("temps", -n, n)
+
+    past = {f"temp_lag_{n}": F.element_at("temps", -n) for n in RECURSIVE_LAGS}
+    past |= {f"temp_rolling_mean_{n}": F.aggregate(newest(n), F.lit(0.0), lambda a, v: a + v) / n for n in RECURSIVE_MEANS}
+    carried = StructType([*state.schema.fields, StructField("raw", DoubleType())])
+    path = scratch_path(spark, "forecast")
+    for hour in range(days * 24):
+        ahead = state.select(key, (F.col("timestamp") + F.make_interval(hours=F.lit(1))).alias("timestamp"),
+                             "temps", "humidity").withColumns(past)
+        made = model.stages.transform(calendar_parts(ahead, "timestamp", tuple(CALENDAR)))
+        made.select(key, "timestamp", F.concat(F.slice("temps", 2, span - 1), F.array("prediction")).alias("temps"),
+                    "humidity", F.col("prediction").alias("raw")).write.parquet(f"{path}/hour={hour}")
+        state = spark.read.schema(carried).parquet(f"{path}/hour={hour}")
+
+    points = spark.read.schema(StructType([*carried.fields, StructField("hour", IntegerType())])).parquet(path)
+    points = points.withColumn("day", F.floor(F.col("hour") / 24).cast("int"))
     low, high = forecast_bounds("raw", "day")
     return points.select(key, "timestamp", F.round("raw", 2).alias("temperature"), low.alias("min_temperature"),
                          high.alias("max_temperature"), forecast_confidence("day").alias("confidence"))

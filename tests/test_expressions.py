@@ -203,14 +203,33 @@ def test_cost_recommendations(spark):
     assert usage.recommendations(calm).count() == 4 and calm.first().budget_pct == 0.0
 
 
-def test_flat_tree_predicts_like_the_model(spark):
-    from sparkloom.ml.features import assemble
-    from sparkloom.ml.models import tree
-    import numpy as np
-
-    df = spark.createDataFrame([(float(i % 17), float(i % 5), float((i * 7) % 23)) for i in range(200)], "a double, b double, label double")
-    vectors = assemble(df, ["a", "b"])
-    model = tree(6).fit(vectors)
-    rows = model.transform(vectors).select("a", "b", "prediction").collect()
-    flat = forecast.flat_tree(model.toDebugString)
-    assert np.allclose(flat.predict(np.array([[r.a, r.b] for r in rows])), [r.prediction for r in rows])
+def test_recursive_forecast_by_hand(spark):
+    """Every hour of two sensors, features worked out in Python, each scored by the fitted stages alone."""
+    start = dt.datetime(2024, 1, 30, 12)
+    rows = [(100 * s + i, f"s{s}", start + dt.timedelta(hours=i), None if (s, i) == (0, 35) else 10.0 * s + (i * 7 % 13), 40.0 + i)
+            for s in (0, 1) for i in range(40)]
+    rows += [(900 + i, "short", start + dt.timedelta(hours=i), 1.0, 50.0) for i in range(23)]
+    readings = spark.createDataFrame(rows, "id bigint, key string, ts timestamp, temperature double, humidity double")
+    features = forecast.recursive_features(readings, "key", "ts", "id")
+    model = forecast.train_sensor_model(features, forecast.RECURSIVE_FEATURES, "ts", "id", trees=4, depth=4)
+    found = forecast.forecast_recursive(readings, model, "key", "ts", "id", days=1)
+    got = {(r.key, r.timestamp): r.temperature for r in found.collect()}
+    assert len(got) == 48 and {k for k, _ in got} == {"s0", "s1"}
+    past = {s: [r[3] for r in rows if r[1] == s and r[3] is not None][-24:] for s in ("s0", "s1")}
+    last = start + dt.timedelta(hours=39)
+    for hour in range(1, 4):
+        at = last + dt.timedelta(hours=hour)
+        made = [(s, at.hour, at.weekday(), at.month, at.timetuple().tm_yday, v[-1], v[-2], v[-24], sum(v[-3:]) / 3,
+                 sum(v[-6:]) / 6, sum(v[-12:]) / 12, 79.0) for s, v in past.items()]
+        frame = spark.createDataFrame(made, ["key", *forecast.RECURSIVE_FEATURES])
+        for r in model.stages.transform(frame).collect():
+            assert got[r.key, at] == pytest.approx(r.prediction, abs=0.00501)
+            past[r.key] = [*past[r.key], r.prediction]
+
+
+def test_recursive_forecast_of_nothing(spark):
+    readings = spark.createDataFrame([(i, "a", dt.datetime(2024, 1, 1, i % 24), float(i), 1.0) for i in range(40)],
+                                     "id bigint, key string, ts timestamp, temperature double, humidity double")
+    model = forecast.train_sensor_model(forecast.recursive_features(readings, "key", "ts", "id"),
+                                        forecast.RECURSIVE_FEATURES, "ts", "id", trees=2, depth=2)
+    assert forecast.forecast_recursive(readings.where("id < 0"), model, "key", "ts", "id").collect() == []
