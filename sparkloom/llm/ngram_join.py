@@ -33,8 +33,9 @@ N_WORDS = 5
 THRESHOLD = 0.8
 RECALL = 0.9995
 HASHES = 256
-#: Texts of a piece of a group, and bytes of n-gram hashes that a piece holds at the mean.
-PIECE = 128
+#: Texts of a piece of a group, and bytes of n-gram hashes that a piece holds at the mean: two pieces fit a worker and
+#: take seconds to compare, so a group is shipped as seldom as memory allows.
+PIECE = 1024
 PIECE_BYTES = 8 << 20
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
