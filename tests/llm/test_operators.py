@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 from pathlib import Path
@@ -463,6 +464,76 @@ def test_private_keys_of_many_sources(spark):
     assert masked[23] == rows[-2][1] and masked[24] == rows[-1][1]
 
 
+def test_many_matches_and_long_keys(spark):
+    """Sixteen thousand matches in one text; a key of five thousand lines; a body with five thousand hyphen groups."""
+    many = " ".join(f"{k:024x}" for k in range(16_000))
+    body = "\n".join(base64.b64encode(random.Random(k).randbytes(48)).decode() for k in range(5_000))
+    hyphens = "Comment: " + "a-b" * 5_000 + "\n" + "Q" * 64
+    edge = "-----{} PRIVATE KEY-----"
+    rows = [(1, many), (2, f"{edge.format('BEGIN')}\n{body}\n{edge.format('END')} after"), (3, f"{edge.format('BEGIN')}\n{body} after"),
+            (4, f"{edge.format('BEGIN')}\n{hyphens}\n{edge.format('END')} after")]
+    begun = time.time()
+    found = {r.doc_id: r for r in secrets.secrets(frame(spark, rows)).collect()}
+    assert time.time() - begun < 30
+    assert found[1].n_hex == 16_000 and found[1].base_sha256 == hashlib.sha256(
+        ",".join(x[2] for x in base_spans(many)).encode()).hexdigest()
+    for i in (2, 4):
+        assert found[i].spans == f"private:0:{len(rows[i - 1][1]) - len(' after')}"
+    assert found[3].spans.startswith("private:0:") and int(found[3].spans.split(":")[2]) >= len(rows[2][1]) - len(" after")
+
+
+def judged_by_force(rows, max_owners=secrets.MAX_OWNERS, max_repos=secrets.MAX_REPOS):
+    """Per row: spans, live places, most owners, most repositories."""
+    kinds = {k: (re.compile(p.replace("\\z", "\\Z")), g, n) for k, (p, g, n) in secrets.KINDS.items()}
+    held, owners, repos = [], defaultdict(set), defaultdict(set)
+    for doc, text, lang, source, _ in rows:
+        mine = []
+        for number, (kind, (rx, group, least)) in enumerate(kinds.items()):
+            for m in rx.finditer(text or ""):
+                value = m.group(group)
+                if kind in secrets.APART:
+                    value = re.sub(secrets.APART[kind], "", value)
+                if len(value) >= least:
+                    mine.append((m.start(), number, m.end(), kind, value))
+                    repos[value].add((source, lang))
+                    if source is not None:
+                        owners[value].add(source)
+        held.append((doc, mine))
+    out = Counter()
+    for doc, mine in held:
+        def live(v):
+            return len(owners[v]) <= max_owners and (len(owners[v]) <= 1 or len(repos[v]) <= max_repos)
+        shown = sorted(x for x in mine if x[3] in secrets.BASE or live(x[4]))
+        out[doc, ",".join(f"{k}:{a}:{b}" for a, _, b, k, _ in shown), sum(live(x[4]) for x in shown),
+            max((len(owners[x[4]]) for x in mine), default=0), max((len(repos[x[4]]) for x in mine), default=0)] += 1
+    return out
+
+
+def verdicts(found):
+    return Counter((r.doc_id, r.spans, r.n_live, r.most_owners, r.most_repos) for r in found.collect())
+
+
+def test_ownership_by_force_on_the_driver_table(spark):
+    sf = SF.replace("0.001", "0.01")  # the smallest table with secrets in it
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars").collect()]
+    found = QUERIES["op9_secret_scan"](spark, sf)
+    assert verdicts(found) == judged_by_force(rows) and found.where("spans <> ''").count() > 0
+
+
+def test_owners_and_repositories_decide_together(spark):
+    """One owner's key in many repositories is live; two owners' in many is an example; also bearer and provider tokens."""
+    alone, both = "ghp_" + "A1" * 18, "ghp_" + "B2" * 18
+    rows = [(i, f"use {alone} now", f"l{i}", "one", 0) for i in range(9)]
+    rows += [(20 + i, f"use {both} now", f"l{i // 2}", f"o{i % 2}", 0) for i in range(8)]
+    rows += [(40, "Authorization: Bearer " + "x.Y_z-" * 4, "en", "two", 0), (41, "bearer short", "en", "two", 0),
+             (42, "ghs_" + "c" * 36, None, None, 0), (43, "gho_" + "c" * 35, "en", "two", 0)]
+    found = secrets.secrets(spark.createDataFrame(rows, DOCS))
+    assert verdicts(found) == judged_by_force(rows)
+    by = {r.doc_id: r for r in found.collect()}
+    assert by[0].spans == "github:4:44" and by[0].most_repos == 9 and by[20].spans == "" and by[20].most_owners == 2
+    assert by[40].spans == "bearer:15:46" and by[41].spans == "" and by[42].spans == "github:0:40,hex:4:40" and by[43].spans == ""
+
+
 def test_secret_scan_runs_no_python(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     plan = secrets.secrets(docs)._jdf.queryExecution().executedPlan().toString()
