@@ -531,7 +531,7 @@ def test_owners_and_repositories_decide_together(spark):
     assert verdicts(found) == judged_by_force(rows)
     by = {r.doc_id: r for r in found.collect()}
     assert by[0].spans == "github:4:44" and by[0].most_repos == 9 and by[20].spans == "" and by[20].most_owners == 2
-    assert by[40].spans == "bearer:15:46" and by[41].spans == "" and by[42].spans == "github:0:40,hex:4:40" and by[43].spans == ""
+    assert by[40].spans == "bearer:15:46" and by[41].spans == "" and by[42].spans == "github:0:40,hex:4:40" and by[43].spans == "hex:4:39"
 
 
 def test_secret_scan_runs_no_python(spark):
