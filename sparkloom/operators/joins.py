@@ -69,6 +69,15 @@ def share_by_dimension(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key:
             .orderBy(F.desc(out), F.desc(labels[0])))
 
 
+def _split(df: DataFrame, splits: int, out: str) -> DataFrame:
+    """Each row ``splits`` times, numbered from 0.
+
+    By a join: the size that the optimiser expects of it grows with ``splits``, which that of ``explode`` does not. So
+    what is much larger than its file is broadcast only where the shuffled rows turn out to be small.
+    """
+    return df.crossJoin(df.sparkSession.range(splits).withColumnRenamed("id", out))
+
+
 def lookup(fact: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str = "inner",
            salt: int = 1) -> DataFrame:
     """Attach dimension columns to facts.
@@ -85,8 +94,7 @@ def lookup(fact: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str =
         raise ValueError(f"a {how} join cannot be salted: unmatched dimension rows would come once per split")
     others = [F.col(c) for c in fact.columns if c not in on] or [F.lit(0)]
     salted = fact.withColumn("_salt", F.pmod(F.xxhash64(*others), F.lit(salt)))
-    spread = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salt - 1).cast("bigint"))))
-    return salted.join(spread, [*on, "_salt"], how).drop("_salt")
+    return salted.join(_split(dim, salt, "_salt"), [*on, "_salt"], how).drop("_salt")
 
 
 def reattach(part: DataFrame, source: DataFrame, row_id: str, columns: Sequence[str]) -> DataFrame:
@@ -115,10 +123,10 @@ def within_km(a: DataFrame, b: DataFrame, km: float, a_id: str, b_id: str, a_pos
     left = left.withColumn("_salt", F.pmod(F.xxhash64("a_id"), F.lit(salt)))
     right = b.select(F.col(b_id).alias("b_id"), F.col(b_pos[0]).alias("b_lat"), F.col(b_pos[1]).alias("b_lon"),
                      *[_unit_cell(b_pos[0], b_pos[1], km, ax).alias(f"_{ax}") for ax in axes])
-    for ax in axes:
-        step = F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1)))
-        right = right.withColumn("_step", step).withColumn(f"_{ax}", F.col(f"_{ax}") + F.col("_step")).drop("_step")
-    right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salt - 1).cast("bigint"))))
+    # a touching cube is one step or none away on each axis
+    right = _split(right, 27 * salt, "_n").withColumns(
+        {f"_{ax}": F.col(f"_{ax}") + F.floor(F.col("_n") / 3 ** i).cast("bigint") % 3 - 1 for i, ax in enumerate(axes)})
+    right = right.withColumn("_salt", F.floor(F.col("_n") / 27).cast("bigint")).drop("_n")
     distance = haversine_km("a_lat", "a_lon", "b_lat", "b_lon")
     return (left.join(right, ["_x", "_y", "_z", "_salt"])
             .withColumn("distance_km", distance)
