@@ -164,13 +164,30 @@ def _entry_windows(exits: DataFrame, kind: str, window_ms: int, group_rows: int)
     return entered
 
 
+def _in_slots(times: DataFrame, slot_times: int) -> DataFrame:
+    """``_slot``, where a row's slot begins, such that none has more than ``slot_times`` event times.
+
+    A crowded slot is cut by its number of event times, so that there are never many more slots than these need; what
+    is still crowded is cut again. A slot of ``slot_times`` milliseconds cannot be crowded, so this ends.
+    """
+    while True:
+        cut = F.greatest(F.lit(slot_times), F.floor(F.col("_width") * F.lit(slot_times / 4) / F.col("count"))).cast("bigint")
+        crowded = materialise(times.groupBy("_k", "_slot", "_width").count().where(F.col("count") > slot_times).select(
+            F.col("_k").alias("_ck"), F.col("_slot").alias("_cslot"), cut.alias("_cut")), "reset-crowded")
+        if crowded.isEmpty():
+            return times.drop("_width")
+        begin = F.col("_slot") + F.floor((F.col("_ms") - F.col("_slot")) / F.col("_cut")).cast("bigint") * F.col("_cut")
+        times = times.join(crowded, F.col("_k").eqNullSafe(F.col("_ck")) & (F.col("_slot") == F.col("_cslot")), "left").withColumns(
+            {"_slot": F.coalesce(begin, "_slot"), "_width": F.coalesce("_cut", "_width")}).drop("_ck", "_cslot", "_cut")
+
+
 def window_starts(df: DataFrame, key: str, ms: str, window_ms: int, slot_windows: int = 12,
                   counters: Mapping[str, Column] | None = None, slot_times: int = SLOT_TIMES,
                   group_rows: int = GROUP_ROWS) -> DataFrame:
     """Key ``_k``, event time ``_ms`` (epoch milliseconds), ``window_start`` and counters per distinct event time.
 
     A slot spans ``slot_windows`` windows; where a key has more than ``slot_times``
-    event times in one, it is cut into spans of that many milliseconds.
+    event times in one, it is cut into so many spans that each has far fewer.
     """
     slot_ms = window_ms * slot_windows
     counters = {"_rows": F.count("*")} if counters is None else counters
@@ -179,13 +196,8 @@ def window_starts(df: DataFrame, key: str, ms: str, window_ms: int, slot_windows
         *[c.cast("bigint").alias(name) for name, c in counters.items()]), "reset-times")
     kind = dict(times.dtypes)["_k"]
 
-    wide = F.floor(F.col("_ms") / slot_ms).cast("bigint")
-    pieces = -(-slot_ms // slot_times)
-    crowded = materialise(times.groupBy(F.col("_k").alias("_ck"), wide.alias("_cw")).count().where(
-        F.col("count") > slot_times).select("_ck", "_cw"), "reset-crowded")
-    piece = F.when(F.col("_cw").isNotNull(), F.floor((F.col("_ms") - wide * slot_ms) / slot_times).cast("bigint")).otherwise(0)
-    times = times.join(crowded, F.col("_k").eqNullSafe(F.col("_ck")) & (wide == F.col("_cw")), "left").select(
-        "_k", "_ms", *names, (wide * pieces + piece).alias("_slot"))
+    times = _in_slots(times.withColumns({"_slot": F.floor(F.col("_ms") / slot_ms).cast("bigint") * slot_ms,
+                                         "_width": F.lit(slot_ms).cast("bigint")}), slot_times)
 
     def leave(ids, pdf: pd.DataFrame) -> pd.DataFrame:
         table = exit_table(np.sort(pdf["_ms"].to_numpy()), window_ms)

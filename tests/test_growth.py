@@ -1,8 +1,9 @@
 """What grows faster than the input on larger tables."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from sparkloom.operators import joins
+from sparkloom.operators import joins, resetting
 
 
 def _plan(df):
@@ -21,3 +22,21 @@ def test_split_dimension_is_not_broadcast_by_the_size_of_its_file(spark, tmp_pat
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert salted.agg(F.count("*"), F.sum("v")).first() == joins.lookup(fact, dim, "k").agg(F.count("*"), F.sum("v")).first()
+
+
+def test_crowded_slots_are_cut_by_their_number_of_event_times(spark):
+    rng = np.random.default_rng(3)
+    ms = np.unique(np.r_[rng.integers(0, 12_000_000, 900), 5_000_000 + rng.integers(0, 2_000, 600)])
+    rows = spark.createDataFrame([("a", int(m)) for m in ms] + [("b", int(m)) for m in ms[::40]], "k string, ms bigint")
+    times = rows.select(F.col("k").alias("_k"), F.col("ms").alias("_ms"), F.lit(0).cast("bigint").alias("_slot"),
+                        F.lit(12_000_000).cast("bigint").alias("_width"))
+    slots = resetting._in_slots(times, 100).groupBy("_k", "_slot").agg(
+        F.count("*").alias("n"), F.min("_ms").alias("lo"), F.max("_ms").alias("hi")).orderBy("_k", "_slot").collect()
+    assert max(s.n for s in slots) <= 100
+    # spans of 100 ms, as many as nearly each event time by itself, were 900 and more
+    assert len(slots) < 150
+    assert all(x.hi < y.lo for x, y in zip(slots, slots[1:]) if x["_k"] == y["_k"])
+    found = resetting.window_starts(rows, "k", "ms", 1_000_000, slot_times=100, group_rows=50).collect()
+    for key, at in (("a", ms), ("b", ms[::40])):
+        starts = dict(zip(at.tolist(), resetting.chain_starts(at, 1_000_000, None).tolist()))
+        assert {r["_ms"]: r.window_start for r in found if r["_k"] == key} == starts
