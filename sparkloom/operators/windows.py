@@ -14,7 +14,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from ..session import materialise
-from .attach import attach
+from .attach import attach, shuffled_if_many
 from .cleaning import last_hours
 
 SLOT_SECONDS = 3600
@@ -29,9 +29,17 @@ def with_lookback(df: DataFrame, key: Sequence[str], ts: str, depth: int, tie: s
         raise ValueError("a run must be able to hold the rows it hands on")
     key = list(key)
     micros, slot_micros = F.unix_micros(F.col(ts).cast("timestamp")), slot_seconds * 1_000_000
+    busy = materialise(df.groupBy(*key).agg(F.count("*").alias("_n")).where(F.col("_n") > run_rows), "busy-keys")
+    if busy.isEmpty():
+        return df.withColumns({"_run": F.lit(0).cast("bigint"), "_halo": F.lit(False)})
+    busy = shuffled_if_many(busy)
+
+    def of_busy(rows: DataFrame) -> DataFrame:
+        return attach(rows, busy, key, "_b", stored=False).where(F.col("_b").isNotNull()).drop("_b")
+
     slotted = df.withColumn("_slot", F.floor(micros / slot_micros).cast("bigint"))
-    # one row per key and slot: bounded by the time span, whatever the row count
-    sizes = materialise(slotted.groupBy(*key, "_slot").agg(
+    # one row per busy key and slot: bounded by the time span, whatever the row count
+    sizes = materialise(of_busy(slotted).groupBy(*key, "_slot").agg(
         F.count("*").alias("_n"), F.min(micros).alias("first"), F.max(micros).alias("last")), "slot-sizes")
     crowded = sizes.where(F.col("_n") > run_rows).select(
         *key, "_slot", "first", "last", F.ceil(F.col("_n") / run_rows).alias("pieces"))
@@ -41,7 +49,7 @@ def with_lookback(df: DataFrame, key: Sequence[str], ts: str, depth: int, tie: s
         piece = F.coalesce(F.floor(place * F.col("_c.pieces")), F.lit(0)).cast("bigint")
         slotted = attach(slotted, crowded, [*key, "_slot"], "_c", stored=False).withColumn(
             "_slot", F.col("_slot") * MAX_PIECES + F.least(piece, F.lit(MAX_PIECES - 1))).drop("_c")
-        sizes = slotted.groupBy(*key, "_slot").agg(F.count("*").alias("_n"))
+        sizes = of_busy(slotted).groupBy(*key, "_slot").agg(F.count("*").alias("_n"))
     in_time = Window.partitionBy(*key).orderBy("_slot")
     slots = (sizes.select(*key, "_slot", "_n")
              .withColumn("_end", F.sum("_n").over(in_time.rowsBetween(Window.unboundedPreceding, 0)))
@@ -53,10 +61,10 @@ def with_lookback(df: DataFrame, key: Sequence[str], ts: str, depth: int, tie: s
     slots = slots.withColumn("_feeds", F.array_distinct(F.collect_list("_opens").over(reach)))
     slots = materialise(slots.select(*key, "_slot", "_run", "_feeds"), "slots")
 
-    own = attach(slotted, slots.select(*key, "_slot", "_run"), [*key, "_slot"], "_s", stored=False)
-    own = own.withColumns({"_run": F.col("_s._run"), "_halo": F.lit(False)}).drop("_s", "_slot")
+    own = attach(slotted, shuffled_if_many(slots).select(*key, "_slot", "_run"), [*key, "_slot"], "_s", stored=False)
+    own = own.withColumns({"_run": F.coalesce("_s._run", F.lit(0).cast("bigint")), "_halo": F.lit(False)}).drop("_s", "_slot")
 
-    feeding = slots.where(F.size("_feeds") > 0).select(*key, "_slot", "_feeds")
+    feeding = shuffled_if_many(slots.where(F.size("_feeds") > 0).select(*key, "_slot", "_feeds"))
     newest_first = Window.partitionBy(*key, "_slot").orderBy(F.desc(ts), F.desc(tie))
     lent = attach(slotted, feeding, [*key, "_slot"], "_s", stored=False).where(F.col("_s._feeds").isNotNull())
     lent = (lent.withColumn("_rn", F.row_number().over(newest_first)).where(F.col("_rn") <= depth)

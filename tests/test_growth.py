@@ -3,7 +3,8 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from sparkloom.operators import joins, resetting
+from sparkloom.operators import joins, resetting, windows
+from sparkloom.operators.attach import BROADCAST_ROWS, attach
 
 
 def _plan(df):
@@ -40,3 +41,28 @@ def test_crowded_slots_are_cut_by_their_number_of_event_times(spark):
     for key, at in (("a", ms), ("b", ms[::40])):
         starts = dict(zip(at.tolist(), resetting.chain_starts(at, 1_000_000, None).tolist()))
         assert {r["_ms"]: r.window_start for r in found if r["_k"] == key} == starts
+
+
+def _readings(spark, keys, rows):
+    return spark.range(keys * rows).selectExpr(f"id % {keys} AS k", f"timestamp_seconds(id DIV {keys} * 600) AS ts", "id", "id * 0.5D AS v")
+
+
+def test_figures_of_many_keys_are_not_sent_to_every_executor(spark):
+    many = spark.range(BROADCAST_ROWS + 1).selectExpr("id AS k", "1 AS one")  # well below the threshold as a file
+    rows = spark.range(2_000_000).selectExpr("id % 1000 AS k", "id AS n")
+    assert "SortMergeJoin" in _plan(attach(rows, many, ["k"], "_f"))
+    assert "BroadcastHashJoin" in _plan(attach(rows, many.where("k < 1000"), ["k"], "_f"))
+
+
+def test_keys_of_one_run_need_no_slots(spark):
+    runs = windows.with_lookback(_readings(spark, 50, 40), ["k"], "ts", 24, "id", run_rows=40)
+    assert "Join" not in _plan(runs)
+    assert runs.where("_halo OR _run <> 0").count() == 0
+
+
+def test_busy_and_quiet_keys_look_back_alike(spark):
+    quiet, busy = _readings(spark, 30, 20), _readings(spark, 3, 500).selectExpr("k + 100 AS k", "ts", "id + 10000 AS id", "v")
+    both = quiet.unionByName(busy).unionByName(quiet.where("k = 0").selectExpr("NULL AS k", "ts", "id + 90000 AS id", "v"))
+    cut = windows.lags(both, ["k"], "ts", "id", "v", [1, 24], run_rows=60, slot_seconds=3600).select("id", "temp_lag_1", "temp_lag_24")
+    whole = both.selectExpr("id", "lag(v, 1) OVER (PARTITION BY k ORDER BY ts, id)", "lag(v, 24) OVER (PARTITION BY k ORDER BY ts, id)")
+    assert {r[0]: tuple(r) for r in cut.collect()} == {r[0]: tuple(r) for r in whole.collect()} and cut.count() == both.count()
