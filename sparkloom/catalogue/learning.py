@@ -189,7 +189,7 @@ def _(t):
 
 @query("m16_feature_importance")
 def _(t):
-    fitted = mod.forest().fit(vectors(t))
+    fitted = mod.fit(mod.forest(), vectors(t))
     return mod.feature_importance(fitted, SIZES, t.spark)
 
 

@@ -18,7 +18,7 @@ from ..operators.order_stats import first_fraction
 from ..operators.statistics import regression_metrics
 from ..operators.windows import history_features, latest_n, latest_state, over_history
 from ..session import materialise, scratch_path
-from .models import fit_stages, forest
+from .models import dealt, fit_stages, forest
 
 CALENDAR = ["hour", "day_of_week", "month", "day_of_year"]
 CYCLES = [("hour", 24, "hour"), ("day_of_week", 7, "day"), ("month", 12, "month")]
@@ -82,8 +82,8 @@ def train_sensor_model(features: DataFrame, columns: Sequence[str], ts: str, tie
     columns = list(columns)
     complete = drop_incomplete(features.select(ts, tie, target, *columns), [target, *columns])
     at = complete.withColumn("_at", F.unix_micros(F.col(ts).cast("timestamp")))
-    marked = materialise(first_fraction(at, "_at", tie, fraction).select(
-        "is_train", F.col(target).alias("label"), *columns), "sensor-training")
+    marked = materialise(dealt(first_fraction(at, "_at", tie, fraction).select(
+        "is_train", F.col(target).alias("label"), *columns)), "sensor-training")
     train, test = marked.where("is_train"), marked.where(~F.col("is_train"))
     stages = fit_stages(train, [
         VectorAssembler(inputCols=columns, outputCol="_raw"),

@@ -3,6 +3,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
+from sparkloom.ml import models
 from sparkloom.operators import joins, resetting, windows
 from sparkloom.operators.attach import BROADCAST_ROWS, attach
 
@@ -66,3 +67,13 @@ def test_busy_and_quiet_keys_look_back_alike(spark):
     cut = windows.lags(both, ["k"], "ts", "id", "v", [1, 24], run_rows=60, slot_seconds=3600).select("id", "temp_lag_1", "temp_lag_24")
     whole = both.selectExpr("id", "lag(v, 1) OVER (PARTITION BY k ORDER BY ts, id)", "lag(v, 24) OVER (PARTITION BY k ORDER BY ts, id)")
     assert {r[0]: tuple(r) for r in cut.collect()} == {r[0]: tuple(r) for r in whole.collect()} and cut.count() == both.count()
+
+
+def test_rows_to_learn_trees_from_are_dealt_over_all_cores(spark, monkeypatch):
+    rows = spark.range(1000).coalesce(1).selectExpr("(id * 37) % 1000 AS label", "id")
+    counts = models.dealt(rows).rdd.mapPartitions(lambda part: [[r.label for r in part]]).collect()
+    assert [len(c) for c in counts] == [250] * 4 and all(c == sorted(c) for c in counts)
+    met = []
+    monkeypatch.setattr(models.RandomForestRegressor, "fit", lambda self, df: met.append(df.rdd.getNumPartitions()))
+    models.fit(models.forest(), rows)
+    assert met == [4]
