@@ -8,7 +8,7 @@ of a busy key one batch can hold.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -24,8 +24,25 @@ ERROR_SCHEMA = ("endpoint string, event_ms bigint, id bigint, record string, tot
                 "error_requests bigint, error_rate_percent double")
 
 
-def _ordered(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
-    return pd.concat(rows).sort_values(["event_ms", "id"], kind="stable", ignore_index=True)
+#: Rows that are put together for output at once.
+SLICE_ROWS = 50_000
+
+
+def _ordered(rows: Iterator[pd.DataFrame], values: Sequence[str]) -> pd.DataFrame:
+    """The numbers of a key's rows in event order; of each piece nothing else is kept, texts least of all."""
+    pieces = [piece[["event_ms", "id", *values]].copy() for piece in rows]
+    return pd.concat(pieces).sort_values(["event_ms", "id"], kind="stable", ignore_index=True)
+
+
+def _slices(places: np.ndarray) -> Iterator[np.ndarray]:
+    for lo in range(0, len(places), SLICE_ROWS):
+        yield places[lo:lo + SLICE_ROWS]
+
+
+def _before_window(starts: np.ndarray) -> np.ndarray:
+    """Per row of ordered window starts the place of its window's first row."""
+    first = np.flatnonzero(np.r_[True, starts[1:] != starts[:-1]])
+    return np.repeat(first, np.diff(np.r_[first, len(starts)]))
 
 
 class _Timed(StatefulProcessor):
@@ -61,31 +78,32 @@ class RequestMonitor(_Timed):
         self.alerted = self._value(handle, "alerted", "at bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        events = _ordered(rows)
+        events = _ordered(rows, ["status_code", "processing_time_ms"])
         ms = events["event_ms"].to_numpy()
         start, carried = self.window.get() if self.window.exists() else (None, 0)
         starts = chain_starts(ms, self.window_ms, start)
-        counts = events.groupby(starts).cumcount().to_numpy() + 1
+        counts = np.arange(1, len(starts) + 1) - _before_window(starts)
         if start is not None:
             counts = counts + np.where(starts == start, carried, 0)
         self.window.update((int(starts[-1]), int(counts[-1])))
         if start is None or starts[-1] != start:
             self._arm(int(starts[-1]))
 
-        out = events.assign(endpoint=key[0], record="metrics", request_count=counts)
-        yield out[["endpoint", "event_ms", "id", "record", "request_count", "status_code", "processing_time_ms"]]
+        def out(places: np.ndarray, record: str) -> Iterator[pd.DataFrame]:
+            for at in _slices(places):
+                yield events.iloc[at].assign(endpoint=key[0], record=record, request_count=counts[at])[
+                    ["endpoint", "event_ms", "id", "record", "request_count", "status_code", "processing_time_ms"]]
 
-        over = out[counts > self.threshold]
+        yield from out(np.arange(len(counts)), "metrics")
+        over = np.flatnonzero(counts > self.threshold)
         if len(over):
             last = self.alerted.get()[0] if self.alerted.exists() else None
-            at = chain_starts(over["event_ms"].to_numpy(), self.suppress_ms, last)
+            at = chain_starts(ms[over], self.suppress_ms, last)
             # an alert is the event that opens a suppression time
-            opens = np.concatenate(([last is None or at[0] != last], at[1:] != at[:-1]))
-            alerts = over[opens]
+            alerts = over[np.concatenate(([last is None or at[0] != last], at[1:] != at[:-1]))]
             if len(alerts):
-                self.alerted.update((int(alerts["event_ms"].iloc[-1]),))
-                yield alerts.assign(record="HIGH_REQUEST_RATE")[
-                    ["endpoint", "event_ms", "id", "record", "request_count", "status_code", "processing_time_ms"]]
+                self.alerted.update((int(ms[alerts[-1]]),))
+                yield from out(alerts, "HIGH_REQUEST_RATE")
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         if self.window.exists():
@@ -109,26 +127,28 @@ class ErrorRateMonitor(_Timed):
         self.window = self._value(handle, "window", "start bigint, total bigint, errors bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        events = _ordered(rows)
+        events = _ordered(rows, ["status_code"])
         start, total, errors = self.window.get() if self.window.exists() else (None, 0, 0)
         starts = chain_starts(events["event_ms"].to_numpy(), self.window_ms, start)
-        failed = (events["status_code"] >= fx.ERROR_STATUS_FROM).astype("int64")
-        grouped = failed.groupby(starts)
+        first = _before_window(starts)
+        failed = np.r_[0, np.cumsum((events["status_code"] >= fx.ERROR_STATUS_FROM).to_numpy(), dtype=np.int64)]
         carried = np.zeros(len(events), dtype=bool) if start is None else starts == start
-        totals = grouped.cumcount().to_numpy() + 1 + np.where(carried, total, 0)
-        fails = grouped.cumsum().to_numpy() + np.where(carried, errors, 0)
+        totals = np.arange(1, len(starts) + 1) - first + np.where(carried, total, 0)
+        fails = failed[1:] - failed[first] + np.where(carried, errors, 0)
         self.window.update((int(starts[-1]), int(totals[-1]), int(fails[-1])))
         if start is None or starts[-1] != start:
             self._arm(int(starts[-1]))
 
         rate = fails / totals * 100
-        out = events.assign(endpoint=key[0], record="error_metrics", total_requests=totals, error_requests=fails,
-                            error_rate_percent=np.round(rate, 2))
-        columns = ["endpoint", "event_ms", "id", "record", "total_requests", "error_requests", "error_rate_percent"]
-        yield out[columns]
-        alert = (totals >= self.min_requests) & (rate > self.pct_above)
-        if alert.any():
-            yield out[alert].assign(record="HIGH_ERROR_RATE")[columns]
+
+        def out(places: np.ndarray, record: str) -> Iterator[pd.DataFrame]:
+            for at in _slices(places):
+                yield events.iloc[at].assign(endpoint=key[0], record=record, total_requests=totals[at], error_requests=fails[at],
+                                             error_rate_percent=np.round(rate[at], 2))[
+                    ["endpoint", "event_ms", "id", "record", "total_requests", "error_requests", "error_rate_percent"]]
+
+        yield from out(np.arange(len(totals)), "error_metrics")
+        yield from out(np.flatnonzero((totals >= self.min_requests) & (rate > self.pct_above)), "HIGH_ERROR_RATE")
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         if self.window.exists():
@@ -180,6 +200,8 @@ def request_monitor(stream: DataFrame, key: str = "path", time_mode: str = "Proc
     event_time = time_mode == "EventTime"
     if event_time:
         settings.setdefault("ttl_ms", None)
+    else:  # event time needs the column of the watermark
+        stream = stream.select(key, "event_ms", "id", "status_code", "processing_time_ms")
     return _apply(stream, key, RequestMonitor(timers=event_time, **settings), REQUEST_SCHEMA, time_mode)
 
 
@@ -188,6 +210,8 @@ def error_rate_monitor(stream: DataFrame, key: str = "path", time_mode: str = "P
     event_time = time_mode == "EventTime"
     if event_time:
         settings.setdefault("ttl_ms", None)
+    else:
+        stream = stream.select(key, "event_ms", "id", "status_code")
     return _apply(stream, key, ErrorRateMonitor(timers=event_time, **settings), ERROR_SCHEMA, time_mode)
 
 

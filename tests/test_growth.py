@@ -1,11 +1,13 @@
 """What grows faster than the input on larger tables."""
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from sparkloom.ml import models
 from sparkloom.operators import joins, resetting, windows
 from sparkloom.operators.attach import BROADCAST_ROWS, attach
+from sparkloom.streaming import stateful
 
 
 def _plan(df):
@@ -77,3 +79,37 @@ def test_rows_to_learn_trees_from_are_dealt_over_all_cores(spark, monkeypatch):
     monkeypatch.setattr(models.RandomForestRegressor, "fit", lambda self, df: met.append(df.rdd.getNumPartitions()))
     models.fit(models.forest(), rows)
     assert met == [4]
+
+
+class _State:
+    held = None
+
+    def exists(self):
+        return self.held is not None
+
+    def get(self):
+        return self.held
+
+    def update(self, value):
+        self.held = value
+
+
+def test_monitors_of_a_busy_key_put_out_slices(monkeypatch):
+    monkeypatch.setattr(stateful, "SLICE_ROWS", 100)
+    rng = np.random.default_rng(1)
+    rows = pd.DataFrame({"path": "a", "event_ms": rng.integers(0, 50_000, 1000), "id": np.arange(1000), "status_code": rng.choice([200, 500], 1000),
+                         "processing_time_ms": 1.0})
+    for monitor, counter, first in ((stateful.RequestMonitor(threshold=3, window_ms=900, suppress_ms=2000), "request_count", "metrics"),
+                                    (stateful.ErrorRateMonitor(window_ms=900, min_requests=3), "total_requests", "error_metrics")):
+        monitor.window, monitor.alerted = _State(), _State()
+        parts = [rows.iloc[0:400], rows.iloc[400:700], rows.iloc[700:]]
+        out = list(monitor.handleInputRows(("a",), iter(parts), None))
+        assert max(map(len, out)) == 100
+        made = pd.concat(out)
+        made = made[made["record"] == first]
+        ordered = rows.sort_values(["event_ms", "id"])
+        starts = resetting.chain_starts(ordered["event_ms"].to_numpy(), 900, None)
+        assert made["id"].tolist() == ordered["id"].tolist()
+        assert made[counter].tolist() == (ordered.groupby(starts).cumcount() + 1).tolist()
+        if counter == "total_requests":
+            assert made["error_requests"].tolist() == (ordered["status_code"] >= 400).astype(int).groupby(starts).cumsum().tolist()
