@@ -5,7 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, LinearSVC, LogisticRegression, NaiveBayes, OneVsRest,
                                        RandomForestClassifier)
@@ -66,8 +69,9 @@ def linear(kind: str = "linear", alpha: float = 1.0, unit: float | None = None,
 
 def forest(trees: int = 100, depth: int = 10, min_leaf: int = 1, features: str = "features", label: str = "label",
            seed: int = 42) -> RandomForestRegressor:
+    """Rows remember the node of each tree they are in, so that no level of a deep forest walks down all trees again."""
     return RandomForestRegressor(featuresCol=features, labelCol=label, numTrees=trees, maxDepth=depth,
-                                 minInstancesPerNode=min_leaf, seed=seed)
+                                 minInstancesPerNode=min_leaf, seed=seed, cacheNodeIds=True)
 
 
 def tree(depth: int = 10, min_leaf: int = 1, features: str = "features", label: str = "label",
@@ -148,22 +152,61 @@ def cross_validate(df: DataFrame, estimator: Estimator, grid=None, folds: int =
                           numFolds=folds, seed=seed, parallelism=parallelism).fit(df)
 
 
+class _FoldStages:
+    """Stages before the last one of searched pipelines, fitted once per fold however many settings share them."""
+
+    def __init__(self, train: DataFrame, held: DataFrame):
+        self.made = {(): (train, held)}
+
+    def prepare(self, stages: Sequence) -> tuple[DataFrame, DataFrame]:
+        """Both parts of the fold after these stages, which are known by their kind and settings."""
+        key = tuple((type(s), *sorted(f"{p.name}={v!r}" for p, v in s.extractParamMap().items())) for s in stages)
+        if key not in self.made:
+            train, held = self.prepare(stages[:-1])
+            model = stages[-1].fit(train) if isinstance(stages[-1], Estimator) else stages[-1]
+            self.made[key] = model.transform(train), model.transform(held)
+        return self.made[key]
+
+
+def _split_stages(estimator: Estimator, params: Mapping) -> tuple[list, Estimator]:
+    """What precedes the learner, and the learner, with the settings in place."""
+    stages = estimator.copy(params).getStages() if isinstance(estimator, Pipeline) else [estimator.copy(params)]
+    return stages[:-1], stages[-1]
+
+
 def grid_search(df: DataFrame, grids: Mapping[str, tuple[Estimator, list]], folds: int = 5, metric: str = "mse",
                 label: str = "label", seed: int = 42, parallelism: int = 4) -> SearchResult:
-    """k-fold search over several estimators with their grids; the best mean metric wins."""
-    larger = _evaluator(metric, label).isLargerBetter()
+    """k-fold search over several estimators with their grids; the best mean metric wins.
+
+    Folds are those of ``CrossValidator``. Stages that settings share are fitted once
+    in a fold, all learners of all folds share the cores, and only the winner is
+    fitted to all rows.
+    """
+    evaluator = _evaluator(metric, label)
     df = materialise(dealt(df, label), "search")  # stored, since the folds go by the places of the rows
-    rows, best = [], None
-    for name, (estimator, grid) in grids.items():
-        fitted = cross_validate(df, estimator, grid, folds, metric, label, seed, parallelism)
-        for i, (params, mean) in enumerate(zip(grid, fitted.avgMetrics)):
-            text = ", ".join(sorted(f"{p.name}={v}" for p, v in params.items()))
-            rows.append((name, text, float(mean), float(fitted.stdMetrics[i])))
-        mean = (max if larger else min)(fitted.avgMetrics)
-        if best is None or (mean > best[2] if larger else mean < best[2]):
-            best = (fitted.bestModel, name, float(mean))
+    placed = df.withColumn("_place", F.rand(seed))
+    settings = [(name, estimator, params) for name, (estimator, grid) in grids.items() for params in grid]
+    tasks = []
+    for fold in range(folds):
+        inside = (F.col("_place") >= fold * (1.0 / folds)) & (F.col("_place") < (fold + 1) * (1.0 / folds))
+        shared = _FoldStages(placed.where(~inside), placed.where(inside))
+        for _, estimator, params in settings:
+            before, learner = _split_stages(estimator, params)
+            tasks.append((learner, *shared.prepare(before)))
+
+    def measured(task: tuple) -> float:
+        learner, train, held = task
+        return evaluator.evaluate(learner.fit(train).transform(held))
+
+    with ThreadPool(parallelism) as pool:
+        found = np.array(pool.map(inheritable_thread_target(df.sparkSession)(measured), tasks, chunksize=1)).reshape(folds, len(settings))
+    means, deviations = found.mean(axis=0), found.std(axis=0)
+    best = int((np.argmax if evaluator.isLargerBetter() else np.argmin)(means))
+    name, estimator, params = settings[best]
+    rows = [(n, ", ".join(sorted(f"{p.name}={v}" for p, v in q.items())), float(m), float(d))
+            for (n, _, q), m, d in zip(settings, means, deviations, strict=True)]
     scores = df.sparkSession.createDataFrame(rows, "model string, parameters string, mean_metric double, std_metric double")
-    return SearchResult(*best, scores)
+    return SearchResult(estimator.copy(params).fit(df), name, float(means[best]), scores)
 
 
 def cv_scores(df: DataFrame, estimator: Estimator, folds: int = 5, metric: str = "r2", label: str = "label",

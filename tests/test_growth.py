@@ -2,11 +2,13 @@
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
-from sparkloom.ml import models
+from sparkloom.ml import features as feat, models, selection
 from sparkloom.operators import joins, resetting, windows
 from sparkloom.operators.attach import BROADCAST_ROWS, attach
+from sparkloom.plans import regression
 from sparkloom.streaming import stateful
 
 
@@ -81,6 +83,26 @@ def test_rows_to_learn_trees_from_are_dealt_over_all_cores(spark, monkeypatch):
     assert met == [4]
 
 
+def test_a_search_fits_shared_stages_once_per_fold(spark, monkeypatch):
+    rows = spark.range(300).selectExpr("id % 7 + 0.5D AS a", "id % 5 + 0.0D AS b", "(id % 7) * (id % 5) + id % 3 + 0.0D AS label")
+    train = feat.assemble(rows, ["a", "b"], "measures")
+    lasso = models.linear("lasso")
+    pipeline, grid = regression.searched(lasso, models.ParamGridBuilder().addGrid(lasso.regParam, [0.01, 0.1, 1.0]).build(), 2, ks=(1, 2))
+    fits, fit_terms = [], selection.BestTerms._fit
+    monkeypatch.setattr(selection.BestTerms, "_fit", lambda self, df: (fits.append(1), fit_terms(self, df))[1])
+    found = models.grid_search(train, {"lasso": (pipeline, grid)}, folds=3)
+    assert len(grid) == 12 and len(fits) == 3 * 4 + 1  # four choices of terms a fold, and the winner's
+    stored = models.materialise(models.dealt(train), "search")
+    whole = models.cross_validate(stored, pipeline, grid, 3)
+    assert [r.mean_metric for r in found.scores.collect()] == pytest.approx(whole.avgMetrics, rel=1e-9)
+    assert [r.std_metric for r in found.scores.collect()] == pytest.approx(whole.stdMetrics, rel=1e-6)
+    assert found.best.stages[1].getOrDefault("terms") == whole.bestModel.stages[1].getOrDefault("terms")
+
+
+def test_rows_remember_their_nodes_while_a_forest_is_learnt():
+    assert models.forest().getCacheNodeIds()
+
+
 class _State:
     held = None
 
