@@ -89,6 +89,24 @@ def discard(*frames: DataFrame) -> None:
         path.getFileSystem(context.hadoopConfiguration()).delete(path, True)
 
 
+#: Words of 64 bits in which ``likely`` marks keys: 16.8 million bits, whatever the number of keys.
+MARK_WORDS = 1 << 18
+
+
+def likely(df: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """The rows of ``df`` whose key is in ``wanted``, and by chance a few others; only marks are sent, nothing is shuffled.
+
+    Meant for rows that are long or many before a join on the key. A bit stands for
+    all keys of one hash, so n keys let n / 16.8 million of the other rows pass.
+    """
+    spot = F.xxhash64(key)
+    word, bit = spot.bitwiseAND(MARK_WORDS - 1), F.expr(f"shiftleft(1L, CAST(shiftrightunsigned(xxhash64(`{key}`), 58) AS INT))")
+    marks = wanted.select(word.alias("_word"), bit.alias("_bit")).groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
+    spotted = df.withColumns({"__word": word, "__bit": bit})
+    found = (F.col("__word") == F.col("_word")) & (F.col("_bits").bitwiseAND(F.col("__bit")) != 0)
+    return spotted.join(F.broadcast(marks), found, "left_semi").drop("__word", "__bit")
+
+
 def components(edges: DataFrame, label: str, rounds: int = 60) -> DataFrame:
     """Connected components of ``edges(a, b)`` (longs, a != b): rows (node, root), root the smallest node.
 

@@ -27,7 +27,7 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import components, discard, map_texts, memory, store
+from .common import components, discard, likely, map_texts, memory, store
 
 N_WORDS = 5
 THRESHOLD = 0.8
@@ -115,8 +115,8 @@ def _fingerprints(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
 
 def _grouped_texts(docs: DataFrame, placed: DataFrame) -> DataFrame:
     """The rows of ``placed`` with the text that stands for each."""
-    # texts of no group are left out first; repeated rows are made one before they are shuffled to their group
-    texts = docs.join(placed.select("d"), "d", "left_semi").groupBy("d").agg(F.first("x").alias("x"))
+    # texts of no group are left out where they are read; repeated rows are made one before they are shuffled to their group
+    texts = likely(docs, placed, "d").join(placed.select("d"), "d", "left_semi").groupBy("d").agg(F.first("x").alias("x"))
     return texts.join(placed, "d").select("root", "piece", "cuts", "rep", "copies", "x")
 
 

@@ -307,3 +307,22 @@ def test_mapped_texts_leave_the_memories_of_their_operator_alone(spark):
 
     assert [most("bpe"), most("bpe")] == [0, 0]
     assert most("ngram_join") <= 1
+
+
+def test_texts_of_no_group_are_not_shuffled(spark):
+    docs = spark.range(4000).selectExpr("named_struct('id', id, 'h', xxhash64(id)) AS d", "concat('text ', id) AS x")
+    placed = docs.where("d.id % 100 = 0").selectExpr(
+        "d", "d.id AS root", "0 AS piece", "1 AS cuts", "d.id AS rep", "1L AS copies").unionByName(
+        spark.sql("SELECT named_struct('id', CAST(NULL AS bigint), 'h', 5L) AS d, 7L AS root, 0 AS piece, 1 AS cuts, 7L AS rep, 1L AS copies"))
+    docs = docs.unionByName(spark.sql("SELECT named_struct('id', CAST(NULL AS bigint), 'h', 5L) AS d, 'no id' AS x"))
+    assert 40 <= common.likely(docs, placed, "d").count() <= 45
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for groups of any size
+    try:
+        plan = ngram_join._grouped_texts(docs, placed)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" in plan
+    found = ngram_join._grouped_texts(docs.union(docs), placed).select("rep", "x").collect()
+    assert len(found) == 41
+    assert {(r.rep, r.x) for r in found} == {(i, f"text {i}") for i in range(0, 4000, 100)} | {(7, "no id")}
