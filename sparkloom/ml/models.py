@@ -99,10 +99,12 @@ def dealt(df: DataFrame, label: str = "label") -> DataFrame:
     """The rows dealt evenly over all cores, those of like labels side by side, for learning trees.
 
     That costs far more per row than reading, so parts of a file's size leave most cores idle. Rows of like labels mostly
-    go to the same nodes of a tree, whose counts then stay in the processor's cache.
+    go to the same nodes of a tree, whose counts then stay in the processor's cache. Parts come in whole rounds of the
+    cores: one part more would keep all others waiting at every level of the trees.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(max(cores, df.rdd.getNumPartitions())).sortWithinPartitions(label)
+    rounds = max(1, round(df.rdd.getNumPartitions() / cores))
+    return df.repartition(rounds * cores).sortWithinPartitions(label)
 
 
 def fit(estimator: Estimator, train: DataFrame) -> Model:

@@ -83,6 +83,11 @@ def test_rows_to_learn_trees_from_are_dealt_over_all_cores(spark, monkeypatch):
     assert met == [4]
 
 
+def test_rows_to_learn_trees_from_come_in_whole_rounds_of_the_cores(spark):
+    for parts, dealt in ((5, 4), (7, 8), (9, 8)):
+        assert models.dealt(spark.range(0, 1000, 1, parts).withColumnRenamed("id", "label")).rdd.getNumPartitions() == dealt
+
+
 def test_a_search_fits_shared_stages_once_per_fold(spark, monkeypatch):
     rows = spark.range(300).selectExpr("id % 7 + 0.5D AS a", "id % 5 + 0.0D AS b", "(id % 7) * (id % 5) + id % 3 + 0.0D AS label")
     train = feat.assemble(rows, ["a", "b"], "measures")
