@@ -24,6 +24,7 @@ from ..functions.numbers import delay_label
 from ..operators.statistics import classification_metrics, regression_metrics
 from ..session import materialise
 from .features import FLIGHT_FEATURES, random_split
+from .forests import Forest
 
 
 def fit_stages(df: DataFrame, stages: Sequence) -> PipelineModel:
@@ -68,10 +69,10 @@ def linear(kind: str = "linear", alpha: float = 1.0, unit: float | None = None,
 
 
 def forest(trees: int = 100, depth: int = 10, min_leaf: int = 1, features: str = "features", label: str = "label",
-           seed: int = 42) -> RandomForestRegressor:
-    """Rows remember the node of each tree they are in, so that no level of a deep forest walks down all trees again."""
-    return RandomForestRegressor(featuresCol=features, labelCol=label, numTrees=trees, maxDepth=depth,
-                                 minInstancesPerNode=min_leaf, seed=seed, cacheNodeIds=True)
+           seed: int = 42) -> Forest:
+    """Where it learns in MLlib, rows remember the node of each tree they are in."""
+    return Forest(featuresCol=features, labelCol=label, numTrees=trees, maxDepth=depth,
+                  minInstancesPerNode=min_leaf, seed=seed, cacheNodeIds=True)
 
 
 def tree(depth: int = 10, min_leaf: int = 1, features: str = "features", label: str = "label",
@@ -107,9 +108,15 @@ def dealt(df: DataFrame, label: str = "label") -> DataFrame:
     return df.repartition(rounds * cores).sortWithinPartitions(label)
 
 
+def _on_all_cores(df: DataFrame) -> bool:
+    return df.rdd.getNumPartitions() >= df.sparkSession.sparkContext.defaultParallelism
+
+
 def fit(estimator: Estimator, train: DataFrame) -> Model:
     trees = (RandomForestRegressor, DecisionTreeRegressor, RandomForestClassifier, DecisionTreeClassifier)
-    return estimator.fit(dealt(train, estimator.getLabelCol()) if isinstance(estimator, trees) else train)
+    if not isinstance(estimator, trees) or (isinstance(estimator, Forest) and estimator.learns_here(train) and _on_all_cores(train)):
+        return estimator.fit(train)  # a forest deals binned rows itself, and needs cores only to read them
+    return estimator.fit(dealt(train, estimator.getLabelCol()))
 
 
 def delay_model(df: DataFrame, features: Sequence[str] = tuple(FLIGHT_FEATURES), fraction: float = 0.8, seed: int = 42,

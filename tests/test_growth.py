@@ -2,10 +2,12 @@
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
 
-from sparkloom.ml import features as feat, models, selection
+from sparkloom.ml import features as feat, forests, models, selection
 from sparkloom.operators import joins, resetting, windows
 from sparkloom.operators.attach import BROADCAST_ROWS, attach
 from sparkloom.plans import regression
@@ -140,3 +142,70 @@ def test_monitors_of_a_busy_key_put_out_slices(monkeypatch):
         assert made[counter].tolist() == (ordered.groupby(starts).cumcount() + 1).tolist()
         if counter == "total_requests":
             assert made["error_requests"].tolist() == (ordered["status_code"] >= 400).astype(int).groupby(starts).cumsum().tolist()
+
+
+def _rows_to_learn(spark, n=4000):
+    rows = spark.range(n).selectExpr("rand(5) * 8 AS a", "floor(rand(6) * 5) + 0.0D AS b", "rand(7) AS c", "id").selectExpr(
+        "a", "b", "c", "id", "a * a + 10 * b + rand(8) AS label")
+    return models.materialise(feat.assemble(rows, ["a", "b", "c"], "features").coalesce(3), "rows")
+
+
+def _nodes(model):
+    return [t.toDebugString.split("\n", 1)[1] for t in model.trees]
+
+
+def test_a_forest_learns_from_packed_chunks(spark, monkeypatch):
+    monkeypatch.setattr(forests, "CHUNK_ROWS", 300)
+    monkeypatch.setattr(forests, "PART_ROWS", 700)
+    monkeypatch.setattr(forests, "HISTOGRAM_BYTES", 20_000)
+    monkeypatch.setattr(RandomForestRegressor, "_fit", lambda self, df: pytest.fail("learnt in MLlib"))
+    rows, learner = _rows_to_learn(spark), models.forest(6, 5, min_leaf=3)
+    grown = forests.grow(learner, rows)
+    stored = forests.packed(forests._labelled(learner, rows), grown.cuts, grown.sample, grown.rows, grown.mean, 42)
+    chunks = list(forests._chunks((pa.RecordBatch.from_pylist([r.asDict()]) for r in stored.collect()), 3))
+    assert len(chunks) >= 8 and sum(len(c.y) for c in chunks) == 4000
+    for tree in grown.trees:  # by force: each row drawn by itself walks by itself
+        count, total, squares = (np.zeros(len(tree.left)) for _ in range(3))
+        by_node = {}
+        for c in chunks:
+            cell = np.searchsorted(c.starts, np.arange(len(c.y)), "right") - 1
+            for bins, y, drawn in zip(c.cells.T[cell], c.y, forests.draws(len(c.y), 42, tree.number, c.id), strict=True):
+                node, last = 0, -1
+                while node != last:
+                    count[node] += drawn
+                    total[node] += drawn * y
+                    squares[node] += drawn * y * y
+                    by_node.setdefault(node, []).append((bins, y, drawn))
+                    last, node = node, tree.left[node] + int(bins[tree.feature[node]] > tree.cut[node])
+        assert np.allclose(count, tree.count) and np.allclose(total, tree.total) and np.allclose(squares, tree.squares)
+        bins, y, drawn = map(np.array, zip(*by_node[0]))  # no other cut of that feature drops the variance of the root more
+        f, drops = tree.feature[0], {}
+        for cut in range(len(grown.cuts[f])):
+            sides = [s for s in (bins[:, f] <= cut, bins[:, f] > cut) if drawn[s].sum() >= 3]
+            if len(sides) == 2:
+                within = sum(drawn[s] @ (y[s] - np.average(y[s], weights=drawn[s])) ** 2 for s in sides)
+                drops[cut] = np.average((y - np.average(y, weights=drawn)) ** 2, weights=drawn) - within / drawn.sum()
+        assert drops[tree.cut[0]] == pytest.approx(max(drops.values())) == pytest.approx(tree.gain[0])
+        assert tree.count[tree.cut == 255].min() >= 3 and tree.level.max() == 5
+    model = learner.fit(rows)
+    again = grown.model(learner, spark)
+    assert _nodes(model) == _nodes(again) and model.numFeatures == 3 and model.getNumTrees == 6
+    assert sum(model.featureImportances.toArray()) == pytest.approx(1)
+
+
+def test_a_forest_foretells_as_well_as_that_of_mllib(spark):
+    rows = _rows_to_learn(spark)
+    train, test = rows.where("id % 4 <> 0"), rows.where("id % 4 = 0")
+    settings = {"numTrees": 30, "maxDepth": 8, "seed": 3}
+    own, theirs = (models._evaluator("rmse", "label").evaluate(kind(**settings).fit(train).transform(test)) for kind in (forests.Forest, RandomForestRegressor))
+    assert own == pytest.approx(theirs, rel=0.1)
+    flat = forests.Forest(numTrees=3).fit(rows.selectExpr("features", "2.5D AS label"))
+    assert [t.numNodes for t in flat.trees] == [1, 1, 1] and {r.prediction for r in flat.transform(test).collect()} == {2.5}
+    weighed = forests.Forest(numTrees=3, weightCol="b")
+    assert not weighed.learns_here(rows) and weighed.fit(rows).getNumTrees == 3  # in MLlib
+
+
+def test_draws_of_a_tree_are_a_poisson_number():
+    found = np.bincount(forests.draws(1_000_000, 1, 2, 3), minlength=4)[:4] / 1e6
+    assert found == pytest.approx([np.exp(-1), np.exp(-1), np.exp(-1) / 2, np.exp(-1) / 6], abs=0.002)
+    assert (forests.draws(50, 1, 2, 3) != forests.draws(50, 1, 3, 3)).any()
