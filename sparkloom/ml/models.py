@@ -24,7 +24,8 @@ from ..functions.numbers import delay_label
 from ..operators.statistics import classification_metrics, regression_metrics
 from ..session import materialise
 from .features import FLIGHT_FEATURES, random_split
-from .forests import Forest
+from .forests import METRICS, Forest, grow
+from .moments import fit_from_moments, learns_from_moments, moments
 
 
 def fit_stages(df: DataFrame, stages: Sequence) -> PipelineModel:
@@ -183,32 +184,66 @@ def _split_stages(estimator: Estimator, params: Mapping) -> tuple[list, Estimato
     return stages[:-1], stages[-1]
 
 
+def _together(learner: Estimator, metric: str) -> tuple:
+    """What learners of the same rows that can learn together have in common (any other one is by itself)."""
+    if isinstance(learner, Forest):
+        rest = sorted(f"{p.name}={v!r}" for p, v in learner.extractParamMap().items() if p.name not in ("numTrees", "maxDepth"))
+        return ("forest", *rest)
+    if learns_from_moments(learner, metric):
+        return "linear", learner.getFeaturesCol(), learner.getLabelCol()
+    return "alone", id(learner)
+
+
+def _measured(learners: Sequence[Estimator], train: DataFrame, held: DataFrame, evaluator, metric: str) -> list[float]:
+    """The metric of each learner (of those that learn together) on the rows held out.
+
+    The trees of a forest are the first of a larger one, and lie at the top of deeper ones. Linear models
+    learn from means and covariances, and their errors follow from those of the rows held out.
+    """
+    first = learners[0]
+    if isinstance(first, Forest) and first.learns_here(train):
+        deepest = first.copy({first.numTrees: max(x.getNumTrees() for x in learners), first.maxDepth: max(x.getMaxDepth() for x in learners)})
+        grown = grow(deepest, train)
+        if metric in METRICS:
+            return grown.errors(learners, held, metric)
+        return [evaluator.evaluate(grown.model(x, train.sparkSession).transform(held)) for x in learners]
+    if learns_from_moments(first, metric) and (of := moments(train, first.getFeaturesCol(), first.getLabelCol())):
+        left_out = moments(held, first.getFeaturesCol(), first.getLabelCol())
+        return [left_out.error(fit_from_moments(x, of, train.sparkSession), metric) for x in learners]
+    return [evaluator.evaluate(x.fit(train).transform(held)) for x in learners]
+
+
 def grid_search(df: DataFrame, grids: Mapping[str, tuple[Estimator, list]], folds: int = 5, metric: str = "mse",
                 label: str = "label", seed: int = 42, parallelism: int = 4) -> SearchResult:
     """k-fold search over several estimators with their grids; the best mean metric wins.
 
     Folds are those of ``CrossValidator``. Stages that settings share are fitted once
-    in a fold, all learners of all folds share the cores, and only the winner is
-    fitted to all rows.
+    in a fold, and so are forests that hold one another and the moments that linear
+    models learn from; all learners of all folds share the cores, and only the winner
+    is fitted to all rows.
     """
     evaluator = _evaluator(metric, label)
     df = materialise(dealt(df, label), "search")  # stored, since the folds go by the places of the rows
     placed = df.withColumn("_place", F.rand(seed))
     settings = [(name, estimator, params) for name, (estimator, grid) in grids.items() for params in grid]
-    tasks = []
+    tasks: dict[tuple, list] = {}
     for fold in range(folds):
         inside = (F.col("_place") >= fold * (1.0 / folds)) & (F.col("_place") < (fold + 1) * (1.0 / folds))
         shared = _FoldStages(placed.where(~inside), placed.where(inside))
-        for _, estimator, params in settings:
+        for at, (_, estimator, params) in enumerate(settings):
             before, learner = _split_stages(estimator, params)
-            tasks.append((learner, *shared.prepare(before)))
+            parts = shared.prepare(before)
+            tasks.setdefault((fold, id(parts), _together(learner, metric)), []).append((at, learner, parts))
+
+    found = np.zeros((folds, len(settings)))
 
-    def measured(task: tuple) -> float:
-        learner, train, held = task
-        return evaluator.evaluate(learner.fit(train).transform(held))
+    def measured(task: tuple) -> None:
+        (fold, *_), members = task
+        at, learners, parts = zip(*members, strict=True)
+        found[fold, list(at)] = _measured(learners, *parts[0], evaluator, metric)
 
     with ThreadPool(parallelism) as pool:
-        found = np.array(pool.map(inheritable_thread_target(df.sparkSession)(measured), tasks, chunksize=1)).reshape(folds, len(settings))
+        pool.map(inheritable_thread_target(df.sparkSession)(measured), tasks.items(), chunksize=1)
     means, deviations = found.mean(axis=0), found.std(axis=0)
     best = int((np.argmax if evaluator.isLargerBetter() else np.argmin)(means))
     name, estimator, params = settings[best]

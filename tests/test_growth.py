@@ -7,7 +7,7 @@ import pytest
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
 
-from sparkloom.ml import features as feat, forests, models, selection
+from sparkloom.ml import features as feat, forests, models, moments, selection
 from sparkloom.operators import joins, resetting, windows
 from sparkloom.operators.attach import BROADCAST_ROWS, attach
 from sparkloom.plans import regression
@@ -209,3 +209,50 @@ def test_draws_of_a_tree_are_a_poisson_number():
     found = np.bincount(forests.draws(1_000_000, 1, 2, 3), minlength=4)[:4] / 1e6
     assert found == pytest.approx([np.exp(-1), np.exp(-1), np.exp(-1) / 2, np.exp(-1) / 6], abs=0.002)
     assert (forests.draws(50, 1, 2, 3) != forests.draws(50, 1, 3, 3)).any()
+
+
+def test_a_search_grows_one_forest_a_fold_and_adds_up_moments(spark, monkeypatch):
+    rows = _rows_to_learn(spark, 1500)
+    wood, plain = models.forest(4, 3), models.linear("ridge", 1.0, 0.001)
+    grids = {"forest": (wood, models.ParamGridBuilder().addGrid(wood.numTrees, [4, 9]).addGrid(wood.maxDepth, [2, 5]).build()),
+             "ridge": (plain, models.ParamGridBuilder().addGrid(plain.regParam, [0.001, 0.1, 10.0]).build())}
+    grown, added, grow, add = [], [], models.grow, models.moments
+    monkeypatch.setattr(models, "dealt", lambda df, label: df)  # folds go by the places of the rows
+    monkeypatch.setattr(models, "materialise", lambda df, label: df)
+    monkeypatch.setattr(models, "grow", lambda *a: (grown.append(a[0].getNumTrees()), grow(*a))[1])
+    monkeypatch.setattr(models, "moments", lambda *a: (added.append(1), add(*a))[1])
+    found = models.grid_search(rows.select("features", "label"), grids, folds=3, metric="rmse")
+    assert grown == [9, 9, 9] and len(added) == 3 * 2
+    scores = {(r.model, r.parameters): r.mean_metric for r in found.scores.collect()}
+    for name, (learner, grid) in grids.items():  # each setting by itself, over the same folds
+        whole = models.cross_validate(rows.select("features", "label"), learner, grid, 3, "rmse")
+        alone = [scores[name, ", ".join(sorted(f"{p.name}={v}" for p, v in params.items()))] for params in grid]
+        assert alone == pytest.approx(whole.avgMetrics, rel=1e-9)
+
+
+@pytest.mark.parametrize("metric", ["mse", "rmse", "mae", "r2"])
+def test_errors_of_forests_and_moments_are_those_of_the_evaluator(spark, metric):
+    rows = _rows_to_learn(spark, 1200)
+    train, held = rows.where("id % 3 <> 0"), rows.where("id % 3 = 0")
+    evaluator, wood = models._evaluator(metric, "label"), models.forest(7, 6)
+    grown = forests.grow(wood, train)
+    smaller = [wood, wood.copy({wood.numTrees: 3}), wood.copy({wood.maxDepth: 2})]
+    alone = [x.fit(train) for x in smaller]
+    assert _nodes(alone[1]) == _nodes(alone[0])[:3]
+    assert grown.errors(smaller, held, metric) == pytest.approx([evaluator.evaluate(m.transform(held)) for m in alone], rel=1e-9)
+    if metric != "mae":
+        line = models.linear("lasso", 0.1)
+        fitted = moments.fit_from_moments(line, moments.moments(train, "features", "label"), spark)
+        assert fitted.coefficients.toArray() == pytest.approx(line.fit(train).coefficients.toArray(), rel=1e-9)
+        assert moments.moments(held, "features", "label").error(fitted, metric) == pytest.approx(evaluator.evaluate(fitted.transform(held)), rel=1e-9)
+
+
+def test_moments_of_a_constant_feature_and_of_few_rows(spark):
+    rows = spark.range(50).selectExpr("3.0D AS a", "id + 0.0D AS b", "id * 2 + 1.0D AS label")
+    train = feat.assemble(rows, ["a", "b"], "features")
+    for kind in (models.linear("linear"), models.linear("ridge", 1.0, 0.01)):
+        fitted = moments.fit_from_moments(kind, moments.moments(train, "features", "label"), spark)
+        plain = kind.fit(train)
+        assert fitted.coefficients.toArray() == pytest.approx(plain.coefficients.toArray(), abs=1e-9)
+        assert fitted.intercept == pytest.approx(plain.intercept, abs=1e-8)
+    assert moments.moments(train.limit(0), "features", "label").n == 0
