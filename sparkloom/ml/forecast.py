@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame, WindowSpec, functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
@@ -88,7 +89,7 @@ def train_sensor_model(features: DataFrame, columns: Sequence[str], ts: str, tie
     stages = fit_stages(train, [
         VectorAssembler(inputCols=columns, outputCol="_raw"),
         StandardScaler(inputCol="_raw", outputCol="features", withMean=True, withStd=True),
-        forest(trees, depth, seed=seed),
+        forest(trees, depth, seed=seed, kind=RandomForestRegressor),
     ])
     scored = stages.transform(marked).withColumn("part", F.when(F.col("is_train"), "train").otherwise("test"))
     return SensorModel(stages, columns, regression_metrics(scored, "label", "prediction", ["part"]))

@@ -70,10 +70,13 @@ def linear(kind: str = "linear", alpha: float = 1.0, unit: float | None = None,
 
 
 def forest(trees: int = 100, depth: int = 10, min_leaf: int = 1, features: str = "features", label: str = "label",
-           seed: int = 42) -> Forest:
-    """Where it learns in MLlib, rows remember the node of each tree they are in."""
-    return Forest(featuresCol=features, labelCol=label, numTrees=trees, maxDepth=depth,
-                  minInstancesPerNode=min_leaf, seed=seed, cacheNodeIds=True)
+           seed: int = 42, kind: type[RandomForestRegressor] = Forest) -> RandomForestRegressor:
+    """``kind`` RandomForestRegressor learns in MLlib, as the forecasts do.
+
+    There rows remember the node of each tree they are in, so that no level of a deep forest walks down all trees again.
+    """
+    return kind(featuresCol=features, labelCol=label, numTrees=trees, maxDepth=depth,
+                minInstancesPerNode=min_leaf, seed=seed, cacheNodeIds=True)
 
 
 def tree(depth: int = 10, min_leaf: int = 1, features: str = "features", label: str = "label",

@@ -7,7 +7,7 @@ import pytest
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
 
-from sparkloom.ml import features as feat, forests, models, moments, selection
+from sparkloom.ml import features as feat, forecast, forests, models, moments, selection
 from sparkloom.operators import joins, resetting, windows
 from sparkloom.operators.attach import BROADCAST_ROWS, attach
 from sparkloom.plans import regression
@@ -256,3 +256,10 @@ def test_moments_of_a_constant_feature_and_of_few_rows(spark):
         assert fitted.coefficients.toArray() == pytest.approx(plain.coefficients.toArray(), abs=1e-9)
         assert fitted.intercept == pytest.approx(plain.intercept, abs=1e-8)
     assert moments.moments(train.limit(0), "features", "label").n == 0
+
+
+def test_forecasts_learn_in_mllib(spark, monkeypatch):
+    met, fit_stages = [], forecast.fit_stages
+    monkeypatch.setattr(forecast, "fit_stages", lambda df, stages: (met.append(type(stages[-1])), fit_stages(df, stages))[1])
+    forecast.train_sensor_model(_readings(spark, 2, 30).withColumnRenamed("v", "temperature").withColumn("a", F.col("id") % 5), ["a"], "ts", "id", trees=2, depth=2)
+    assert met == [RandomForestRegressor] and type(models.forest()) is forests.Forest
